@@ -154,7 +154,7 @@ def dup_label_conflicts(spark, d):
 
 @query(
     f"""{S.with_(S.VALID, S.CORPUS)}
-    SELECT 1 AS step, 'raw' AS stage, (SELECT count(*) FROM documents) AS n_rows, 0 AS delta
+    SELECT CAST(1 AS BIGINT) AS step, 'raw' AS stage, (SELECT count(*) FROM documents) AS n_rows, CAST(0 AS BIGINT) AS delta
     UNION ALL SELECT 2, 'valid', (SELECT count(*) FROM valid), (SELECT count(*) FROM valid) - (SELECT count(*) FROM documents)
     UNION ALL SELECT 3, 'deduplicated', (SELECT count(*) FROM corpus), (SELECT count(*) FROM corpus) - (SELECT count(*) FROM valid)"""
 )

@@ -27,7 +27,7 @@ def word_count(c: str) -> str:
 
 
 def unescape(c: str) -> str:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         c = f"replace({c}, {quote(entity)}, {quote(char)})"
     return c
 
