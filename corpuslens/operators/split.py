@@ -32,12 +32,11 @@ def _quota(counts: DataFrame, label: str, n_col: str, share: Column, out: str) -
 
 
 def split_quotas(
-    df: DataFrame, label: str = "lang", train: float = 0.70, val: float = 0.15, test: float = 0.15
+    counts: DataFrame, label: str = "lang", train: float = 0.70, val: float = 0.15, test: float = 0.15
 ) -> DataFrame:
-    """Per class: documents held out from training, and how many of those are for the test."""
+    """From ``(label, n)``: documents held out from training, and how many of those are for the test."""
     if abs(train + val + test - 1.0) > 1e-8:
         raise ValueError("Split ratios must sum to 1.0")
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
     held_out = _quota(counts, label, "n", F.lit(val + test), "n_holdout")
     return _quota(held_out, label, "n_holdout", F.lit(test / (val + test)), "n_test")
 
@@ -57,13 +56,16 @@ def stratified_split(
 
     Equal to ranking each class by hash, without sorting a class in one task: per (class, hash
     bucket) counts locate the bucket each cut falls into. Documents in other buckets are decided
-    where they are; only the cut buckets, a 16^-digits share of a class, are ranked.
+    where they are; only the cut buckets, a 16^-digits share of a class, are ranked. ``df`` is read
+    three times: keep it, or write it to a table, when it is costly to make.
     """
     buckets = df.select(label, _bucket(split_hash(id_col, seed), bucket_digits).alias("__bucket"))
-    counts = buckets.groupBy(label, "__bucket").agg(F.count("*").alias("__n"))
+    # At most classes x 16^digits rows: kept, because the quotas and the cuts both come from it.
+    counts = buckets.groupBy(label, "__bucket").agg(F.count("*").alias("__n")).persist()
     up_to = F.sum("__n").over(Window.partitionBy(label).orderBy("__bucket"))
     filled = counts.select(label, "__bucket", (up_to - F.col("__n")).alias("__before"), up_to.alias("__up_to"))
-    quotas = lookup_join(filled, split_quotas(df, label, train, val, test), label)
+    sizes = counts.groupBy(label).agg(F.sum("__n").alias("n"))
+    quotas = lookup_join(filled, split_quotas(sizes, label, train, val, test), label)
 
     def cut(quota: str) -> Column:
         holds = (F.col("__before") < F.col(quota)) & (F.col(quota) <= F.col("__up_to"))

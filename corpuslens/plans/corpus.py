@@ -11,7 +11,7 @@ from corpuslens.sources.tables import read_table
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "documents", spread=True)
+    return read_table(spark, folder, "documents", spread="doc_id")
 
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,6 +19,11 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
     return clean_corpus(documents(spark, folder)).select("doc_id", "text", "lang", "source")
 
 
+def class_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Only the given columns of the corpus, kept: what a split needs moves without the text."""
+    return corpus(spark, folder).select(*columns).persist()
+
+
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus with its cleaned text, kept: fitting and weighing both read it."""
     return clean_text(corpus(spark, folder), "text", "clean").persist()

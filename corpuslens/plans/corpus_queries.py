@@ -186,13 +186,13 @@ def clean_corpus(spark, d):
 
 @query(f"SELECT page_id, {S.unescape('html')} AS result FROM pages")
 def unescape_html(spark, d):
-    pages = IO.read_table(spark, d, "pages", spread=True)
+    pages = IO.read_table(spark, d, "pages", spread="page_id")
     return pages.select("page_id", C.unescape_html("html").alias("result"))
 
 
 @query(f"SELECT page_id, {S.strip_tags('html')} AS result FROM pages")
 def strip_tags(spark, d):
-    pages = IO.read_table(spark, d, "pages", spread=True)
+    pages = IO.read_table(spark, d, "pages", spread="page_id")
     return pages.select("page_id", C.strip_tags("html").alias("result"))
 
 
@@ -215,7 +215,7 @@ def protect_tokens(spark, d):
 
 @query(f"SELECT page_id, {S.mask_urls('(url || chr(10) || html)')} AS result FROM pages")
 def mask_urls(spark, d):
-    pages = IO.read_table(spark, d, "pages", spread=True).select("page_id", F.concat("url", F.lit("\n"), "html").alias("t"))
+    pages = IO.read_table(spark, d, "pages", spread="page_id").select("page_id", F.concat("url", F.lit("\n"), "html").alias("t"))
     return pages.select("page_id", C.mask_urls("t").alias("result"))
 
 
@@ -242,7 +242,7 @@ def clean_text(spark, d):
 
 @query(f"SELECT page_id, {S.clean('html')} AS result FROM pages")
 def clean_text_html(spark, d):
-    return C.clean_text(IO.read_table(spark, d, "pages", spread=True), "html", "result").select("page_id", "result")
+    return C.clean_text(IO.read_table(spark, d, "pages", spread="page_id"), "html", "result").select("page_id", "result")
 
 
 @query(f"SELECT doc_id, {S.clean('text')} AS result FROM documents")

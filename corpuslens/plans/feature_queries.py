@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions.text import word_tokens as tokens_of
 from corpuslens.operators import ngrams as N, split as P, tfidf as X
 from corpuslens.plans import sql as S
-from corpuslens.plans.corpus import cleaned, cleaned_split, corpus, documents, part
+from corpuslens.plans.corpus import class_rows, cleaned, cleaned_split, documents, part
 from corpuslens.plans.registry import query
 from corpuslens.sources.tables import read_table
 
@@ -18,17 +18,17 @@ _SPLIT = S.with_(S.VALID, S.CORPUS, S.split("s", "corpus"))
 
 @query(_SPLIT + "SELECT doc_id, lang, split FROM s")
 def stratified_split(spark, d):
-    return P.stratified_split(corpus(spark, d)).select("doc_id", "lang", "split")
+    return P.stratified_split(class_rows(spark, d, "doc_id", "lang"))
 
 
 @query(S.with_(S.VALID, S.CORPUS, S.split("s", "corpus", label="source")) + "SELECT doc_id, source, split FROM s")
 def stratified_split_many_classes(spark, d):
-    return P.stratified_split(corpus(spark, d), label="source").select("doc_id", "source", "split")
+    return P.stratified_split(class_rows(spark, d, "doc_id", "source"), label="source")
 
 
 @query(_SPLIT + "SELECT split, count(*) AS n_docs, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct FROM s GROUP BY split")
 def split_sizes(spark, d):
-    return P.split_sizes(P.stratified_split(corpus(spark, d)))
+    return P.split_sizes(P.stratified_split(class_rows(spark, d, "doc_id", "lang")))
 
 
 @query(
@@ -38,7 +38,7 @@ def split_sizes(spark, d):
     "count(*) FILTER (split = 'val') AS val, count(*) FILTER (split = 'test') AS test FROM s GROUP BY lang)"
 )
 def split_class_shares(spark, d):
-    return P.split_class_shares(P.stratified_split(corpus(spark, d)))
+    return P.split_class_shares(P.stratified_split(class_rows(spark, d, "doc_id", "lang")))
 
 
 def _leak_sql():
@@ -57,7 +57,7 @@ def _leak_sql():
 
 @query(_SPLIT + _leak_sql())
 def split_leakage(spark, d):
-    return P.split_leakage(P.stratified_split(corpus(spark, d)))
+    return P.split_leakage(P.stratified_split(class_rows(spark, d, "doc_id", "lang", "text")))
 
 
 @query(S.with_(S.split("s", "documents")) + _leak_sql())
@@ -68,7 +68,7 @@ def split_leakage_raw(spark, d):
 
 @query(_SPLIT + "SELECT doc_id, lang, split FROM s WHERE split <> 'test'")
 def union_train_val(spark, d):
-    return P.union_train_val(P.stratified_split(corpus(spark, d)).select("doc_id", "lang", "split"))
+    return P.union_train_val(P.stratified_split(class_rows(spark, d, "doc_id", "lang")))
 
 
 @query("SELECT source, row_number() OVER (ORDER BY source) - 1 AS label_index FROM (SELECT DISTINCT source FROM documents)")

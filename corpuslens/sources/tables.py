@@ -19,22 +19,22 @@ CORPUS = T.StructType(
 )
 
 
-def read_table(spark: SparkSession, folder: str, name: str, by: str | None = None, spread: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, folder: str, name: str, by: str | None = None, spread: str | None = None) -> DataFrame:
     """A parquet table of the folder.
 
     ``by`` hash-partitions a corpus by document before its texts are taken apart: whatever is later
     grouped by document finds its rows in place, so the text moves once instead of its many times
-    larger terms. ``spread`` only helps a file that loads as fewer partitions than there are cores;
-    on large inputs it does nothing.
+    larger terms. ``spread`` only helps a file that loads as fewer partitions than there are cores,
+    by hashing that column; on larger inputs it does nothing.
     """
     df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-    if not by and not spread:
+    key = by or spread
+    if key is None:
         return df
     cores = spark.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() < cores
-    if by:
-        return df.repartition(cores, by) if few else df.repartition(by)
-    return df.repartition(cores) if few else df
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df.repartition(by) if by else df
 
 
 def shared_folder(spark: SparkSession) -> str:
