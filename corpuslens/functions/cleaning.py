@@ -15,15 +15,17 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpuslens.functions.fixed import CANONICAL_TOKENS, PROTECTED_TOKENS
-from corpuslens.functions.text import BOUNDARY, SPACE, WORD, _col, contains_any, literal_pattern, strip
+from corpuslens.functions.text import BOUNDARY, SPACE, UNICODE, WORD, _col, contains_any, literal_pattern, strip
 
 # Entity patterns (URL, e-mail, phone), tags.
-URL = rf"(?i)https?://[^{SPACE}]+|www\.[^{SPACE}]+"
+URL = rf"(?iU)https?://[^{SPACE}]+|www\.[^{SPACE}]+"
 EMAIL = rf"{BOUNDARY}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}{BOUNDARY}"
-PHONE = rf"\(?{BOUNDARY}[0-9]{{3}}\)?[-.{SPACE}]?[0-9]{{3}}[-.{SPACE}]?[0-9]{{4}}{BOUNDARY}"
+# A phone number starts with a digit or a parenthesis: looked at first, it spares the boundary test elsewhere.
+PHONE = rf"{UNICODE}(?=[(0-9])\(?{BOUNDARY}[0-9]{{3}}\)?[-.{SPACE}]?[0-9]{{3}}[-.{SPACE}]?[0-9]{{4}}{BOUNDARY}"
 TAG = r"<[^>]+>"
 
-NON_ASCII = r"[^\x00-\x7F]"
+# Every protected token holds one of these.
+PROTECTED_MARKS = ["c++", "c#", ".net", ".js", "ci/cd", "tcp/ip", "pl/sql", "t-sql"]
 
 
 def _decoder(unescape: bool, tags: bool, normalise: bool):
@@ -67,7 +69,7 @@ def strip_tags(c: Column | str) -> Column:
 def decompose(c: Column | str) -> Column:
     """Unicode compatibility decomposition (NFKD)."""
     c = _col(c)
-    return _where(c.rlike(NON_ASCII), c, _decoder(False, False, True))
+    return _where(F.octet_length(c) > F.length(c), c, _decoder(False, False, True))
 
 
 def protect_tokens(c: Column | str) -> Column:
@@ -75,13 +77,14 @@ def protect_tokens(c: Column | str) -> Column:
     c = _col(c)
     out = c
     for token, placeholder in PROTECTED_TOKENS.items():
-        pattern = rf"(?<=[{SPACE}]){literal_pattern(token)}(?=[{SPACE}.,;:!?)/])"
+        pattern = rf"{UNICODE}(?<=[{SPACE}]){literal_pattern(token)}(?=[{SPACE}.,;:!?)/])"
         out = F.regexp_replace(out, pattern, f" {placeholder} ")
-    return F.when(contains_any(c, list(PROTECTED_TOKENS)), out).otherwise(c)
+    return F.when(contains_any(c, PROTECTED_MARKS), out).otherwise(c)
 
 
 def mask_urls(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), URL, " weburl ")
+    c = _col(c)
+    return F.when(contains_any(F.lower(c), ["http", "www."]), F.regexp_replace(c, URL, " weburl ")).otherwise(c)
 
 
 def mask_emails(c: Column | str) -> Column:
@@ -95,7 +98,7 @@ def mask_phones(c: Column | str) -> Column:
 
 def strip_punct(c: Column | str) -> Column:
     """Everything but word characters and white space to one space each (bullets and dashes too)."""
-    return F.regexp_replace(_col(c), f"[^{WORD}{SPACE}]", " ")
+    return F.regexp_replace(_col(c), f"{UNICODE}[^{WORD}{SPACE}]", " ")
 
 
 def restore_tokens(c: Column | str) -> Column:
@@ -109,7 +112,7 @@ def restore_tokens(c: Column | str) -> Column:
 
 def collapse_spaces(c: Column | str) -> Column:
     """Runs of blanks, then runs of newlines, to one space each; ends stripped."""
-    return strip(F.regexp_replace(F.regexp_replace(_col(c), r"[ \t]+", " "), r"\n+", " "))
+    return strip(F.regexp_replace(F.regexp_replace(_col(c), r"[ \t]{2,}|\t", " "), r"\n+", " "))
 
 
 def clean_text(df: DataFrame, in_col: str, out_col: str, lower: bool = True) -> DataFrame:
@@ -121,7 +124,7 @@ def clean_text(df: DataFrame, in_col: str, out_col: str, lower: bool = True) ->
     work = f"__{out_col}"
     text = F.col(work)
     df = df.withColumn(work, F.coalesce(F.col(in_col).cast("string"), F.lit("")))
-    foreign = F.contains(text, F.lit("&")) | text.rlike(NON_ASCII)
+    foreign = F.contains(text, F.lit("&")) | (F.octet_length(text) > F.length(text))
     decoded = _decoder(True, True, True)(F.when(foreign, text))
     df = df.withColumn(f"{work}_decoded", decoded)
     df = df.withColumn(work, F.coalesce(F.col(f"{work}_decoded"), strip_tags(text))).drop(f"{work}_decoded")
@@ -134,8 +137,8 @@ def clean_text(df: DataFrame, in_col: str, out_col: str, lower: bool = True) ->
 
 def clean_text_simple(c: Column | str) -> Column:
     """The fallback cleaner: lower case, ASCII letters and digits only, single spaces."""
-    ascii_only = F.regexp_replace(F.lower(_col(c)), f"[^a-zA-Z0-9{SPACE}]", " ")
-    return strip(F.regexp_replace(ascii_only, f"[{SPACE}]+", " "))
+    ascii_only = F.regexp_replace(F.lower(_col(c)), f"{UNICODE}[^a-zA-Z0-9{SPACE}]", " ")
+    return strip(F.regexp_replace(ascii_only, f"{UNICODE}[{SPACE}]+", " "))
 
 
 class TextCleaner(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-# Character classes (bodies, to be put in brackets). Python's ``\s`` and ``\w`` on str, spelled for
-# Java: ``(?U)\w`` would keep combining marks, ``\s`` alone misses the Unicode spaces.
-SPACE = r"\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Character classes (bodies, to be put in brackets) that equal Python's ``\w`` and ``\s`` on str.
+# Java's Unicode ``\w`` would keep combining marks; its Unicode ``\s``, switched on by UNICODE at the
+# start of a pattern, lacks the four ASCII separators. Spelled out, the spaces would cost four times as much.
 WORD = r"\p{L}\p{N}_"
+SPACE = r"\s\x1c-\x1f"
+UNICODE = "(?U)"
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 BOUNDARY = rf"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
 
 
@@ -28,17 +31,23 @@ def contains_any(c: Column | str, literals: Sequence[str]) -> Column:
 
 def is_blank(c: Column | str) -> Column:
     """Null, empty or white space only."""
-    return ~F.coalesce(_col(c).rlike(f"[^{SPACE}]"), F.lit(False))
+    return ~F.coalesce(_col(c).rlike(f"{UNICODE}[^{SPACE}]"), F.lit(False))
 
 
 def strip(c: Column | str) -> Column:
     """Remove white space (Unicode sense) at both ends."""
-    return F.regexp_replace(_col(c), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def word_count(c: Column | str) -> Column:
     """Number of white-space separated words; 0 for null."""
-    return F.coalesce(F.regexp_count(_col(c), F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(_col(c), F.lit(f"{UNICODE}[^{SPACE}]+")), F.lit(0)).cast("long")
+
+
+def has_words(c: Column | str, n: int) -> Column:
+    """At least ``n`` words. Stops at the n-th word instead of counting them all; false for null."""
+    more = f"(?:[^{SPACE}]++[{SPACE}]++){{{n - 1}}}"
+    return F.coalesce(_col(c).rlike(rf"{UNICODE}\A[{SPACE}]*+{more}[^{SPACE}]"), F.lit(False))
 
 
 def char_count(c: Column | str) -> Column:
@@ -78,7 +87,7 @@ def word_ngrams(joined: Column | str, lo: int, hi: int) -> Column:
 
 def squeeze_spaces(c: Column | str) -> Column:
     """Runs of two or more white-space characters become one space (character n-grams do this first)."""
-    return F.regexp_replace(_col(c), f"[{SPACE}]{{2,}}", " ")
+    return F.regexp_replace(_col(c), f"{UNICODE}[{SPACE}]{{2,}}", " ")
 
 
 def char_ngrams(c: Column | str, lo: int, hi: int) -> Column:
@@ -93,7 +102,7 @@ def char_ngrams(c: Column | str, lo: int, hi: int) -> Column:
 
 def pad_words(c: Column | str) -> Column:
     """Each word with one space on both sides, on a line of its own: input of :func:`char_wb_ngrams`."""
-    inner = F.regexp_replace(strip(c), f"[{SPACE}]+", " \n ")
+    inner = F.regexp_replace(strip(c), f"{UNICODE}[{SPACE}]+", " \n ")
     return F.when(is_blank(c), F.lit("")).otherwise(F.concat(F.lit(" "), inner, F.lit(" ")))
 
 

@@ -7,32 +7,39 @@ document term meets one row of weights, and the class scores are sums over that
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpuslens.operators.tfidf import FeatureUnion, FittedBlock
+from corpuslens.sources.tables import keep_table
 
 MAX_CLASSES = 1_000
 
 
-def class_labels(df: DataFrame, label: str = "lang", max_classes: int = MAX_CLASSES) -> list:
-    """The classes in order, on the driver. Refuses a column that is not a class label."""
-    rows = df.select(label).distinct().limit(max_classes + 1).collect()
+def class_counts(df: DataFrame, label: str = "lang", max_classes: int = MAX_CLASSES) -> dict:
+    """Documents per class, in label order, on the driver. Refuses a column that is not a class label."""
+    rows = df.filter(F.col(label).isNotNull()).groupBy(label).count().limit(max_classes + 1).collect()
     if len(rows) > max_classes:
         raise ValueError(f"{label} has more than {max_classes} values: not a class label")
-    return sorted(r[0] for r in rows if r[0] is not None)
+    return dict(sorted((r[0], r[1]) for r in rows))
+
+
+def class_labels(df: DataFrame, label: str = "lang", max_classes: int = MAX_CLASSES) -> list:
+    """The classes in order."""
+    return list(class_counts(df, label, max_classes))
 
 
 @dataclass
 class LinearTextModel:
-    """``table``: ``channel, term, idf, weights``; ``intercepts``: one column expression per class."""
+    """``table``: ``channel, term, idf, weights``; ``intercepts``: one number per class."""
 
     union: FeatureUnion
     table: DataFrame
     labels: list
-    intercepts: list[Column]
+    intercepts: list[float]
     confidence_type: str
 
     def _weighed(self, df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -63,7 +70,7 @@ class LinearTextModel:
                 *[F.sum(F.col(f"s{i}") / F.col("norm")).alias(f"s{i}") for i in range(len(self.labels))]
             )
         final = [
-            (F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + self.intercepts[i]) for i in range(len(self.labels))
+            (F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.lit(self.intercepts[i])) for i in range(len(self.labels))
         ]
         return df.select(id_col).join(totals, id_col, "left").select(id_col, F.array(*final).alias("scores"))
 
@@ -81,7 +88,7 @@ class LinearTextModel:
         rows = rows.withColumn("x", F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(per_channel)))
         sums = [F.sum(F.col("x") * F.get("weights", F.lit(i))) for i in range(len(self.labels))]
         gathered = rows.groupBy(id_col).agg(
-            F.array(*[s + self.intercepts[i] for i, s in enumerate(sums)]).alias("scores"),
+            F.array(*[s + F.lit(self.intercepts[i]) for i, s in enumerate(sums)]).alias("scores"),
             F.collect_list(F.struct("channel", "term", "x", "weights")).alias("cells"),
         )
         best = gathered.withColumn("best", F.array_position("scores", F.array_max("scores")).cast("int") - 1)
@@ -152,15 +159,14 @@ def fit_naive_bayes(
     ``multinomial`` adds log class shares; ``complement`` uses each class's complement with normalised
     weights and no class share.
     """
-    counts = _class_sums(train, fitted, labels, label, id_col, text).persist()
+    counts = keep_table(_class_sums(train, fitted, labels, label, id_col, text))
     weights = _nb_weights(kind, counts, alpha, len(labels))
     table = fitted.vocabulary.terms.select("term", "idf").join(weights, "term")
-    table = table.select(F.lit(fitted.block.channel).alias("channel"), "term", "idf", "weights").persist()
+    table = keep_table(table.select(F.lit(fitted.block.channel).alias("channel"), "term", "idf", "weights"))
+    intercepts = [0.0] * len(labels)
     if kind == "multinomial":
-        shares = train.agg(F.array(*[F.log(F.count_if(F.col(label) == v) / F.count("*")) for v in labels])).scalar()
-        intercepts = [F.get(shares, F.lit(i)) for i in range(len(labels))]
-    else:
-        intercepts = [F.lit(0.0)] * len(labels)
+        sizes = class_counts(train, label)
+        intercepts = [math.log(sizes[v] / sum(sizes.values())) if v in sizes else -math.inf for v in labels]
     return LinearTextModel(FeatureUnion([fitted.block], [fitted]), table, list(labels), intercepts, "calibrated_probability")
 
 
@@ -180,12 +186,13 @@ def fold_weights(
 
     A fold's training sums are the totals less its own sums, so no document is read more than once.
     """
-    per_fold = _class_sums(train, fitted, labels, label, id_col, text, extra=[fold]).persist()
+    per_fold = _class_sums(train, fitted, labels, label, id_col, text, extra=[fold])
     names = [f"c{i}" for i in range(len(labels))]
     own = per_fold.groupBy("term").agg(
         *[F.sum(F.when(F.col(fold) == k, F.col(c)).otherwise(0.0)).alias(f"{c}_{k}") for c in names for k in range(folds)],
         *[F.sum(c).alias(c) for c in names],
-    ).persist()
+    )
+    own = keep_table(own)  # terms x classes x folds, read once per fold
     out = None
     for k in range(folds):
         # Subtraction may leave dust where a class has no weight outside the fold.
@@ -215,12 +222,12 @@ def centroid_classify(df: DataFrame, centroids: DataFrame, label: str = "label",
     """
     packed = centroids.agg(F.sort_array(F.collect_list(F.struct(F.col(label), F.col("centroid"))))).scalar()
     scored = F.transform(
-        packed,
+        F.col("__centroids"),
         lambda c: F.struct(
             (-F.round(_dot(F.col(vector), c["centroid"]) / F.sqrt(_dot(F.col(vector), F.col(vector)) * _dot(c["centroid"], c["centroid"])), 9)).alias("minus"),
             c[label].alias("label"),
         ),
     )
-    return df.withColumn("__best", F.array_min(scored)).select(
+    return df.withColumn("__centroids", packed).withColumn("__best", F.array_min(scored)).select(
         *df.columns, F.col("__best.label").alias(out_col), (-F.col("__best.minus")).alias("cosine")
     )

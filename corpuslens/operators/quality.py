@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuslens.functions.fixed import MIN_WORDS
-from corpuslens.functions.text import char_count, is_blank, word_count
+from corpuslens.functions.text import char_count, has_words, is_blank, word_count
 from corpuslens.plans.joins import HOT_ROWS, salted_join
 
 
@@ -16,7 +16,7 @@ def with_lengths(df: DataFrame, text: str = "text") -> DataFrame:
 
 def is_invalid(text: str = "text", min_words: int = MIN_WORDS) -> Column:
     """Blank, or fewer than ``min_words`` words. A null text is invalid; the result is never null."""
-    return is_blank(text) | (word_count(text) < min_words)
+    return is_blank(text) | ~has_words(text, min_words)
 
 
 def invalid_docs(df: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

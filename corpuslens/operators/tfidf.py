@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpuslens.operators.ngrams import count_char_terms, count_char_wb_terms, count_word_terms
 from corpuslens.plans.joins import HOT_ROWS, salted_join
+from corpuslens.sources.tables import keep_table
 
 # A vocabulary up to this size is broadcast; max_features of at most this makes the bound certain.
 BOUNDED_TERMS = 262_144
@@ -58,8 +59,9 @@ class Vocabulary:
             raise ValueError(f"fit the vocabulary with max_features <= {BOUNDED_TERMS} to index it")
         return self.terms.withColumn("idx", F.row_number().over(Window.orderBy("term")) - 1)
 
-    def persist(self) -> "Vocabulary":
-        return Vocabulary(self.terms.persist(), self.bounded)
+    def kept(self) -> "Vocabulary":
+        """Written once, because every later step reads it."""
+        return Vocabulary(keep_table(self.terms), self.bounded)
 
 
 def weigh(
@@ -116,7 +118,7 @@ class Block:
     def fit(self, df: DataFrame, id_col: str, text: str) -> "FittedBlock":
         counts = self.counts(df, id_col, text)
         return FittedBlock(
-            self, Vocabulary.fit(counts, count_rows(df), self.min_df, self.max_df, self.max_features).persist()
+            self, Vocabulary.fit(counts, count_rows(df), self.min_df, self.max_df, self.max_features).kept()
         )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpuslens.functions.cleaning import clean_text
 from corpuslens.operators.quality import clean_corpus
 from corpuslens.operators.split import stratified_split
-from corpuslens.sources.tables import read_table
+from corpuslens.sources.tables import keep_table, read_table
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,17 +21,28 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
 
 def class_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Only the given columns of the corpus, kept: what a split needs moves without the text."""
-    return corpus(spark, folder).select(*columns).persist()
+    return keep_table(corpus(spark, folder).select(*columns))
 
 
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    """The corpus with its cleaned text, kept: fitting and weighing both read it."""
-    return clean_text(corpus(spark, folder), "text", "clean").persist()
+    """The corpus with its cleaned text, for plans that read it once."""
+    return clean_text(corpus(spark, folder), "text", "clean")
 
 
-def cleaned_split(spark: SparkSession, folder: str) -> DataFrame:
-    """The cleaned corpus with its stratified split."""
-    return stratified_split(cleaned(spark, folder)).persist()
+def kept_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned corpus as a table bucketed by document: cleaned once, read by every later pass."""
+    return keep_table(cleaned(spark, folder), "doc_id")
+
+
+def cleaned_split(spark: SparkSession, folder: str, label: str = "lang") -> DataFrame:
+    """The kept corpus with its stratified split.
+
+    The split is made from ids and labels only and joined back by document; both tables are bucketed
+    alike, so the join moves nothing and needs no sort.
+    """
+    docs = kept_clean(spark, folder)
+    assigned = stratified_split(docs.select("doc_id", label), label=label).select("doc_id", "split")
+    return docs.join(keep_table(assigned, "doc_id").hint("shuffle_hash"), "doc_id")
 
 
 def part(df: DataFrame, *names: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions.text import word_tokens as tokens_of
 from corpuslens.operators import ngrams as N, split as P, tfidf as X
 from corpuslens.plans import sql as S
-from corpuslens.plans.corpus import class_rows, cleaned, cleaned_split, documents, part
+from corpuslens.plans.corpus import class_rows, cleaned, cleaned_split, documents, kept_clean, part
 from corpuslens.plans.registry import query
 from corpuslens.sources.tables import read_table
 
@@ -154,7 +154,7 @@ def term_df(spark, d):
 
 
 def _vocabulary(spark, d, **limits):
-    docs = cleaned(spark, d)
+    docs = kept_clean(spark, d)
     counts = N.count_word_terms(docs, "doc_id", "clean", 1, 2)
     return X.Vocabulary.fit(counts, X.count_rows(docs), **limits).terms.withColumn("idf", F.round("idf", 6))
 
@@ -183,7 +183,7 @@ _TOTALS = "SELECT term, count(*) AS n_docs, round(sum(w), 6) AS sum_w, round(max
 
 
 def _fit_transform(spark, d, block):
-    docs = cleaned(spark, d)
+    docs = kept_clean(spark, d)
     return block.fit(docs, "doc_id", "clean").transform(docs, "doc_id", "clean")
 
 
@@ -241,7 +241,7 @@ _UNION = S.with_(
 
 
 def _union(spark, d):
-    docs = cleaned(spark, d)
+    docs = kept_clean(spark, d)
     return docs, X.FeatureUnion(X.word_char_blocks()).fit(docs)
 
 
@@ -270,7 +270,7 @@ def feature_index(spark, d):
     "(SELECT (SELECT count(*) FROM docs) AS n_docs, (SELECT count(*) FROM v) AS n_terms, (SELECT count(*) FROM w) AS nnz)"
 )
 def feature_shape(spark, d):
-    docs = cleaned(spark, d)
+    docs = kept_clean(spark, d)
     fitted = X.word_block().fit(docs, "doc_id", "clean")
     return X.feature_shape(fitted.transform(docs, "doc_id", "clean"), X.count_rows(docs), X.count_rows(fitted.vocabulary.terms))
 
@@ -283,7 +283,7 @@ def feature_vectors(spark, d):
     """Sparse Spark ML vectors of the factory's word features, summarised per document."""
     from pyspark.ml.functions import vector_to_array
 
-    docs = cleaned(spark, d)
+    docs = kept_clean(spark, d)
     union = X.FeatureUnion(X.feature_blocks("word")).fit(docs)
     terms = union.terms().persist()
     vectors = union.vectors(docs, terms, terms.count())

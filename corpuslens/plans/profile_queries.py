@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from corpuslens.functions.fixed import PROFILE_STOP_WORDS, SHORT_STOP_WORDS
 from corpuslens.operators import profile as A, quality as Q
 from corpuslens.plans import sql as S
-from corpuslens.plans.corpus import cleaned, corpus, documents
+from corpuslens.plans.corpus import cleaned, corpus, documents, kept_clean
 from corpuslens.plans.registry import query
+from corpuslens.sources.tables import keep_table
 
 
 @query(
@@ -158,7 +159,7 @@ def _centroid_ctes(label):
 
 
 def _centroids(spark, d, label):
-    return A.class_centroids(cleaned(spark, d), label=label, stop_words=PROFILE_STOP_WORDS)
+    return A.class_centroids(kept_clean(spark, d), label=label, stop_words=PROFILE_STOP_WORDS)
 
 
 @query(_centroid_ctes("lang") + "SELECT lang, term, round(mean_w, 6) AS mean_w FROM cent")
@@ -168,12 +169,12 @@ def class_centroids(spark, d):
 
 @query(_centroid_ctes("source") + "SELECT * FROM sim")
 def class_similarity(spark, d):
-    return A.class_similarity(_centroids(spark, d, "source").persist(), "source")
+    return A.class_similarity(keep_table(_centroids(spark, d, "source")), "source")
 
 
 @query(_centroid_ctes("source") + "SELECT * FROM sim WHERE class_a < class_b ORDER BY cosine DESC, class_a, class_b LIMIT 10")
 def top_similar_classes(spark, d):
-    return A.top_similar_classes(A.class_similarity(_centroids(spark, d, "source").persist(), "source"))
+    return A.top_similar_classes(A.class_similarity(keep_table(_centroids(spark, d, "source")), "source"))
 
 
 @query(

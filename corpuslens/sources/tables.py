@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -55,10 +56,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and read them from there; survives lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def keep_table(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Write the rows to the shared folder once and go on from there.
+
+    Used where a result is read several times: the plan behind it is cut, columns not needed later
+    are not read again, and a lost executor costs nothing. With ``by`` the table is bucketed by that
+    column, so that later joins and groups on it find their rows in place. The files belong to the
+    run and go when the folder is cleared.
+    """
+    spark = df.sparkSession
+    name = f"corpuslens_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}"
+    if by is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    # As many buckets as shuffle partitions; on one machine no more than its cores are of use.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.sparkContext.master.startswith("local"):
+        buckets = min(buckets, cores)
+    df.repartition(buckets, by).write.bucketBy(buckets, by).option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = CORPUS) -> DataFrame:
