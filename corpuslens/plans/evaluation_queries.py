@@ -21,7 +21,7 @@ from corpuslens.streaming.score_stream import score_stream
 
 _METRICS = ("accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_precision", "weighted_recall", "weighted_f1")
 _VECTOR = S.with_(*VECTOR_PREDS, S.confusion("preds"), S.per_class(), S.overall())
-_TEXT = S.with_(*nb_sql("multinomial"), TEXT_PREDS, S.confusion("preds"), S.per_class(), S.overall())
+_TEXT = S.with_(*nb_sql("multinomial", label="source"), TEXT_PREDS, S.confusion("preds"), S.per_class(), S.overall())
 _OVERALL = "SELECT " + ", ".join(f"round({m}, 6) AS {m}" for m in _METRICS) + ", n_docs FROM total"
 
 
@@ -97,7 +97,7 @@ def strong_weak_classes(spark, d):
 
 
 @query(
-    S.with_(*nb_sql("complement"), TEXT_PREDS)
+    S.with_(*nb_sql("complement", label="source"), TEXT_PREDS)
     + f"SELECT p.doc_id, y_true, y_pred, trim(replace(substr(d.text, 1, 250), chr(10), ' ')) AS snippet, CAST({S.word_count('d.text')} AS BIGINT) AS word_len "
     "FROM (SELECT * FROM preds WHERE y_true <> y_pred ORDER BY doc_id LIMIT 6) p JOIN docs d ON d.doc_id = p.doc_id"
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from corpuslens.operators import evaluate as E, experiments as G, fit as M, linear_scores as L, split as P
 from corpuslens.operators.tfidf import Block, FeatureUnion, word_block
@@ -17,42 +17,42 @@ from corpuslens.sources.tables import read_table, shared_folder
 FEATURES = (1, 2, 2, 0.90, 25_000)  # word (1,2), min_df, max_df, max_features
 
 
-def trained(spark, d, kind="multinomial", alpha=0.1):
+def trained(spark, d, kind="multinomial", alpha=0.1, label="lang"):
     """Split corpus and a Naive Bayes model fitted on its training part."""
-    docs = cleaned_split(spark, d)
+    docs = cleaned_split(spark, d, label)
     train = part(docs, "train")
-    labels = L.class_labels(docs, "lang")
+    labels = L.class_labels(docs, label)
     fitted = word_block().fit(train, "doc_id", "clean")
-    return docs, L.fit_naive_bayes(train, fitted, labels, kind, alpha)
+    return docs, L.fit_naive_bayes(train, fitted, labels, kind, alpha, label)
 
 
-def nb_sql(kind, alpha="0.1", where="split <> 'train'"):
+def nb_sql(kind, alpha="0.1", where="split <> 'train'", label="lang"):
     return [
         S.CLEANED,
-        S.split("s", "docs"),
+        S.split("s", "docs", label=label),
         "train AS MATERIALIZED (SELECT * FROM s WHERE split = 'train')",
         f"eval AS MATERIALIZED (SELECT * FROM s WHERE {where})",
-        S.tokens("t", "s", keep="split, lang,"),
-        S.word_counts("c", "t", 1, 2, "split, lang,"),
+        S.tokens("t", "s", keep=f"split, {label},"),
+        S.word_counts("c", "t", 1, 2, f"split, {label},"),
         S.vocabulary("v", "c", "train", 2, 0.90, 25_000, "WHERE split = 'train'"),
-        S.weights("w", "c", "v", "split, lang,"),
+        S.weights("w", "c", "v", f"split, {label},"),
         "tw AS (SELECT * FROM w WHERE split = 'train')",
-        S.naive_bayes(kind, "tw", "v", "train", alpha=alpha),
-        S.scores("sc", "eval", "w"),
+        S.naive_bayes(kind, "tw", "v", "train", label=label, alpha=alpha),
+        S.scores("sc", "eval", "w", label=label),
         S.argmax("best", "sc"),
     ]
 
 
-def text_predictions(spark, d, kind="multinomial"):
+def text_predictions(spark, d, kind="multinomial", label="source"):
     """``doc_id, split, y_true, y_pred`` of the validation and test documents."""
-    docs, model = trained(spark, d, kind)
+    docs, model = trained(spark, d, kind, label=label)
     held = part(docs, "val", "test")
-    return docs, model.predict(held).join(held.select("doc_id", "split", "lang"), "doc_id").select(
-        "doc_id", "split", F.col("lang").alias("y_true"), F.col("prediction").alias("y_pred")
+    return docs, model.predict(held).join(held.select("doc_id", "split", label), "doc_id").select(
+        "doc_id", "split", F.col(label).alias("y_true"), F.col("prediction").alias("y_pred")
     )
 
 
-TEXT_PREDS = "preds AS MATERIALIZED (SELECT b.doc_id, e.split, e.lang AS y_true, b.prediction AS y_pred FROM best b JOIN eval e ON e.doc_id = b.doc_id)"
+TEXT_PREDS = "preds AS MATERIALIZED (SELECT b.doc_id, e.split, e.source AS y_true, b.prediction AS y_pred FROM best b JOIN eval e ON e.doc_id = b.doc_id)"
 
 
 def vector_predictions(spark, d):
@@ -63,10 +63,6 @@ def vector_predictions(spark, d):
     return found.select("vec_id", "split", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"), "cosine")
 
 
-def _dims(vec):
-    return f"list_transform(range(1, 65), lambda i: CAST({vec}[i] AS DOUBLE))"
-
-
 VECTOR_PREDS = [
     S.split("vs", "embeddings", "vec_id", "label"),
     "cells AS (SELECT vec_id, label, split, unnest(range(1, 65)) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM vs)",
