@@ -6,6 +6,7 @@ corresponds to Spark's ``regParam = 1 / (C * n)`` on the mean loss.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpuslens.operators.split import split_hash
 from corpuslens.plans.joins import lookup_join
+from corpuslens.sources.tables import keep_table
 
 
 def with_label_index(df: DataFrame, labels: Sequence, label: str = "lang", out_col: str = "y") -> DataFrame:
@@ -40,6 +42,9 @@ def with_class_weight(df: DataFrame, y: str = "y", out_col: str = "weight") -> D
     return lookup_join(df, counts, y).withColumn(out_col, total / (classes * F.col("__n"))).drop("__n")
 
 
+ROWS_PER_TASK = 2_000
+
+
 @dataclass
 class Classifier:
     """Settings of one fit; ``kind``: linear_svc, logreg, sgd_log, multinomial_nb, complement_nb, mlp."""
@@ -53,6 +58,8 @@ class Classifier:
     parallelism: int = 4
 
     def fit(self, train: DataFrame, n_docs: int, n_classes: int, n_features: int | None = None, features: str = "features", y: str = "y"):
+        # An optimiser step is one job over the rows: tasks of a few rows would be all scheduling.
+        train = train.coalesce(n_docs // ROWS_PER_TASK + 1)
         columns = dict(featuresCol=features, labelCol=y)
         weight = {}
         if self.class_weight == "balanced":
@@ -143,7 +150,7 @@ def fit_calibrated_svc(
     """Sigmoid-calibrated one-vs-rest SVC. ``train`` should be persisted: it is read many times.
 
     Each fold's margins on the left-out part calibrate that fold's model; targets are smoothed by the
-    class sizes, which a weighted logistic regression on the margin expresses exactly.
+    class sizes.
     """
     base = base or Classifier("linear_svc", class_weight="balanced")
     train = train.withColumn("__fold", fold_id(id_col, folds))
@@ -153,26 +160,47 @@ def fit_calibrated_svc(
     for k in range(folds):
         part = train.filter(F.col("__fold") != k).drop("__fold")
         model = base.fit(part, total - sizes.get(k, 0), len(labels), features=features, y=y)
-        margins = (
+        margins = keep_table(
             model.transform(train.filter(F.col("__fold") == k))
             .select(y, vector_to_array("rawPrediction").alias("m"))
-            .persist()
+            .coalesce(sizes.get(k, 0) // ROWS_PER_TASK + 1)
         )
         positives = {int(r[y]): r["n"] for r in margins.groupBy(y).agg(F.count("*").alias("n")).collect()}
         everything = sum(positives.values())
-        fold_sigmoids = []
-        for i in range(len(labels)):
-            n_pos = positives.get(i, 0)
-            n_neg = everything - n_pos
-            target = F.when(F.col(y) == i, (n_pos + 1.0) / (n_pos + 2.0)).otherwise(1.0 / (n_neg + 2.0))
-            both = F.array(
-                F.struct(F.lit(1.0).alias("t"), target.alias("tw")), F.struct(F.lit(0.0).alias("t"), (F.lit(1.0) - target).alias("tw"))
-            )
-            rows = margins.select(F.get("m", F.lit(i)).alias("v"), both.alias("both")).select("v", F.inline("both"))
-            rows = rows.select(array_to_vector(F.array("v")).alias("x"), "t", "tw")
-            lr = LogisticRegression(featuresCol="x", labelCol="t", weightCol="tw", regParam=0.0, maxIter=30, standardization=False).fit(rows)
-            fold_sigmoids.append((float(lr.coefficients[0]), float(lr.intercept)))
-        margins.unpersist()
+        sizes_out = [(positives.get(i, 0), everything - positives.get(i, 0)) for i in range(len(labels))]
+        fold_sigmoids = _fit_sigmoids(margins, sizes_out, y)
         models.append(model)
         sigmoids.append(fold_sigmoids)
     return CalibratedSVC(models, sigmoids)
+
+
+def _fit_sigmoids(margins: DataFrame, sizes: list[tuple[int, int]], y: str, steps: int = 30) -> list[tuple[float, float]]:
+    """``(a, b)`` per class of ``1 / (1 + exp(-(a * margin + b)))`` by Newton steps on smoothed targets.
+
+    All classes advance together: a step is one aggregate over the margins and brings back five sums
+    per class, which do not grow with the data.
+    """
+    n = len(sizes)
+    ab = [[0.0, math.log((pos + 1.0) / (neg + 1.0))] for pos, neg in sizes]
+    for _ in range(steps):
+        sums = []
+        for i, (pos, neg) in enumerate(sizes):
+            m = F.get("m", F.lit(i))
+            target = F.when(F.col(y) == i, (pos + 1.0) / (pos + 2.0)).otherwise(1.0 / (neg + 2.0))
+            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(ab[i][0]) * m + F.lit(ab[i][1]))))
+            gap, curve = target - p, p * (F.lit(1.0) - p)
+            sums += [F.sum(gap * m), F.sum(gap), F.sum(curve * m * m), F.sum(curve * m), F.sum(curve)]
+        row = margins.agg(*sums).first()
+        moved = 0.0
+        for i in range(n):
+            ga, gb, haa, hab, hbb = (row[5 * i + j] or 0.0 for j in range(5))
+            haa, hbb = haa + 1e-9, hbb + 1e-9
+            det = haa * hbb - hab * hab
+            da, db = ((hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det) if det > 0 else (0.0, 0.0)
+            # A damped step keeps separable classes from running away.
+            scale = min(1.0, 5.0 / max(abs(da), abs(db), 1e-12))
+            ab[i] = [ab[i][0] + scale * da, ab[i][1] + scale * db]
+            moved = max(moved, abs(da), abs(db))
+        if moved < 1e-6:
+            break
+    return [(a, b) for a, b in ab]

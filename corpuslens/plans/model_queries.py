@@ -10,7 +10,7 @@ from corpuslens.plans import sql as S
 from corpuslens.plans.corpus import cleaned, cleaned_split, part
 from corpuslens.plans.registry import query
 from corpuslens.sources.models import load_first, save_model
-from corpuslens.sources.tables import read_table, shared_folder
+from corpuslens.sources.tables import keep_table, read_table, shared_folder
 
 # ---------------------------------------------------------------- shared plans
 
@@ -198,10 +198,11 @@ def _ml(spark, d, blocks, label="lang"):
     train = part(docs, "train")
     labels = L.class_labels(docs, label)
     union = FeatureUnion(blocks).fit(train)
-    terms = union.terms().persist()
+    terms = keep_table(union.terms())
     size = terms.count()
     vectors = union.vectors(docs, terms, size, keep=[label, "split"])
-    vectors = M.with_label_index(vectors, labels, label).persist()
+    # Optimisers read their input dozens of times: a table behind it, memory in front of it.
+    vectors = keep_table(M.with_label_index(vectors, labels, label), "doc_id").persist()
     return vectors, labels, size
 
 
@@ -236,7 +237,7 @@ def fit_sgd_log(spark, d):
 def fit_calibrated_svc(spark, d):
     """Calibrated SVC on word and character features, trained on training plus validation documents."""
     vectors, labels, _ = _ml(spark, d, [word_block(max_features=5000), Block("char_wb", 3, 5, 2, 0.90, 5000)])
-    train = P.union_train_val(vectors).persist()
+    train = part(vectors, "train", "val")
     model = M.fit_calibrated_svc(train, labels, base=M.Classifier("linear_svc", class_weight="balanced", max_iter=20))
     return _report(M.predict_labels(model, part(vectors, "test"), labels, [F.col("lang").alias("y_true")]))
 
@@ -244,7 +245,7 @@ def fit_calibrated_svc(spark, d):
 def _embeddings(spark, d):
     vectors = P.stratified_split(read_table(spark, d, "embeddings", spread="vec_id"), "vec_id", "label")
     labels = L.class_labels(vectors, "label")
-    return M.with_label_index(M.embedding_vectors(vectors), labels, "label").persist(), labels
+    return keep_table(M.with_label_index(M.embedding_vectors(vectors), labels, "label"), "vec_id").persist(), labels
 
 
 @query()
