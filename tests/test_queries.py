@@ -6,7 +6,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 # Fits, timings and files: checked by rows only.
 NO_SQL = {
-    "ingest_text_files", "scoring_latency", "score_stream_docs", "fit_linear_svc", "fit_logreg", "fit_sgd_log", "fit_calibrated_svc",
+    "scoring_latency", "score_stream_docs", "fit_linear_svc", "fit_logreg", "fit_sgd_log", "fit_calibrated_svc",
     "fit_embedding_logreg", "fit_mlp", "experiment_grid", "optimisation_grid", "model_comparison",
 }
 
