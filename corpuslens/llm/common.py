@@ -125,3 +125,19 @@ def contracted(edges: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1])], names=["a", "b"])
 
     return edges.select("a", "b").filter("a is not null and b is not null").mapInArrow(stars, "a long, b long")
+
+
+#: Up to so many ids are sent to every task; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def flagged(df: DataFrame, ids: DataFrame, key: str, flag: str, most: int = BROADCAST_IDS) -> DataFrame:
+    """``df`` with a boolean ``flag``: whether its key is among ``ids`` (a table of unique non-null keys).
+
+    The ids are counted first: a table of at most ``most`` goes to every task, so that texts stay where
+    they are; a larger one is joined by shuffle.
+    """
+    ids = ids.select(F.col(key), F.lit(True).alias(flag))
+    if ids.limit(most + 1).count() <= most:
+        ids = F.broadcast(ids)
+    return df.join(ids, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
