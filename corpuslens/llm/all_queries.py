@@ -1,4 +1,4 @@
 """Importing this module registers every query of the subpackage."""
 
-from corpuslens.llm import line_dedup, mixing, quality_rules, url_filter, warc  # noqa: F401
+from corpuslens.llm import line_dedup, mixing, quality_rules, url_filter, vector_dedup, warc  # noqa: F401
 from corpuslens.llm.registry import ORACLE, QUERIES  # noqa: F401
