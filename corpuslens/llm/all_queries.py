@@ -1,4 +1,4 @@
 """Importing this module registers every query of the subpackage."""
 
-from corpuslens.llm import html_text, line_dedup, mixing, packing, quality_rules, shingle_join, url_filter, vector_dedup, warc  # noqa: F401
+from corpuslens.llm import cotraining, html_text, line_dedup, mixing, packing, quality_rules, shingle_join, url_filter, vector_dedup, warc  # noqa: F401
 from corpuslens.llm.registry import ORACLE, QUERIES  # noqa: F401
