@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from corpuslens.llm.common import Scratch, WORD, count_words, read
+from corpuslens.llm.common import Scratch, WORD, count_words, read, with_small
 from corpuslens.llm.registry import query
 
 WEIGHTS = (3, 1, 2)
@@ -67,19 +67,28 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: tu
     return rows.select("source_key", "source_size", target.cast("double").alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: tuple[int, int] = (3, 2), most: int = 2, seed: str = SEED) -> DataFrame:
+def _keyed(docs: DataFrame, seed: str) -> DataFrame:
+    """The documents with ``size, key, source_key`` and ``slot``, the range their key falls in."""
+    key = sampling_key(F.col("doc_id"), quality_weight(F.col("text")), seed)
+    source_key = F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
+    rows = docs.select("*", count_words(F.col("text")).alias("size"), key.alias("key"), source_key.alias("source_key"))
+    return rows.withColumn("slot", F.least(F.floor(F.col("key") * RANGES), F.lit(LAST_RANGE)).cast("int"))
+
+
+def mix(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: tuple[int, int] = (3, 2), most: int = 2, seed: str = SEED, texts: bool = False
+) -> DataFrame:
     """``doc_id, source, size, source_size, target, epochs, part, taken``, one row per document row.
 
     ``size`` is the number of words, 0 for a null text; ``epochs`` whole copies and ``part`` more words
     are taken, so that the words of a source add up to its target, rounded down; one document per source
     is taken in part. Null sources are one source. Equal ids have equal keys, and ties go by size;
-    a null id has a key like any other. Other columns play no part.
+    a null id has a key like any other. With ``texts`` all columns of the documents come along, but those
+    named like a result; of the texts only those in the range where a budget ends are moved.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    rows = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), sampling_key(F.col("doc_id"), quality_weight(F.col("text")), seed).alias("key"))
-    source_key = F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
-    slot = F.least(F.floor(F.col("key") * RANGES), F.lit(LAST_RANGE)).cast("int")
-    rows = scratch.keep(rows.withColumn("source_key", source_key).withColumn("slot", slot))
+    docs = docs.drop("size", "key", "source_key", "slot", "source_size", "target", "epochs", "part", "taken", "rest", "end_slot", "end_before")
+    rows = scratch.keep(_keyed(docs.select("doc_id", "source", "text"), seed).drop("text"))
 
     slots = scratch.keep(rows.groupBy("source_key", "slot").agg(F.sum("size").alias("n")))
     sizes = slots.groupBy("source_key").agg(F.sum("n").alias("source_size"))
@@ -91,16 +100,24 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: tuple[int, int
     ends = ends.groupBy("source_key").agg(F.min("slot").alias("end_slot"), F.min_by(F.col("upto") - F.col("n"), "slot").alias("end_before"))
     goals = scratch.keep(goals.join(ends, "source_key", "left"))
 
-    rows = rows.join(goals, "source_key")
-    at_end = F.col("slot") == F.col("end_slot")
+    rows = with_small(_keyed(docs, seed) if texts else rows, goals, ["source_key"])
+    at_end = F.coalesce(F.col("slot") == F.col("end_slot"), F.lit(False))
     before = F.sum("size").over(Window.partitionBy("source_key").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1))
     left = F.col("rest") - F.col("end_before") - F.coalesce(before, F.lit(0))
     inside = rows.filter(at_end).withColumn("part", F.least(F.greatest(left, F.lit(0)), "size"))
-    outside = rows.filter(~F.coalesce(at_end, F.lit(False))).withColumn(
-        "part", F.when(F.col("end_slot").isNull() | (F.col("slot") < F.col("end_slot")), F.when(F.col("rest") > 0, F.col("size")).otherwise(F.lit(0))).otherwise(F.lit(0)).cast("long")
-    )
+    chosen = (F.col("rest") > 0) & (F.col("end_slot").isNull() | (F.col("slot") < F.col("end_slot")))
+    outside = rows.filter(~at_end).withColumn("part", F.when(chosen, F.col("size")).otherwise(F.lit(0)).cast("long"))
     taken = F.col("epochs") * F.col("size") + F.col("part")
-    return inside.unionByName(outside).select("doc_id", "source", "size", "source_size", "target", "epochs", "part", taken.alias("taken"))
+    columns = docs.columns if texts else ["doc_id", "source"]
+    return inside.unionByName(outside).select(*columns, "size", "source_size", "target", "epochs", "part", taken.alias("taken"))
+
+
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """The mixed documents themselves, each row as often as it is taken; the one taken in part is whole or not, whichever is nearer."""
+    mixed = mix(docs.select("doc_id", "source", "text", F.struct("*").alias("__row")), texts=True, **options)
+    copies = F.col("epochs") + ((F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))).cast("int")
+    each = F.when(copies > 0, F.sequence(F.lit(1), copies.cast("int")))
+    return mixed.select("__row", F.explode(each)).select("__row.*")
 
 
 SQL = f"""

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuslens.llm.common import BROADCAST_IDS, Scratch, components, read
+from corpuslens.llm.common import BROADCAST_IDS, Scratch, components, read, with_small
 from corpuslens.llm.registry import query
 
 WORDS = 3
@@ -184,13 +184,14 @@ def mark_of(text):
 
 
 def group_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """``doc_id, mark, n_shingles, component_id``, one row per row of ``doc_id, text``.
+    """``doc_id, mark, n_shingles, component_id, group``, one row per row of ``doc_id, text``.
 
     Words are runs of other than blanks, A-Z in lower case. Documents link when the Jaccard similarity
     of their sets reaches ``similarity``; ``component_id`` is the smallest doc_id reachable. Null, empty
     and blank texts have empty sets and link with nothing, each its own component (also among rows of
     one id). Rows that share an id but not the text are joined like any others by that id's smallest
-    component; a null id is never the smallest beside others. ``mark`` is the MD5 of the text.
+    component; a null id is never the smallest beside others. ``mark`` is the MD5 of the text, and ``group``
+    tells components apart also where ids are null.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "shingles")
@@ -253,7 +254,30 @@ def group_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, w
     smallest = all_ids.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     out = all_ids.join(smallest, "component", "left")
     component = F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "mark", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.select("doc_id", "mark", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("component").alias("group"))
+
+
+def one_of_each_group(docs: DataFrame, similarity: tuple[int, int], words: int) -> DataFrame:
+    """The documents without near-duplicates: of each group the row with the smallest id, then MD5, stays.
+
+    Of equal rows one stays. Documents without words are no group and all stay. What goes is told to the
+    scan of the documents, so texts are not moved unless very many go.
+    """
+    scratch = Scratch(docs.sparkSession, "groups")
+    rows = scratch.keep(group_documents(docs, similarity, words).filter("n_shingles > 0"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark"))
+    by_row = rows.groupBy("group", "doc_id", "mark").agg(F.count("*").alias("copies"))
+    stays = by_row.groupBy("group").agg(best.alias("best")).select("group", F.col("best.doc_id").alias("id"), F.col("best.mark").alias("of"))
+    is_best = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("of"))
+    odd = by_row.join(stays, "group").withColumn("is_best", is_best).filter("not is_best or copies > 1")
+    # ids may be null, and joins on them must not lose rows
+    odd = scratch.keep(odd.groupBy(F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("doc_id").isNull().alias("__none"), F.col("mark").alias("__mark")).agg(F.max("is_best").alias("__best")))
+    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull(), "__mark": mark_of(F.col("text"))})
+    told = with_small(keyed, odd, ["__id", "__none", "__mark"])
+    if odd.filter("__best").isEmpty():
+        return told.filter("__best is null").select(*docs.columns)
+    again = told.filter("__best").dropDuplicates(["__id", "__none", "__mark"])
+    return told.filter("__best is null").unionByName(again).select(*docs.columns)
 
 
 SQL = r"""

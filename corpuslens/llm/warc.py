@@ -15,7 +15,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from corpuslens.llm.common import BROADCAST_IDS, Scratch, read
+from corpuslens.llm.common import Scratch, read, with_small
 from corpuslens.llm.registry import query
 
 MAGIC, END = "WARC/1.", "\r\n\r\n"
@@ -25,11 +25,6 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_BYTES = 1000
 
 
-def with_small(df: DataFrame, small: DataFrame, on: list[str], most: int = BROADCAST_IDS) -> DataFrame:
-    """Left join; ``small`` is counted, and goes to every task if it has at most ``most`` rows."""
-    return df.join(F.broadcast(small) if small.limit(most + 1).count() <= most else small, on, "left")
-
-
 def payload_digest(payload: Column) -> Column:
     return F.sha1(payload.cast("binary"))
 
