@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from corpuslens.llm.common import SPACE, Scratch, flagged, read
 from corpuslens.llm.registry import query
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 BUCKETS = 1 << 18
 SMOOTHING = 0.5
@@ -22,7 +22,11 @@ THRESHOLD = -0.4
 
 
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    """Words of a text; blanks are made one kind first, because splitting at a single character is fast."""
+    even = F.coalesce(text, F.lit(""))
+    for c in SPACE[1:]:
+        even = F.replace(even, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(even, " "), "")
 
 
 def gram_buckets(hashes: Column, buckets: int) -> Column:
@@ -64,13 +68,14 @@ def base_columns(docs: DataFrame) -> DataFrame:
     only texts with a repeated window are sorted with places.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
-    df = docs.withColumns(
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    df = docs.withColumn("__words", words_of(F.col("text")))
+    df = df.withColumns(
         {
-            "__h": F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)),
+            "__h": F.transform("__words", lambda w: F.xxhash64(w)),
             "__lines": lines,
-            "word_chars": F.length(F.translate(text, SPACE, "")).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+            "word_chars": F.length(F.array_join("__words", "")).cast("long"),
+            "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
         }
     )
     h = F.col("__h")
@@ -91,7 +96,7 @@ def base_columns(docs: DataFrame) -> DataFrame:
     repeats = F.filter(s, lambda x, i: near(i - 1, x) | near(i + 1, x))
     places = F.sort_array(F.transform(repeats, lambda x: x["i"]))
     df = df.withColumn("n_repeat_words", F.when(s.isNull(), F.lit(0)).otherwise(covered(places)).cast("long"))
-    return df.drop("__lines", "__w", "__s")
+    return df.drop("__words", "__lines", "__w", "__s")
 
 
 def judge_quality(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
