@@ -17,6 +17,8 @@ from corpuslens.operators.tfidf import FeatureUnion, FittedBlock
 from corpuslens.sources.tables import keep_table
 
 MAX_CLASSES = 1_000
+# A table of class weights of at most this many numbers may be sent to every task.
+BROADCAST_WEIGHTS = 16_000_000
 
 
 def class_counts(df: DataFrame, label: str = "lang", max_classes: int = MAX_CLASSES) -> dict:
@@ -42,6 +44,12 @@ class LinearTextModel:
     intercepts: list[float]
     confidence_type: str
 
+    def _is_small(self) -> bool:
+        """Whether the weights may be broadcast; the table is counted once."""
+        if not hasattr(self, "_rows"):
+            self._rows = self.table.count()
+        return self._rows * max(1, len(self.labels)) <= BROADCAST_WEIGHTS
+
     def _weighed(self, df: DataFrame, id_col: str, text: str) -> DataFrame:
         """Document terms with their TF-IDF weight before normalisation and the class weights."""
         out = None
@@ -50,8 +58,8 @@ class LinearTextModel:
             counts = part.block.counts(df, id_col, text)
             table = self.table.filter(F.col("channel") == channel).select("term", "idf", "weights")
             tf = F.log("tf") + F.lit(1.0) if part.block.sublinear else F.col("tf").cast("double")
-            # The vocabulary is bounded by max_features, its weights by the number of classes.
-            rows = counts.join(F.broadcast(table), "term").select(
+            # A large table is joined by term, in plain shuffled form: skewed terms are split at run time.
+            rows = counts.join(F.broadcast(table) if self._is_small() else table, "term").select(
                 id_col, F.lit(channel).alias("channel"), "term", (tf * F.col("idf")).alias("x"), "weights"
             )
             out = rows if out is None else out.unionByName(rows)
@@ -81,38 +89,22 @@ class LinearTextModel:
     def explain(self, df: DataFrame, k: int = 8, id_col: str = "doc_id", text: str = "clean") -> DataFrame:
         """``(id, prediction, rank, feature, score, type)``: the k terms that raise the predicted class most.
 
-        A document's terms are gathered once; that list is bounded by the document itself.
+        The class is found first; then each term keeps only its weight for that class.
         """
-        rows = self._weighed(df, id_col, text)
-        per_channel = Window.partitionBy(id_col, "channel")
-        rows = rows.withColumn("x", F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(per_channel)))
-        sums = [F.sum(F.col("x") * F.get("weights", F.lit(i))) for i in range(len(self.labels))]
-        gathered = rows.groupBy(id_col).agg(
-            F.array(*[s + F.lit(self.intercepts[i]) for i, s in enumerate(sums)]).alias("scores"),
-            F.collect_list(F.struct("channel", "term", "x", "weights")).alias("cells"),
-        )
-        best = gathered.withColumn("best", F.array_position("scores", F.array_max("scores")).cast("int") - 1)
-        parts = F.transform(
-            "cells",
-            lambda c: F.struct(
-                (-F.round(c["x"] * F.get(c["weights"], F.col("best")), 9)).alias("minus"),
-                c["term"].alias("term"),
-                c["channel"].alias("channel"),
-            ),
-        )
-        top = F.slice(F.sort_array(F.filter(parts, lambda c: c["minus"] < 0)), 1, k)
-        labels = F.array(*[F.lit(v) for v in self.labels])
-        return (
-            best.select(id_col, F.get(labels, F.col("best")).alias("prediction"), top.alias("top"))
-            .select(id_col, "prediction", F.posexplode("top").alias("pos", "cell"))
-            .select(
-                id_col,
-                "prediction",
-                (F.col("pos") + 1).cast("long").alias("rank"),
-                F.col("cell.term").alias("feature"),
-                (-F.col("cell.minus")).alias("score"),
-                F.when(F.col("cell.channel") == "word", "word_token").otherwise("subword_ngram").alias("type"),
-            )
+        names = F.array(*[F.lit(v) for v in self.labels])
+        best = self.scores(df, id_col, text).select(id_col, (F.array_position("scores", F.array_max("scores")).cast("int") - 1).alias("best"))
+        rows = self._weighed(df, id_col, text).join(best, id_col)
+        rows = rows.select(id_col, "channel", "term", "best", "x", F.get("weights", F.col("best")).alias("weight"))
+        norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(id_col, "channel")))
+        rows = rows.withColumn("score", F.round(F.col("x") / norm * F.col("weight"), 9)).filter("score > 0")
+        rank = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("score"), "term", "channel"))
+        return rows.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= k).select(
+            id_col,
+            F.get(names, F.col("best")).alias("prediction"),
+            "rank",
+            F.col("term").alias("feature"),
+            "score",
+            F.when(F.col("channel") == "word", "word_token").otherwise("subword_ngram").alias("type"),
         )
 
 
@@ -220,14 +212,12 @@ def centroid_classify(df: DataFrame, centroids: DataFrame, label: str = "label",
 
     The classes-by-dimensions table arrives as one value; rows are neither joined nor multiplied.
     """
-    packed = centroids.agg(F.sort_array(F.collect_list(F.struct(F.col(label), F.col("centroid"))))).scalar()
+    norm = F.sqrt(_dot(F.col("centroid"), F.col("centroid")))
+    unit = centroids.select(label, F.transform("centroid", lambda x: x / norm).alias("centroid"))
+    packed = unit.agg(F.sort_array(F.collect_list(F.struct(F.col(label), F.col("centroid"))))).scalar()
+    rows = df.withColumn("__centroids", packed).withColumn("__norm", F.sqrt(_dot(F.col(vector), F.col(vector))))
     scored = F.transform(
         F.col("__centroids"),
-        lambda c: F.struct(
-            (-F.round(_dot(F.col(vector), c["centroid"]) / F.sqrt(_dot(F.col(vector), F.col(vector)) * _dot(c["centroid"], c["centroid"])), 9)).alias("minus"),
-            c[label].alias("label"),
-        ),
-    )
-    return df.withColumn("__centroids", packed).withColumn("__best", F.array_min(scored)).select(
-        *df.columns, F.col("__best.label").alias(out_col), (-F.col("__best.minus")).alias("cosine")
+        lambda c: F.struct((-F.round(_dot(F.col(vector), c["centroid"]) / F.col("__norm"), 9)).alias("minus"), c[label].alias("label")),
     )
+    return rows.withColumn("__best", F.array_min(scored)).select(*df.columns, F.col("__best.label").alias(out_col), (-F.col("__best.minus")).alias("cosine"))

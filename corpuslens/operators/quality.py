@@ -28,8 +28,10 @@ def valid_docs(df: DataFrame, text: str = "text", min_words: int = MIN_WORDS) ->
 
 
 def text_key(text: str = "text") -> Column:
-    """The text as a short key: only this is shuffled, never the text, when copies are looked for."""
-    return F.sha2(F.col(text), 256)
+    """The text as a short key: only this is shuffled, never the text, when copies are looked for.
+
+    Null texts are copies of each other; their key is empty."""
+    return F.coalesce(F.sha2(F.col(text), 256), F.lit(""))
 
 
 def _copies(df: DataFrame, id_col: str, text: str) -> DataFrame:

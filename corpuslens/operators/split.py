@@ -57,8 +57,12 @@ def stratified_split(
     Equal to ranking each class by hash, without sorting a class in one task: per (class, hash
     bucket) counts locate the bucket each cut falls into. Documents in other buckets are decided
     where they are; only the cut buckets, a 16^-digits share of a class, are ranked. ``df`` is read
-    three times: keep it, or write it to a table, when it is costly to make.
+    three times: keep it, or write it to a table, when it is costly to make. Rows without a label are
+    a class of their own, the first in label order.
     """
+    # as a struct, a null label equals itself in joins
+    named, label = label, "__label"
+    df = df.withColumn(label, F.struct(named))
     buckets = df.select(label, _bucket(split_hash(id_col, seed), bucket_digits).alias("__bucket"))
     # At most classes x 16^digits rows: kept, because the quotas and the cuts both come from it.
     counts = buckets.groupBy(label, "__bucket").agg(F.count("*").alias("__n")).persist()
@@ -86,7 +90,7 @@ def stratified_split(
     in_hold = (bucket < hold_b) | ((bucket == hold_b) & (F.col("__rank") <= F.col("__holdout.need")))
     ranked = rows.filter(is_cut).withColumn("__rank", rank)
     ranked = ranked.withColumn("split", F.when(in_test, "test").when(in_hold, "val").otherwise("train"))
-    return decided.unionByName(ranked.drop("__rank")).drop("__hash", "__bucket", "__test", "__holdout")
+    return decided.unionByName(ranked.drop("__rank")).drop("__hash", "__bucket", "__test", "__holdout", label)
 
 
 def _bucket(hashed: Column, digits: int) -> Column:

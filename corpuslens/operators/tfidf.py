@@ -22,6 +22,24 @@ def count_rows(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
+def most_frequent(terms: DataFrame, k: int) -> DataFrame:
+    """The ``k`` terms with the highest ``cf``, ties by term. ``terms`` should be kept: it is read four times.
+
+    No task ranks the vocabulary: terms are counted per frequency, which tells the frequency the cut
+    falls into; its terms are counted per prefix, and only those of one prefix are ranked.
+    """
+    above = Window.orderBy(F.desc("cf"))
+    by_cf = terms.groupBy("cf").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(above))
+    cut = by_cf.filter(F.col("upto") > k).agg(F.max(F.struct("cf", (F.lit(k) - F.col("upto") + F.col("n")).alias("need")))).scalar()
+    ties = terms.filter(F.col("cf") == cut["cf"]).withColumn("__prefix", F.substr("term", F.lit(1), F.lit(4)))
+    by_prefix = ties.groupBy("__prefix").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(Window.orderBy("__prefix")))
+    last = by_prefix.filter(F.col("upto") > cut["need"]).agg(F.min(F.struct("__prefix", (cut["need"] - F.col("upto") + F.col("n")).alias("need")))).scalar()
+    before = ties.filter(last.isNull() | (F.col("__prefix") < last["__prefix"]))
+    ranked = ties.filter(F.col("__prefix") == last["__prefix"]).withColumn("__rank", F.row_number().over(Window.partitionBy("__prefix").orderBy("term")))
+    whole = terms.filter(cut.isNull() | (F.col("cf") > cut["cf"]))
+    return whole.unionByName(before.drop("__prefix")).unionByName(ranked.filter(F.col("__rank") <= last["need"]).drop("__prefix", "__rank"))
+
+
 @dataclass
 class Vocabulary:
     """``terms``: ``term, df, cf, idf``; ``bounded`` tells that it holds at most BOUNDED_TERMS rows."""
@@ -48,7 +66,7 @@ class Vocabulary:
         elif max_df < 1.0:
             kept = kept.filter(F.col("df") <= F.lit(max_df) * n_docs)
         if max_features is not None:
-            kept = kept.orderBy(F.desc("cf"), "term").limit(max_features)
+            kept = most_frequent(keep_table(kept), max_features)
         idf = F.log((n_docs + F.lit(1.0)) / (F.col("df") + F.lit(1.0))) + F.lit(1.0)
         return Vocabulary(kept.withColumn("idf", idf), max_features is not None and max_features <= BOUNDED_TERMS)
 

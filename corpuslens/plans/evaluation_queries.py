@@ -145,7 +145,7 @@ def validate_inputs(spark, d):
     return X.validate_inputs(docs).select("doc_id", "cleaned_word_count", "error_message", "success")
 
 
-_NB = S.with_(*nb_sql("multinomial"))
+_NB = S.with_(*nb_sql("multinomial", where="true"))
 _SOFT = (
     _NB.rstrip()
     + ",\nsoft AS MATERIALIZED (SELECT doc_id, label, score, exp(score - max(score) OVER (PARTITION BY doc_id)) / "
@@ -154,9 +154,9 @@ _SOFT = (
 )
 
 
-def _held_scores(spark, d):
+def _all_scores(spark, d):
     docs, model = trained(spark, d)
-    return model, model.scores(part(docs, "val", "test"))
+    return model, model.scores(docs)
 
 
 def _by_label(df, labels, values, name):
@@ -166,15 +166,15 @@ def _by_label(df, labels, values, name):
 
 @query(_SOFT + "SELECT doc_id, label, round(share, 6) AS share FROM soft")
 def softmax_scores(spark, d):
-    model, scores = _held_scores(spark, d)
+    model, scores = _all_scores(spark, d)
     return _by_label(scores.withColumn("s", X.softmax(F.col("scores"))), model.labels, F.col("s"), "share")
 
 
-@query(_SOFT + "SELECT doc_id, rank, label, round(score, 6) AS score FROM ranked WHERE rank <= 3")
+@query(_SOFT + "SELECT doc_id, rank, label, round(score, 4) AS score FROM ranked WHERE rank <= 3")
 def top3_classes(spark, d):
-    model, scores = _held_scores(spark, d)
+    model, scores = _all_scores(spark, d)
     top = scores.select("doc_id", F.posexplode(X.top_classes(F.col("scores"), model.labels)).alias("pos", "c"))
-    return top.select("doc_id", (F.col("pos") + 1).cast("long").alias("rank"), "c.label", F.round("c.score", 6).alias("score"))
+    return top.select("doc_id", (F.col("pos") + 1).cast("long").alias("rank"), "c.label", F.round("c.score", 4).alias("score"))
 
 
 @query(
@@ -183,21 +183,36 @@ def top3_classes(spark, d):
     "(SELECT *, max(score) OVER (PARTITION BY doc_id) AS hi, min(score) OVER (PARTITION BY doc_id) AS lo FROM ranked WHERE rank <= 3)"
 )
 def relative_margins(spark, d):
-    model, scores = _held_scores(spark, d)
+    model, scores = _all_scores(spark, d)
     top = scores.select("doc_id", X.top_classes(F.col("scores"), model.labels)["score"].alias("s"))
     bars = top.select("doc_id", F.posexplode(X.relative_margins(F.col("s"))).alias("pos", "margin"))
     return bars.select("doc_id", (F.col("pos") + 1).cast("long").alias("rank"), F.round("margin", 6).alias("margin"))
 
 
-_SCORED_ALL = [x.replace("eval AS MATERIALIZED (SELECT * FROM s WHERE split <> 'train')", "eval AS MATERIALIZED (SELECT * FROM s)") for x in nb_sql("multinomial")]
-_SCORE_SQL = (
-    S.with_(*_SCORED_ALL).rstrip()
-    + ",\nsoft AS MATERIALIZED (SELECT doc_id, label, score, exp(score - m) / sum(exp(score - m)) OVER (PARTITION BY doc_id) AS share FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS m FROM sc)),\n"
+
+
+def _score_sql(rows):
+    """Class scores of raw ``rows (doc_id, text)`` by the model of the clean corpus."""
+    return (
+        S.with_(
+            *nb_sql("multinomial")[:-2],
+            f"raw AS MATERIALIZED (SELECT doc_id, text, {S.clean('text')} AS clean FROM ({rows}))",
+            S.tokens("rt", "raw"),
+            S.word_counts("rc", "rt", 1, 2),
+            S.weights("rw", "rc", "v"),
+            S.scores("sc", "raw", "rw"),
+        ).rstrip()
+        + _RANKED
+    )
+
+
+_RANKED = (
+    ",\nsoft AS MATERIALIZED (SELECT doc_id, label, score, exp(score - m) / sum(exp(score - m)) OVER (PARTITION BY doc_id) AS share FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS m FROM sc)),\n"
     "ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rank FROM soft),\n"
-    f"n AS (SELECT doc_id, CAST({S.word_count('clean')} AS BIGINT) AS n FROM docs)\n"
+    f"n AS (SELECT doc_id, trim(coalesce(text, '')) = '' AS blank, CAST({S.word_count('clean')} AS BIGINT) AS n FROM raw)\n"
     "SELECT n.doc_id, n >= 5 AS success, CASE WHEN n >= 5 THEN r1.label END AS predicted_category, CASE WHEN n >= 5 THEN round(r1.share, 4) END AS confidence, "
     "CASE WHEN n >= 5 THEN 'calibrated_probability' END AS confidence_type, CASE WHEN n >= 5 THEN r2.label END AS second, CASE WHEN n >= 5 THEN r3.label END AS third, "
-    f"n AS cleaned_word_count, CASE WHEN n = 0 THEN {S.quote(EMPTY_MESSAGE)} WHEN n < 5 THEN {S.quote(SHORT_MESSAGE)} END AS error_message FROM n "
+    f"n AS cleaned_word_count, CASE WHEN blank THEN {S.quote(EMPTY_MESSAGE)} WHEN n < 5 THEN {S.quote(SHORT_MESSAGE)} END AS error_message FROM n "
     "LEFT JOIN ranked r1 ON r1.doc_id = n.doc_id AND r1.rank = 1 LEFT JOIN ranked r2 ON r2.doc_id = n.doc_id AND r2.rank = 2 LEFT JOIN ranked r3 ON r3.doc_id = n.doc_id AND r3.rank = 3"
 )
 
@@ -210,27 +225,27 @@ def _flat(scored):
     )
 
 
-@query(_SCORE_SQL)
+@query(_score_sql("SELECT doc_id, text FROM documents"))
 def score_docs(spark, d):
-    """The batch form of scoring one text: checks, class, confidence, runners-up, messages."""
-    docs, model = trained(spark, d)
-    return _flat(X.score_docs(docs, model))
+    """The batch form of scoring one text, for all raw documents: checks, class, confidence, runners-up, messages."""
+    _, model = trained(spark, d)
+    return _flat(X.score_docs(C.clean_text(documents(spark, d), "text", "clean"), model))
 
 
-@query()
+@query(_score_sql("SELECT conv_id * 4294967296 + turn AS doc_id, text FROM conversations"))
 def score_stream_docs(spark, d):
     """The same scoring on a stream of conversation texts, run until the input is used up."""
     _, model = trained(spark, d)
     path = f"{shared_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     source = read_table(spark, d, "conversations")
-    key = (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id")
+    key = (F.shiftleft("conv_id", 32) + F.col("turn")).alias("doc_id")
     source.select(key, "text").write.parquet(f"{path}/in")
     stream = spark.readStream.schema("doc_id long, text string").parquet(f"{path}/in")
     score_stream(stream, model, f"{path}/out", f"{path}/state").awaitTermination()
     return _flat(spark.read.parquet(f"{path}/out"))
 
 
-_EXPLAIN = S.with_(*nb_sql("complement"))
+_EXPLAIN = S.with_(*nb_sql("complement", where="true"))
 
 
 @query(
@@ -240,11 +255,11 @@ _EXPLAIN = S.with_(*nb_sql("complement"))
     "WHERE score > 0) WHERE rank <= 8"
 )
 def explain_top_terms(spark, d):
-    """The eight terms that speak most for each held-out document's class."""
+    """The eight terms that speak most for each document's class."""
     docs, model = trained(spark, d, "complement")
     scaled = model.table.withColumn("weights", F.transform("weights", lambda w: w * 1000))
     model = type(model)(model.union, scaled, model.labels, model.intercepts, model.confidence_type)
-    return model.explain(part(docs, "val", "test"))
+    return model.explain(docs)
 
 
 # ---------------------------------------------------------------- dictionary tags and statistics

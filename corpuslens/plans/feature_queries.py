@@ -114,9 +114,9 @@ def word_tokens_min2(spark, d):
     return _tokens(spark, d, 2)
 
 
-@query(S.with_(S.tokens("t", "documents", text="text"), S.word_counts("c", "t", 1, 3)) + "SELECT doc_id, term, tf FROM c WHERE tf > 1")
+@query(S.with_(S.tokens("t", "documents", text="text"), S.word_counts("c", "t", 1, 3)) + "SELECT doc_id, term, tf FROM c")
 def word_ngrams(spark, d):
-    return N.count_word_terms(documents(spark, d), "doc_id", "text", 1, 3).filter("tf > 1")
+    return N.count_word_terms(documents(spark, d), "doc_id", "text", 1, 3)
 
 
 _PER_TERM = "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM c GROUP BY term"

@@ -173,7 +173,7 @@ def split(name: str, table: str, id_col: str = "doc_id", label: str = "lang", se
         target = f"ceil(round({share} * sum({n}) OVER (), 9))"
         return (
             f"{name}_{dst}e AS (SELECT {label}, {keep} {n}, {target} AS target, round({n} * {target} / sum({n}) OVER (), 9) AS exact FROM {name}_{src}),\n"
-            f"{name}_{dst} AS (SELECT {label}, {keep} {n}, CAST(floor(exact) + CASE WHEN row_number() OVER (ORDER BY round(exact - floor(exact), 9) DESC, {label}) "
+            f"{name}_{dst} AS (SELECT {label}, {keep} {n}, CAST(floor(exact) + CASE WHEN row_number() OVER (ORDER BY round(exact - floor(exact), 9) DESC, {label} NULLS FIRST) "
             f"<= target - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS BIGINT) AS {out} FROM {name}_{dst}e)"
         )
 
@@ -183,7 +183,7 @@ def split(name: str, table: str, id_col: str = "doc_id", label: str = "lang", se
             quota("n", "h", "n", "0.3", "n_holdout", ""),
             quota("h", "t", "n_holdout", "0.5", "n_test", ""),
             f"{name} AS MATERIALIZED (SELECT r.* EXCLUDE (rk), CASE WHEN rk <= n_test THEN 'test' WHEN rk <= n_holdout THEN 'val' ELSE 'train' END AS split FROM "
-            f"(SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY md5('{seed}|' || {id_col}), {id_col}) AS rk FROM {table}) r JOIN {name}_t q ON r.{label} = q.{label})",
+            f"(SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY md5('{seed}|' || {id_col}), {id_col}) AS rk FROM {table}) r JOIN {name}_t q ON r.{label} IS NOT DISTINCT FROM q.{label})",
         ]
     )
 
