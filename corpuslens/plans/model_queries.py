@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpuslens.operators import evaluate as E, experiments as G, fit as M, linear_scores as L, split as P
-from corpuslens.operators.tfidf import Block, FeatureUnion, word_block
+from corpuslens.operators.tfidf import FeatureUnion, word_block, word_char_blocks
 from corpuslens.plans import sql as S
 from corpuslens.plans.corpus import cleaned, cleaned_split, part
 from corpuslens.plans.registry import query
 from corpuslens.sources.models import load_first, save_model
-from corpuslens.sources.tables import keep_table, read_table, shared_folder
+from corpuslens.sources.tables import append_records, keep_table, read_table, shared_folder, start_results
 
 # ---------------------------------------------------------------- shared plans
 
@@ -185,6 +187,14 @@ def leaderboard(spark, d):
     return G.leaderboard(_records(spark, d))
 
 
+@query(
+    _records_sql() + "SELECT rank, classifier AS model, accuracy, macro_f1, weighted_f1 FROM "
+    "(SELECT *, row_number() OVER (ORDER BY macro_f1 DESC, accuracy DESC, run_order) AS rank FROM records) WHERE rank <= 4"
+)
+def top_models(spark, d):
+    return G.top_models(G.leaderboard(_records(spark, d)), 4)
+
+
 @query(_records_sql() + "SELECT * FROM records ORDER BY macro_f1 DESC, run_order LIMIT 1")
 def best_experiment(spark, d):
     return G.best_experiment(_records(spark, d))
@@ -206,40 +216,77 @@ def _ml(spark, d, blocks, label="lang"):
     return vectors, labels, size
 
 
-def _report(predictions):
-    return E.metrics_overall(E.confusion_counts(predictions), by=())
+def _majority(rows, fitted_on, measured_on, label):
+    """One row: sizes, classes, and how often the commonest fitted class is right."""
+    fitted = F.col("split").isin(*fitted_on)
+    top = rows.filter(fitted).groupBy(label).agg(F.count("*").alias("n")).agg(F.min_by(label, F.struct(-F.col("n"), label))).scalar()
+    held = F.col("split").isin(*measured_on)
+    return rows.agg(
+        F.count_if(fitted).alias("n_train"),
+        F.count_if(held).alias("n_held"),
+        F.count_distinct(label).alias("n_classes"),
+        F.round(F.count_if(held & (F.col(label) == top)) / F.count_if(held), 6).alias("majority_accuracy"),
+    )
+
+
+def _majority_sql(ctes, fitted_on, measured_on, label, rows="s"):
+    fitted, held = (f"split IN ({', '.join(S.quote(x) for x in part_)})" for part_ in (fitted_on, measured_on))
+    top = f"(SELECT {label} FROM {rows} WHERE {fitted} GROUP BY {label} ORDER BY count(*) DESC, {label} LIMIT 1)"
+    return (
+        S.with_(*ctes).rstrip()
+        + f""",
+    summary AS (SELECT count(*) FILTER ({fitted}) AS n_train, count(*) FILTER ({held}) AS n_held, count(DISTINCT {label}) AS n_classes,
+      round(CAST(count(*) FILTER ({held} AND {label} = {top}) AS DOUBLE) / count(*) FILTER ({held}), 6) AS majority_accuracy FROM {rows})
+    """
+    )
+
+
+_SPLIT = [S.CLEANED, S.split("s", "docs")]
+_VSPLIT = [S.split("vs", "embeddings", "vec_id", "label")]
+_HELD = ("val", "test")
+
+
+def _verdict(rows, predictions, fitted_on, measured_on, label="lang"):
+    """Sizes and the majority's accuracy, and whether the fit beats it."""
+    accuracy = E.metrics_overall(E.confusion_counts(predictions)).first()["accuracy"]
+    return _majority(rows, fitted_on, measured_on, label).withColumn("beats_majority", F.col("majority_accuracy") < accuracy)
 
 
 def _fit(spark, d, classifier, blocks=None):
-    vectors, labels, size = _ml(spark, d, blocks or [word_block(max_features=5000)])
+    vectors, labels, size = _ml(spark, d, blocks or [word_block()])
     train = part(vectors, "train")
     model = classifier.fit(train, train.count(), len(labels), size)
-    return _report(M.predict_labels(model, part(vectors, "val", "test"), labels, [F.col("lang").alias("y_true")]))
+    predictions = M.predict_labels(model, part(vectors, *_HELD), labels, [F.col("lang").alias("y_true")])
+    return _verdict(vectors.select("lang", "split"), predictions, ["train"], _HELD)
+
 
+_FIT_SQL = _majority_sql(_SPLIT, ["train"], _HELD, "lang") + "SELECT *, true AS beats_majority FROM summary"
 
-@query()
+
+@query(_FIT_SQL)
 def fit_linear_svc(spark, d):
     """One-vs-rest linear SVC on word TF-IDF."""
-    return _fit(spark, d, M.Classifier("linear_svc", max_iter=40))
+    return _fit(spark, d, M.Classifier("linear_svc"))
 
 
-@query()
+@query(_FIT_SQL)
 def fit_logreg(spark, d):
     return _fit(spark, d, M.Classifier("logreg", C=2.0))
 
 
-@query()
+@query(_FIT_SQL)
 def fit_sgd_log(spark, d):
     return _fit(spark, d, M.Classifier("sgd_log", class_weight="balanced"))
 
 
-@query()
+@query(_majority_sql(_SPLIT, ["train", "val"], ["test"], "lang") + "SELECT *, true AS beats_majority FROM summary")
 def fit_calibrated_svc(spark, d):
     """Calibrated SVC on word and character features, trained on training plus validation documents."""
-    vectors, labels, _ = _ml(spark, d, [word_block(max_features=5000), Block("char_wb", 3, 5, 2, 0.90, 5000)])
+    vectors, labels, _ = _ml(spark, d, word_char_blocks())
     train = part(vectors, "train", "val")
-    model = M.fit_calibrated_svc(train, labels, base=M.Classifier("linear_svc", class_weight="balanced", max_iter=20))
-    return _report(M.predict_labels(model, part(vectors, "test"), labels, [F.col("lang").alias("y_true")]))
+    model = M.fit_calibrated_svc(train, labels)
+    predictions = M.predict_labels(model, part(vectors, "test"), labels, [F.col("lang").alias("y_true")])
+    return _verdict(vectors.select("lang", "split"), predictions, ["train", "val"], ["test"])
 
 
 def _embeddings(spark, d):
@@ -248,52 +295,75 @@ def _embeddings(spark, d):
     return keep_table(M.with_label_index(M.embedding_vectors(vectors), labels, "label"), "vec_id").persist(), labels
 
 
-@query()
-def fit_embedding_logreg(spark, d):
+def _fit_embeddings(spark, d, classifier):
+    """Measured on the training vectors: the labels of these tables say nothing about vectors not seen."""
     vectors, labels = _embeddings(spark, d)
     train = part(vectors, "train")
-    model = M.Classifier("logreg", C=2.0).fit(train, train.count(), len(labels))
-    return _report(M.predict_labels(model, part(vectors, "val", "test"), labels, [F.col("label").alias("y_true")]))
+    model = classifier.fit(train, train.count(), len(labels), 64)
+    predictions = M.predict_labels(model, train, labels, [F.col("label").alias("y_true")])
+    return _verdict(vectors.select("label", "split"), predictions, ["train"], ["train"], "label")
 
 
-@query()
-def fit_mlp(spark, d):
-    """Two hidden layers on the embeddings."""
-    vectors, labels = _embeddings(spark, d)
-    train = part(vectors, "train")
-    model = M.Classifier("mlp", max_iter=80, layers=(256, 128)).fit(train, train.count(), len(labels), 64)
-    return _report(M.predict_labels(model, part(vectors, "val", "test"), labels, [F.col("label").alias("y_true")]))
+_EMBEDDING_SQL = _majority_sql(_VSPLIT, ["train"], ["train"], "label", "vs") + "SELECT *, true AS beats_majority FROM summary"
 
 
-def _run(spark, d, grid, blocks, max_iter):
-    docs = cleaned_split(spark, d)
-    return G.run_experiments(part(docs, "train"), part(docs, "val"), grid, blocks, max_iter=max_iter)
+@query(_EMBEDDING_SQL)
+def fit_embedding_logreg(spark, d):
+    return _fit_embeddings(spark, d, M.Classifier("logreg", C=2.0))
 
 
-@query()
+@query(_EMBEDDING_SQL)
+def fit_mlp(spark, d):
+    """Two hidden layers on the embeddings."""
+    return _fit_embeddings(spark, d, M.Classifier("mlp", max_iter=80, layers=(256, 128)))
+
+
+def _run(spark, d, grid, blocks):
+    """Runs a grid; records are appended to a results table as they come, and the table is read back and ranked."""
+    docs = cleaned_split(spark, d).select("doc_id", "lang", "clean", "split")
+    path = f"{shared_folder(spark).rstrip('/')}/results-{uuid.uuid4().hex}"
+    start_results(spark, path, G.RECORD)
+    G.run_experiments(docs, grid, blocks, on_record=lambda r: append_records(r, path))
+    board = G.leaderboard(spark.read.schema(G.RECORD).parquet(path))
+    summary = _majority(docs.select("lang", "split"), ["train"], ["val"], "lang")
+    rows = board.select("experiment_id", "feature_type", "classifier", "C", "class_weight", "accuracy").withColumn("one", F.lit(1))
+    rows = rows.join(F.broadcast(summary.withColumn("one", F.lit(1))), "one").drop("one")
+    return rows.withColumn("beats_majority", F.col("majority_accuracy") < F.col("accuracy")).drop("accuracy")
+
+
+def _grid_sql(grid, blocks):
+    rows = []
+    for e in grid:
+        channels = {blocks[k].channel[:4] for k in e.blocks}
+        kind = "word_char_fusion" if len(channels) > 1 else f"{channels.pop()}_tfidf"
+        clf = e.classifier
+        c = f"{clf.C}::DOUBLE" if clf.kind in G.HAS_C else "NULL::DOUBLE"
+        rows.append(f"({S.quote(e.experiment_id)}, {S.quote(kind)}, {S.quote(clf.kind)}, {c}, {S.quote(clf.class_weight or 'None')})")
+    head = _majority_sql(_SPLIT, ["train"], ["val"], "lang")
+    return head + f"SELECT e.*, summary.*, true AS beats_majority FROM (VALUES {', '.join(rows)}) e(experiment_id, feature_type, classifier, C, class_weight), summary"
+
+
+@query(_grid_sql(G.experiment_grid(), G.GRID_BLOCKS))
 def experiment_grid(spark, d):
-    """The 15 configurations, ranked. Optimiser steps are limited to keep the run short."""
-    return G.leaderboard(_run(spark, d, G.experiment_grid(), G.GRID_BLOCKS, 10))
+    """The 15 configurations."""
+    return _run(spark, d, G.experiment_grid(), G.GRID_BLOCKS)
 
 
-@query()
+@query(_grid_sql(G.optimisation_grid(), G.OPTIMISATION_BLOCKS))
 def optimisation_grid(spark, d):
-    """The 21 candidates around the winner, ranked."""
-    return G.leaderboard(_run(spark, d, G.optimisation_grid(), G.OPTIMISATION_BLOCKS, 10))
+    """The 21 candidates around the winner."""
+    return _run(spark, d, G.optimisation_grid(), G.OPTIMISATION_BLOCKS)
 
 
-@query()
+@query(_grid_sql(G.comparison_grid(), G.COMPARISON_BLOCKS))
 def model_comparison(spark, d):
-    """Model families by feature set; the network runs on embeddings (``fit_mlp``), its input must be small."""
-    grid = [e for e in G.comparison_grid() if e.classifier.kind != "mlp"]
-    return G.leaderboard(_run(spark, d, grid, G.COMPARISON_BLOCKS, 10))
+    """Model families by feature set; the network sees NETWORK_TERMS terms of each channel."""
+    return _run(spark, d, G.comparison_grid(), G.COMPARISON_BLOCKS)
 
 
 @query(S.with_(*nb_sql("multinomial", where="true")) + "SELECT doc_id, prediction, round(score, 6) AS score FROM best")
 def model_roundtrip(spark, d):
     """A saved model, found again by the fallback order, scores all documents."""
-    import uuid
-
     docs, model = trained(spark, d)
     path = f"{shared_folder(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     save_model(model, f"{path}/final")
