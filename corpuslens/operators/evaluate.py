@@ -83,9 +83,15 @@ def classification_report(confusion: DataFrame, digits: int = 6) -> DataFrame:
     return classes.unionByName(total.select(F.inline(rows)))
 
 
-def confusion_matrix(confusion: DataFrame) -> DataFrame:
-    """Every (true, predicted) pair of known classes, zeros kept, in long form."""
-    labels = confusion.select(F.explode(F.array("y_true", "y_pred")).alias("label")).distinct()
+def confusion_matrix(confusion: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
+    """Every (true, predicted) pair of the classes, zeros kept, in long form.
+
+    The classes are the ``labels`` given, also those without documents, or else all that occur.
+    """
+    if labels is not None:
+        labels = confusion.sparkSession.createDataFrame([(x,) for x in labels], "label string")
+    else:
+        labels = confusion.select(F.explode(F.array("y_true", "y_pred")).alias("label")).distinct()
     # The list of classes is one value; exploding it gives the classes x classes frame of the matrix.
     everything = labels.agg(F.sort_array(F.collect_list("label"))).scalar()
     frame = labels.select(F.col("label").alias("y_true"), F.explode(everything).alias("y_pred"))
@@ -94,6 +100,19 @@ def confusion_matrix(confusion: DataFrame) -> DataFrame:
     )
 
 
+def metrics_document(confusion: DataFrame, labels: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """One row: overall metrics, the report by class as a map, and the matrix as an array of arrays in label order."""
+    report = metrics_per_class(confusion, digits).agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", F.struct("precision", "recall", "f1", "support"))))).alias("report")
+    )
+    cells = confusion_matrix(confusion, labels).groupBy("y_true").agg(F.sort_array(F.collect_list(F.struct("y_pred", "n"))).alias("row"))
+    rows = cells.agg(F.sort_array(F.collect_list(F.struct("y_true", F.col("row.n").alias("n")))).alias("rows"))
+    matrix = rows.select(F.col("rows.y_true").alias("labels"), F.col("rows.n").alias("confusion_matrix"))
+    one = F.lit(1).alias("__one")
+    parts = [metrics_overall(confusion, digits).select("*", one), report.select("*", one), matrix.select("*", one)]
+    return parts[0].join(parts[1], "__one").join(parts[2], "__one").drop("__one")
+
+
 def confusion_wide(matrix: DataFrame, labels: Sequence[str]) -> DataFrame:
     """The matrix with one column per predicted class."""
     return matrix.groupBy("y_true").pivot("y_pred", list(labels)).agg(F.first("n")).fillna(0)

@@ -67,38 +67,57 @@ def metrics_json(spark, d):
     return IO.read_json(spark, path, metrics.schema)
 
 
-@query(f"SELECT source, CAST(sum({S.word_count('text')}) AS BIGINT) AS n_words FROM documents GROUP BY source")
+def _write_files(docs, path):
+    """One file per document below ``source=.../lang=.../doc_id=...``: even ids in UTF-8, odd ones in Latin-1."""
+    line = docs.select("source", "lang", "doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
+    by = ["source", "lang", "doc_id"]
+    line.filter("doc_id % 2 = 0").repartition("doc_id").write.partitionBy(*by).text(f"{path}/utf8")
+    plain = {"encoding": "ISO-8859-1", "quote": "", "sep": "\u0001", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    line.filter("doc_id % 2 = 1").repartition("doc_id").write.partitionBy(*by).options(**plain).csv(f"{path}/latin1")
+
+
+_PLACE = r"source=([^/]+)/lang=([^/]+)/doc_id=(\d+)/"
+
+
+@query(
+    f"SELECT doc_id, source, CAST({S.word_count('text')} AS BIGINT) AS n_words, "
+    r"length(regexp_replace(replace(text, chr(10), ' '), '^\s+|\s+$', '', 'g')) AS n_chars FROM documents"
+)
 def ingest_text_files(spark, d):
-    """Documents written as text files below one folder per class, read back file by file and decoded."""
+    """Documents written as one text file each, in two encodings, read back file by file and decoded."""
     path = _scratch(spark, "files")
-    docs = documents(spark, d).select("source", F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
-    docs.select("line", "source").write.partitionBy("source").text(path)
-    folder = F.regexp_extract("path", "source=([^/]+)/", 1).alias("source")
-    files = IO.read_text_files(spark, path).select(folder, word_count("text").alias("n"))
-    return files.groupBy("source").agg(F.sum("n").alias("n_words"))
+    _write_files(documents(spark, d), path)
+    files = IO.read_text_files(spark, path)
+    return files.select(
+        F.regexp_extract("path", _PLACE, 3).cast("long").alias("doc_id"),
+        F.regexp_extract("path", _PLACE, 1).alias("source"),
+        word_count("text").alias("n_words"),
+        F.length("text").cast("long").alias("n_chars"),
+    )
 
 
 @query(
     f"""{S.with_(
-        "files AS (SELECT CAST(doc_id AS VARCHAR) AS stem, lang AS folder, text, false AS is_copy FROM documents WHERE n_chars >= 200 "
-        "UNION ALL SELECT CAST(doc_id AS VARCHAR), lang, text, true FROM documents WHERE n_chars >= 200 AND source = 'src0')",
+        S.VALID, S.CORPUS,
+        "files AS (SELECT CAST(doc_id AS VARCHAR) AS stem, lang AS folder, text, false AS is_copy FROM documents "
+        "UNION ALL SELECT CAST(doc_id AS VARCHAR), lang, text, true FROM documents WHERE source = 'src0')",
         "f AS (SELECT stem, count(*) AS n_files, count(*) FILTER (is_copy) AS n_copies, count(DISTINCT sha256(text)) AS n_contents, min(folder) AS folder FROM files GROUP BY stem)",
-        "t AS (SELECT CAST(doc_id AS VARCHAR) AS stem, lang FROM documents WHERE n_chars < 5000)")}
+        "t AS (SELECT CAST(doc_id AS VARCHAR) AS stem, lang FROM corpus)")}
     SELECT coalesce(f.stem, t.stem) AS document, coalesce(n_files, 0) AS n_files, coalesce(n_copies, 0) AS n_copies, coalesce(n_contents, 0) AS n_contents,
       CASE WHEN f.stem IS NULL THEN 'table only' WHEN t.stem IS NULL THEN 'files only' ELSE 'both' END AS presence,
       coalesce(folder = lang, false) AS same_class
     FROM f FULL OUTER JOIN t ON f.stem = t.stem"""
 )
 def reconcile_files(spark, d):
-    """Listing of class folders, with marked copies, against a table of documents."""
+    """Files of all documents, with marked copies of one source, listed from disk, against the cleaned corpus."""
     docs = documents(spark, d)
-    listed = docs.filter("n_chars >= 200")
-    name = F.concat(F.lit("/corpus/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"))
-    content = F.encode("text", "UTF-8").alias("content")
-    files = listed.select(F.concat(name, F.lit(".txt")).alias("path"), content).unionByName(
-        listed.filter("source = 'src0'").select(F.concat(name, F.lit("(1).txt")).alias("path"), content)
-    )
-    return IO.reconcile(IO.list_documents(files), docs.filter("n_chars < 5000"))
+    path = _scratch(spark, "listing")
+    _write_files(docs, f"{path}/first")
+    _write_files(docs.filter("source = 'src0'"), f"{path}/copies")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    name = F.concat(F.lit("/corpus/"), F.regexp_extract("path", _PLACE, 2), F.lit("/"), F.regexp_extract("path", _PLACE, 3))
+    mark = F.when(F.col("path").contains("/copies/"), "(1).txt").otherwise(".txt")
+    return IO.reconcile(IO.list_documents(files.select(F.concat(name, mark).alias("path"), "content")), corpus(spark, d))
 
 
 # ---------------------------------------------------------------- quality

@@ -14,7 +14,7 @@ from corpuslens.plans import sql as S
 from corpuslens.plans.corpus import documents, part
 from corpuslens.plans.model_queries import TEXT_PREDS, VECTOR_PREDS, nb_sql, text_predictions, trained, vector_predictions
 from corpuslens.plans.registry import query
-from corpuslens.sources.tables import read_table, shared_folder
+from corpuslens.sources.tables import read_csv, read_json, read_table, shared_folder, write_csv, write_json
 from corpuslens.streaming.score_stream import score_stream
 
 # ---------------------------------------------------------------- metrics
@@ -67,6 +67,43 @@ def confusion_matrix(spark, d):
     return E.confusion_matrix(_vector_confusion(spark, d).persist())
 
 
+_CLASSES = "SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM classes"
+
+
+@query(
+    _MATRIX.rstrip()
+    + ", given AS (SELECT l FROM ml UNION SELECT 'none'), grid AS (SELECT a.l AS y_true, b.l AS y_pred, coalesce(n, 0) AS n FROM given a CROSS JOIN given b "
+    "LEFT JOIN conf ON conf.y_true = a.l AND conf.y_pred = b.l), "
+    "lines AS (SELECT y_true, string_agg(n::VARCHAR, ',' ORDER BY y_pred) AS matrix_row FROM grid GROUP BY y_true) "
+    "SELECT y_true AS label, round(coalesce(precision, 0.0), 6) AS precision, round(coalesce(recall, 0.0), 6) AS recall, round(coalesce(f1, 0.0), 6) AS f1, "
+    "coalesce(support, 0)::BIGINT AS support, matrix_row, "
+    "(SELECT round(accuracy, 6) FROM total) AS accuracy FROM lines LEFT JOIN classes ON label = y_true"
+)
+def metrics_document(spark, d):
+    """The nested metrics document, with a class that does not occur, written as JSON and read back."""
+    confusion = _vector_confusion(spark, d).persist()
+    labels = sorted([str(i) for i in range(10)] + ["none"])
+    document = E.metrics_document(confusion, labels)
+    path = f"{shared_folder(spark).rstrip('/')}/metrics-{uuid.uuid4().hex}"
+    write_json(document, path)
+    read = read_json(spark, path, document.schema)
+    lines = read.select("accuracy", "report", F.explode(F.arrays_zip("labels", "confusion_matrix")).alias("m"))
+    found = F.col("report")[F.col("m.labels")]
+    rates = [F.coalesce(found[c], F.lit(0.0)).alias(c) for c in ("precision", "recall", "f1")]
+    return lines.select(
+        F.col("m.labels").alias("label"), *rates, F.coalesce(found["support"], F.lit(0)).alias("support"), F.array_join(F.transform("m.confusion_matrix", lambda n: n.cast("string")), ",").alias("matrix_row"), "accuracy",
+    )
+
+
+@query(_VECTOR + _CLASSES)
+def report_csv(spark, d):
+    """A report table written as CSV and read back with its schema."""
+    report = E.metrics_per_class(_vector_confusion(spark, d))
+    path = f"{shared_folder(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    write_csv(report, path)
+    return read_csv(spark, path, report.schema)
+
+
 @query(_MATRIX + "SELECT y_true, " + ", ".join(f"CAST(sum(n) FILTER (y_pred = '{i}') AS BIGINT) AS \"{i}\"" for i in range(10)) + " FROM matrix GROUP BY y_true")
 def confusion_matrix_wide(spark, d):
     matrix = E.confusion_matrix(_vector_confusion(spark, d).persist())

@@ -10,16 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from corpuslens.functions.text import strip
 
-CORPUS = T.StructType(
-    [
-        T.StructField("ID", T.LongType()),
-        T.StructField("Resume_str", T.StringType()),
-        T.StructField("Resume_html", T.StringType()),
-        T.StructField("Category", T.StringType()),
-    ]
-)
-
-
 def read_table(spark: SparkSession, folder: str, name: str, by: str | None = None, spread: str | None = None) -> DataFrame:
     """A parquet table of the folder.
 
@@ -79,7 +69,7 @@ def keep_table(df: DataFrame, by: str | None = None) -> DataFrame:
     return spark.table(name)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = CORPUS) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header, quoted fields over several lines, doubled quotes. The schema is declared."""
     return (
         spark.read.schema(schema)
