@@ -126,3 +126,16 @@ def test_union_vectors(docs):
 def test_unknown_feature_type():
     with pytest.raises(ValueError):
         T.feature_blocks("sound")
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 5, 7, 8, 20])
+def test_most_frequent_equals_sorting(spark, k):
+    rows = [(t, 1, cf) for t, cf in [("b", 3), ("a", 3), ("zz", 9), ("aaaab", 2), ("aaaaa", 2), ("aaaac", 2), ("x", 2), ("é", 2)]]
+    got = {r["term"] for r in T.most_frequent(spark.createDataFrame(rows, "term string, df long, cf long"), k).collect()}
+    assert got == {t for t, _, _ in sorted(rows, key=lambda r: (-r[2], r[0].encode()))[:k]}
+
+
+def test_top_k_does_not_rank_the_vocabulary(spark, docs):
+    counts = N.count_word_terms(docs, "doc_id", "clean", 1, 2)
+    plan = T.Vocabulary.fit(counts, F.lit(12), 1, 1.0, 5).terms._jdf.queryExecution().toString()
+    assert "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan

@@ -126,7 +126,7 @@ def test_linear_models_learn(spark):
     terms = IO.keep_table(union.terms())
     size = terms.count()
     vectors = M.with_label_index(union.vectors(train, terms, size, keep=["lang"]), ["a", "b", "c"]).persist()
-    for clf in (M.Classifier("logreg", max_iter=10), M.Classifier("linear_svc", max_iter=10, class_weight="balanced"), M.Classifier("multinomial_nb")):
+    for clf in (M.Classifier("logreg", max_iter=10), M.Classifier("linear_svc", max_iter=10, class_weight="balanced")):
         model = clf.fit(vectors, 60, 3, size)
         found = M.predict_labels(model, vectors, ["a", "b", "c"], ["lang"])
         assert found.filter("y_pred <> lang").count() == 0, clf.kind
@@ -160,9 +160,9 @@ def test_results_table_and_json(spark, tmp_path):
     IO.write_json(frame, str(tmp_path / "j"))
     assert sorted(map(tuple, IO.read_json(spark, str(tmp_path / "j"), frame.schema).collect())) == [("A1", "None"), ("A2", None)]
     # An empty field is read as null, as the usual CSV readers do.
-    text = spark.createDataFrame([(1, 'a "quoted"\nline, with comma', "", "X")], IO.CORPUS)
+    text = spark.createDataFrame([(1, 'a "quoted"\nline, with comma', "", "X")], "ID long, body string, html string, class string")
     IO.write_csv(text, str(tmp_path / "c"))
-    assert tuple(IO.read_csv(spark, str(tmp_path / "c")).first()) == (1, 'a "quoted"\nline, with comma', None, "X")
+    assert tuple(IO.read_csv(spark, str(tmp_path / "c"), text.schema).first()) == (1, 'a "quoted"\nline, with comma', None, "X")
 
 
 def test_text_files_in_two_encodings(spark, tmp_path):
@@ -179,3 +179,82 @@ def test_listing_and_reconciliation(spark):
     table = spark.createDataFrame([(10, "FIN"), (11, "HR"), (13, "HR")], "doc_id long, lang string")
     got = {r["document"]: tuple(r)[1:] for r in IO.reconcile(IO.list_documents(files), table).collect()}
     assert got == {"10": (2, 1, 1, "both", True), "11": (1, 1, 1, "both", False), "12": (1, 0, 1, "files only", False), "13": (0, 0, 0, "table only", False)}
+
+
+def test_folds_are_stratified(spark):
+    df = spark.range(103).select(F.col("id").alias("doc_id"), (F.col("id") % 7 == 0).cast("double").alias("y"))
+    got = M.stratified_folds(df.repartition(5), 5)
+    counts = {(r["y"], r["fold"]): r["count"] for r in got.groupBy("y", "fold").count().collect()}
+    for y, n in ((1.0, 15), (0.0, 88)):
+        sizes = [counts.get((y, k), 0) for k in range(5)]
+        assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
+    again = M.stratified_folds(df.coalesce(1), 5)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_logistic_fit_has_a_zero_gradient(spark):
+    import random
+
+    from pyspark.ml.linalg import Vectors
+
+    rng = random.Random(1)
+    rows = [(i, Vectors.dense([rng.gauss(0, 1) for _ in range(3)]), float(rng.randrange(2))) for i in range(200)]
+    df = spark.createDataFrame(rows, ["doc_id", "features", "y"]).persist()
+    model = M.Classifier("logreg", C=2.0, tol=1e-9).fit(df, 200, 2)
+    b, a = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    grad = [[0.0] * 4 for _ in range(2)]
+    for _, x, y in rows:
+        z = [sum(b[k][j] * x[j] for j in range(3)) + a[k] for k in range(2)]
+        p = [math.exp(v) / sum(map(math.exp, z)) for v in z]
+        for k in range(2):
+            for j in range(3):
+                grad[k][j] += (p[k] - (k == y)) * x[j] / 200
+            grad[k][3] += (p[k] - (k == y)) / 200
+    for k in range(2):
+        assert all(abs(grad[k][j] + b[k][j] / (2.0 * 200)) < 1e-5 for j in range(3)) and abs(grad[k][3]) < 1e-5
+
+
+def test_grid_counts_once_and_records_as_it_comes(spark):
+    words = {"a": "red blue green", "b": "cat dog bird"}
+    rows = [(i, "ab"[i % 2], words["ab"[i % 2]] + f" noise{i % 4}", "val" if i % 5 == 0 else "train") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, clean string, split string")
+    blocks = {"w": Block("word", 1, 2, 1, 1.0), "c": Block("char", 3, 4, 1, 1.0, 30), "c2": Block("char", 2, 3, 2, 1.0, 20)}
+    grid = [
+        G.Experiment("1", ("w",), M.Classifier("logreg")), G.Experiment("2", ("w", "c"), M.Classifier("linear_svc")), G.Experiment("3", ("c2",), M.Classifier("complement_nb")),
+        G.Experiment("4", ("w", "c"), M.Classifier("multinomial_nb")), G.Experiment("5", ("c2",), M.Classifier("mlp", max_iter=30, layers=(8,))),
+    ]
+    seen = []
+    out = G.run_experiments(docs, grid, blocks, on_record=lambda r: seen.append(r.first()["experiment_id"])).collect()
+    assert seen == ["1", "2", "3", "4", "5"] and [r["accuracy"] for r in out[:4]] == [1.0] * 4
+    assert [r["C"] for r in out] == [1.0, 1.0, None, None, None]
+    for r, keys in zip(out, (["w"], ["w", "c"], ["c2"], ["w", "c"], ["c2"])):
+        alone = [blocks[k].fit(docs.filter("split = 'train'"), "doc_id", "clean").vocabulary.terms.count() for k in keys]
+        assert r["n_features"] == sum(alone)
+
+
+def test_matrix_and_document_with_given_labels(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b")], "y_true string, y_pred string")
+    confusion = E.confusion_counts(df)
+    assert E.confusion_matrix(confusion, ["a", "b", "c"]).count() == 9
+    row = E.metrics_document(confusion, ["a", "b", "c"]).first()
+    assert row["labels"] == ["a", "b", "c"] and row["confusion_matrix"] == [[1, 1, 0], [0, 0, 0], [0, 0, 0]]
+    assert row["accuracy"] == 0.5 and row["report"]["a"]["recall"] == 0.5 and set(row["report"]) == {"a", "b"}
+
+
+def test_sentences_are_counted_in_linear_time(spark):
+    from time import perf_counter
+
+    df = spark.createDataFrame([("-" * 1_000_000, []), ("One. Two! ... three? ?", []), ("", []), (None, [])], "text string, skills array<string>")
+    start = perf_counter()
+    assert [r["n_sentences"] for r in X.document_stats(df).collect()] == [0, 3, 0, 0]
+    assert perf_counter() - start < 20
+
+
+def test_large_weight_tables_are_not_broadcast(spark, monkeypatch):
+    train = toy(spark)
+    fitted = Block("word", 1, 1, 1, 1.0, 50).fit(train, "doc_id", "clean")
+    model = L.fit_naive_bayes(train, fitted, ["a", "b", "c"])
+    before = sorted(map(str, model.predict(train).collect()))
+    monkeypatch.setattr(L, "BROADCAST_WEIGHTS", 0)
+    assert not model._is_small()
+    assert sorted(map(str, model.predict(train).collect())) == before

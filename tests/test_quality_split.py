@@ -125,3 +125,18 @@ def test_leakage_is_found(spark):
     df = spark.createDataFrame([(1, "t", "train"), (2, "t", "test"), (2, "u", "val")], "doc_id long, text string, split string")
     got = {(r["kind"], r["split_a"], r["split_b"]): r["n_shared"] for r in P.split_leakage(df).collect()}
     assert got[("text", "train", "test")] == 1 and got[("id", "val", "test")] == 1 and sum(got.values()) == 2
+
+
+def test_null_texts_are_copies_of_each_other(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (3, None, "a"), (4, "x", "a")], "doc_id long, text string, lang string")
+    assert ids(Q.dedup_exact(df)) == [1, 4]
+    assert ids(Q.removed_duplicates(df)) == [2, 3]
+    assert sorted((r["doc_id"], r["group_id"], r["copies"]) for r in Q.duplicate_groups(df).collect()) == [(1, 1, 3), (2, 1, 3), (3, 1, 3)]
+
+
+def test_null_labels_are_a_class(spark):
+    rows = [(i, "a" if i % 5 else None) for i in range(100)]
+    out = P.stratified_split(spark.createDataFrame(rows, "doc_id long, lang string")).collect()
+    assert len(out) == 100 and out[0].__fields__ == ["doc_id", "lang", "split"]
+    sizes = Counter((r["lang"], r["split"]) for r in out)
+    assert sizes == {(None, "train"): 14, (None, "val"): 3, (None, "test"): 3, ("a", "train"): 56, ("a", "val"): 12, ("a", "test"): 12}
