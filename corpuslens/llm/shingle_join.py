@@ -2,18 +2,19 @@
 
 A document is the set of its word n-grams, as sorted 64-bit hashes. Two sets with Jaccard similarity of
 at least t differ in so few n-grams, by their sizes, that of one part more than that number at least one
-part of the hash range has the same n-grams in both. The parts' signatures are the blocks: documents
-that share one meet there, whatever n-grams are frequent in the corpus, and no pair is lost. In the
-blocks, rows of the incidence matrix are multiplied, overlaps added up, and pairs below the bound that
-their sizes set are discarded.
-
-Only components are asked for, so a block does not multiply all its rows with each other: first with
-two pivots each; after that, only pairs that are still in different components are left.
+part of the hash range has the same n-grams in both. Documents that share the signature of a part are
+candidates, whatever n-grams are frequent in the corpus, and no pair is lost.
+
+Candidates are gathered in cells: documents that share several signatures are a family; one that shares
+a signature with another family visits it; a signature that many families share is a cell of its own. In
+a cell, rows of the incidence matrix are multiplied block by block. Blocks hold rows of similar size, and
+pairs of blocks whose sizes rule a link out are left out, as are pairs below the bound that their sizes
+set. Tasks return stars of the local components, so what moves grows with the rows, not with the pairs.
 """
 
 from __future__ import annotations
 
-import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -27,8 +28,12 @@ from corpuslens.llm.registry import query
 WORDS = 3
 #: Jaccard similarity of linked documents, as a fraction.
 SIMILARITY = (90, 100)
-#: Rows that one pivot is multiplied with in one task.
-CHUNK = 256
+#: Rows of a block, and columns that are multiplied at a time.
+BLOCK, COLUMNS = 512, 4096
+#: Blocks of a large cell hold rows whose sizes differ by this factor at most.
+SIZE_STEP = 1.05
+#: A signature that more families share than this is a cell of its own.
+FAMILIES = 8
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
@@ -36,7 +41,7 @@ class _Hashes(dict):
     """Word to hash; what was not met yet is hashed."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -71,7 +76,11 @@ def levels(similarity: tuple[int, int]) -> np.ndarray:
 
 
 def signatures(h: np.ndarray, bounds: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
-    """A signature for each part of the set, at its own level and at the next, where larger sets meet it."""
+    """A signature for each part of the set, at its own level and at the next, where larger sets meet it.
+
+    Empty parts say little, so there are a few parts more than needed, and only a set with more empty
+    parts than that has signatures of them: two sets still share one that is not empty, or both have all.
+    """
     num, den = similarity
     level = int(np.searchsorted(bounds, len(h), side="right")) - 1
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_mixed(h + _C[1]))])
@@ -79,19 +88,25 @@ def signatures(h: np.ndarray, bounds: np.ndarray, similarity: tuple[int, int]) -
     for k in (level, level + 1):
         largest = int(bounds[k + 1]) - 1
         # |x - y| + |y - x| of linked sets is at most (den - num) / (den + num) of |x| + |y|
-        parts = 2 * largest * (den - num) // (den + num) + 1
+        needed = 2 * largest * (den - num) // (den + num) + 1
+        spare = 0 if needed == 1 else 1 + needed // 16
+        parts = needed + spare
         edges = (np.arange(1, parts, dtype=np.float64) / parts * 2.0**64).astype(np.uint64)
         cut = np.concatenate([[0], np.searchsorted(h, edges), [len(h)]])
         part = np.arange(parts, dtype=np.uint64)
-        out.append(_mixed(_mixed(sums[cut[1:]] - sums[cut[:-1]]) + part * _C[0] + np.uint64((k + 1) * int(_C[2]) % 2**64)))
+        sig = _mixed(_mixed(sums[cut[1:]] - sums[cut[:-1]]) + part * _C[0] + np.uint64((k + 1) * int(_C[2]) % 2**64))
+        empty = cut[1:] == cut[:-1]
+        out.append(sig if empty.sum() > spare else sig[~empty])
     return np.concatenate(out)
 
 
 def _sets(batches, words):
     known = _Hashes()
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
-            yield (*row[:-1], shingles(row[-1], known, words))
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            for row in zip(*(part.column(j).to_pylist() for j in range(part.num_columns)), strict=True):
+                yield (*row[:-1], shingles(row[-1], known, words))
 
 
 def _described(words: int, similarity: tuple[int, int]):
@@ -121,7 +136,7 @@ def _described(words: int, similarity: tuple[int, int]):
             sizes.append(len(h))
             sigs.append(signatures(h, bounds, similarity) if len(h) else h)
             key += 1
-            if len(marks) == 2000:
+            if len(marks) == 500:
                 yield from rows()
                 marks, keys, sizes, sigs = [], [], [], []
         yield from rows()
@@ -149,33 +164,103 @@ def _shared(batches):
         yield out(sig, key)
 
 
+def overlaps(rows: list[np.ndarray]) -> np.ndarray:
+    """Product of the incidence matrix of the rows with its transpose: common n-grams of every two rows.
+
+    Columns with a single row add nothing off the diagonal and are left out; the others are multiplied a
+    block of columns at a time.
+    """
+    sizes = [len(r) for r in rows]
+    value, column, count = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(rows)), sizes)
+    use = count[column] > 1
+    order = np.cumsum(count > 1) - 1
+    row, column = row[use], order[column[use]]
+    by_column = np.argsort(column, kind="stable")
+    row, column = row[by_column], column[by_column]
+    total = np.zeros((len(rows), len(rows)), dtype=np.float32)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for first in range(0, width, COLUMNS):
+        i, j = np.searchsorted(column, [first, first + COLUMNS])
+        block = np.zeros((len(rows), min(COLUMNS, width - first)), dtype=np.float32)
+        block[row[i:j], column[i:j] - first] = 1
+        total += block @ block.T
+    return total
+
+
 def _product(similarity: tuple[int, int]):
     num, den = similarity
 
     def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One pivot's row by the other rows of its block: overlaps, and the pairs that reach the bound."""
-        own = pdf["row"].isna().to_numpy()
-        pivot = np.frombuffer(pdf["h"][own].iloc[0], dtype=np.uint64)
-        rows = pdf[~own]
-        sizes = np.array([len(x) // 8 for x in rows["h"]], dtype=np.int64)
-        columns = np.frombuffer(b"".join(rows["h"]), dtype=np.uint64)
-        place = np.minimum(np.searchsorted(pivot, columns), len(pivot) - 1)
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        overlap = np.add.reduceat((pivot[place] == columns).astype(np.int64), starts) if len(sizes) else sizes
-        linked = den * overlap >= num * (sizes + len(pivot) - overlap)
-        return pd.DataFrame({"a": pdf["pivot"].iloc[0], "b": rows["row"][linked].astype("int64")})
+        """Links among the rows of a pair of blocks, as stars; two visitors are not compared."""
+        rows = [np.frombuffer(x, dtype=np.uint64) for x in pdf["h"]]
+        n = np.array([len(x) for x in rows], dtype=np.int64)
+        home, key = pdf["home"].to_numpy(), pdf["key"].to_numpy()
+        both = overlaps(rows).astype(np.int64)
+        linked = (den * both >= num * (n[:, None] + n[None] - both)) & (home[:, None] | home[None])
+        np.fill_diagonal(linked, False)
+        some = np.flatnonzero(linked.any(axis=1))
+        linked, key = linked[np.ix_(some, some)], key[some]
+        root = np.arange(len(some))
+        while len(some):
+            new = np.minimum(root, np.where(linked, root[None], len(some)).min(axis=1))
+            new = new[new]
+            if (new == root).all():
+                break
+            root = new
+        return pd.DataFrame({"a": key, "b": key[root]})[key != key[root]].astype("int64")
 
     return multiply
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Of distinct pairs ``(pivot, row)`` those that link, as ``(a, b)``; ``sets`` is ``(key, h)``."""
-    chunks = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    rows = pairs.join(chunks, "pivot").select("pivot", F.pmod(F.xxhash64("row"), "chunks").cast("int").alias("chunk"), "row")
-    rows = rows.join(sets, F.col("row") == F.col("key")).select("pivot", "chunk", "row", "h")
-    own = chunks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).join(sets, F.col("pivot") == F.col("key"))
-    blocks = rows.unionByName(own.select("pivot", "chunk", F.lit(None).cast("long").alias("row"), "h"))
-    return blocks.groupBy("pivot", "chunk").applyInPandas(_product(similarity), "a long, b long")
+def _cells(shared: DataFrame, scratch: Scratch) -> DataFrame:
+    """``kind, cell, key, n, home``: who is to be compared where, from the shared signatures ``(sig, key, n)``."""
+    first = shared.groupBy("sig").agg(F.min("key").alias("first"))
+    often = shared.join(first, "sig").filter("key <> first").groupBy("key", "first").agg(F.count("*").alias("times")).filter("times > 1")
+    member = components(often.select(F.col("key").alias("a"), F.col("first").alias("b")), scratch)
+    placed = shared.join(member.select(F.col("node").alias("key"), F.col("component").alias("family")), "key", "left")
+    placed = scratch.keep(placed.withColumn("family", F.coalesce("family", "key")))
+
+    families = scratch.keep(placed.select("sig", "family").distinct())
+    number = families.groupBy("sig").agg(F.count("*").alias("families")).filter("families > 1")
+    few = families.join(number.filter(F.col("families") <= FAMILIES), "sig").groupBy("sig").agg(F.collect_list("family").alias("others"))
+    guest = placed.join(few, "sig").select("key", "n", "family", F.explode("others").alias("host")).filter("host < family")
+    guest = scratch.keep(guest.select("host", "key", "n").distinct())
+    home = placed.select("family", "key", "n").distinct()
+    open_ = home.groupBy("family").agg(F.count("*").alias("members")).join(guest.select(F.col("host").alias("family"), F.lit(True).alias("visited")).distinct(), "family", "left")
+    home = home.join(open_.filter("members > 1 or visited").select("family"), "family", "left_semi")
+    crowd = placed.join(number.filter(F.col("families") > FAMILIES).select("sig"), "sig", "left_semi")
+    rows = lambda df, kind, cell, home: df.select(F.lit(kind).alias("kind"), F.col(cell).alias("cell"), "key", "n", F.lit(home).alias("home"))
+    return rows(home, 0, "family", True).unionAll(rows(guest, 0, "host", False)).unionAll(rows(crowd, 1, "sig", True))
+
+
+def _linked(cells: DataFrame, sets: DataFrame, similarity: tuple[int, int], scratch: Scratch) -> DataFrame:
+    """Stars ``(a, b)`` of the links inside the cells; ``sets`` is ``(key, h)``.
+
+    A cell of up to BLOCK rows is one block. In a larger one, rows are dealt to blocks by size and hash,
+    and every two blocks meet whose sizes allow a link.
+    """
+    num, den = similarity
+    cells = scratch.keep(cells)
+    step = math.log(SIZE_STEP)
+    reach = int(math.log(den / num) / step) + 1
+    cell = ["kind", "cell"]
+    total = cells.groupBy(*cell).agg(F.count("*").alias("rows"))
+    grade = F.when(F.col("rows") <= BLOCK, F.lit(0)).otherwise(F.floor(F.log("n") / F.lit(step))).cast("int")
+    graded = cells.join(total, cell).withColumn("grade", grade)
+    grades = graded.groupBy(*cell, "grade").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    # at most as many grades as sizes have steps
+    plan = grades.groupBy(*cell).agg(F.sort_array(F.collect_list(F.struct("grade", "blocks"))).alias("plan"))
+    rows = graded.join(scratch.keep(plan), cell)
+    own = F.element_at(F.filter("plan", lambda g: g["grade"] == F.col("grade")), 1)["blocks"]
+    rows = rows.withColumn("b", F.pmod(F.xxhash64("key"), own).cast("long"))
+    block = lambda g, b: g.cast("long") * (1 << 40) + b
+    near = F.filter("plan", lambda g: F.abs(g["grade"] - F.col("grade")) <= reach)
+    mates = F.flatten(F.transform(near, lambda g: F.transform(F.sequence(F.lit(0), g["blocks"] - 1), lambda b: block(g["grade"], b))))
+    rows = rows.select(*cell, "key", "home", block(F.col("grade"), F.col("b")).alias("mine"), F.explode(mates).alias("mate"))
+    rows = rows.select(*cell, F.least("mine", "mate").alias("x"), F.greatest("mine", "mate").alias("y"), "key", "home")
+    rows = rows.join(sets, "key").select(*cell, "x", "y", "key", "home", "h")
+    return rows.groupBy(*cell, "x", "y").applyInPandas(_product(similarity), "a long, b long")
 
 
 def mark_of(text):
@@ -195,7 +280,6 @@ def group_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, w
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "shingles")
-    num, den = similarity
     marked = docs.select("doc_id", mark_of(F.col("text")).alias("mark"), "text")
     ids = scratch.keep(marked.select("doc_id", "mark"))
 
@@ -222,32 +306,16 @@ def group_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, w
     again = texts.select("mark", "text").join(F.broadcast(wanted) if small else wanted, "mark").select("key", "text")
 
     def rows_of(batches):
-        for batch in batches:
-            known = _Hashes()
+        known = _Hashes()
+        for batch in (part.slice(i, 256) for part in batches for i in range(0, part.num_rows, 256)):
             both = [(k, shingles(t, known, words).tobytes()) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in both], pa.int64()), pa.array([x[1] for x in both], pa.binary())], names=["key", "h"])
 
     sets = scratch.keep(again.mapInArrow(rows_of, "key long, h binary").dropDuplicates(["key"]))
 
-    fits = lambda x, y: F.lit(den) * F.least(x, y) >= F.lit(num) * F.greatest(x, y)
-    ends = shared.groupBy("sig").agg(F.min(F.struct("key", "n")).alias("lo"), F.max(F.struct("key", "n")).alias("hi"))
-    ends = ends.filter("lo.key <> hi.key").select("sig", F.explode(F.array("lo", "hi")).alias("p"))
-    pairs = shared.join(ends, "sig").filter((F.col("key") != F.col("p.key")) & fits(F.col("n"), F.col("p.n")))
-    pairs = scratch.keep(pairs.select(F.col("p.key").alias("pivot"), F.col("key").alias("row")).distinct())
-    edges = scratch.keep(_linked(pairs, sets, similarity))
-
+    edges = scratch.keep(_linked(_cells(shared, scratch), sets, similarity, scratch))
+    scratch.drop(sets)
     member = scratch.keep(components(edges, scratch))
-    placed = shared.join(member.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    split = placed.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sig")
-    left = scratch.keep(placed.join(split, "sig", "left_semi"))
-    right = left.select("sig", F.col("key").alias("row"), F.col("n").alias("m"), F.col("component").alias("other"))
-    late = left.join(right, "sig").filter((F.col("key") < F.col("row")) & (F.col("component") != F.col("other")) & fits(F.col("n"), F.col("m")))
-    late = late.select(F.col("key").alias("pivot"), "row").distinct()
-    known = pairs.select(F.least("pivot", "row").alias("pivot"), F.greatest("pivot", "row").alias("row")).distinct()
-    late = scratch.keep(late.join(known, ["pivot", "row"], "left_anti"))
-    if not late.isEmpty():
-        edges = scratch.keep(edges.unionAll(_linked(late, sets, similarity)))
-        member = components(edges, scratch)
 
     by_text = texts_.join(member.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     all_ids = scratch.keep(ids.join(by_text.select("mark", "n", "component"), "mark"))

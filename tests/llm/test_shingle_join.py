@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from corpuslens.llm import shingle_join
 from corpuslens.llm.shingle_join import _Hashes, group_documents, levels, shingles, signatures
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -67,6 +68,22 @@ def test_random_groups(spark, seed, words, edits):
     assert run(spark, rows) == brute(rows)
 
 
+def test_large_cells(spark, monkeypatch):
+    """One large family, cells of many blocks, signatures shared by many families."""
+    monkeypatch.setattr(shingle_join, "BLOCK", 8)
+    monkeypatch.setattr(shingle_join, "FAMILIES", 2)
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(220):
+        w = list(base)
+        for _ in range(rng.randrange(9)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w[rng.randrange(3) * 4 :])))
+    rows += [(i + 1000, t) for i, t in corpus(6, 25, [15, 25, 60], 4)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_other_similarity(spark):
     rows = corpus(4, 30, [20, 60, 150], 8)
     assert run(spark, rows, similarity=(8, 10)) == brute(rows, 8, 10)
