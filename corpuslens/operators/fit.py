@@ -20,6 +20,8 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpuslens.operators.linear_scores import DISCRETE, MARGINS, PROBABILITY, LinearTextModel
+from corpuslens.operators.tfidf import FeatureUnion
 from corpuslens.operators.split import BUCKET_DIGITS, split_hash
 from corpuslens.plans.joins import lookup_join
 from corpuslens.sources.tables import keep_table
@@ -86,6 +88,30 @@ class Classifier:
         raise ValueError(f"unknown classifier: {self.kind}")
 
 
+def text_model(model, union: FeatureUnion, terms: DataFrame, labels: Sequence) -> LinearTextModel:
+    """A fitted linear classifier as a table of class weights, to be saved, scored, streamed and explained.
+
+    ``terms`` are the union's terms with their positions. Margins of a one-vs-rest SVC are compared by
+    softmax, as are the scores of a logistic regression, whose softmax is its probability. For a
+    calibrated SVC the mean coefficients of its folds serve explanations, and its class is discrete.
+    """
+    import numpy as np
+    import pandas as pd
+
+    if isinstance(model, CalibratedSVC):
+        weights, offsets, kind = np.array(model.mean_coefficients()), np.mean([[m.intercept for m in fold.models] for fold in model.models], axis=0), DISCRETE
+    elif hasattr(model, "models"):
+        weights, offsets, kind = np.array([m.coefficients.toArray() for m in model.models]), [m.intercept for m in model.models], MARGINS
+    else:
+        weights, offsets, kind = model.coefficientMatrix.toArray(), model.interceptVector.toArray(), PROBABILITY
+    if len(weights) != len(labels):
+        raise ValueError("one row of weights per label is needed")
+    frame = pd.DataFrame({"idx": np.arange(weights.shape[1], dtype="int32"), "weights": list(weights.T.copy())})
+    rows = terms.sparkSession.createDataFrame(frame, "idx int, weights array<double>")
+    table = keep_table(terms.join(rows, "idx").select("channel", "term", "idf", "weights"))
+    return LinearTextModel(union, table, list(labels), [float(x) for x in offsets], kind)
+
+
 def predict_labels(model, df: DataFrame, labels: Sequence, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns and ``y_pred`` as a class label."""
     names = F.array(*[F.lit(v) for v in labels])

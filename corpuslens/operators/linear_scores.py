@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from corpuslens.operators.tfidf import FeatureUnion, FittedBlock
 from corpuslens.sources.tables import keep_table
 
+# How the confidence of a prediction is to be read.
+PROBABILITY, MARGINS, DISCRETE = "calibrated_probability", "calibrated_decision_softmax", "uncalibrated_discrete"
+
 MAX_CLASSES = 1_000
 # A table of class weights of at most this many numbers may be sent to every task.
 BROADCAST_WEIGHTS = 16_000_000
@@ -159,7 +162,7 @@ def fit_naive_bayes(
     if kind == "multinomial":
         sizes = class_counts(train, label)
         intercepts = [math.log(sizes[v] / sum(sizes.values())) if v in sizes else -math.inf for v in labels]
-    return LinearTextModel(FeatureUnion([fitted.block], [fitted]), table, list(labels), intercepts, "calibrated_probability")
+    return LinearTextModel(FeatureUnion([fitted.block], [fitted]), table, list(labels), intercepts, PROBABILITY)
 
 
 def fold_weights(

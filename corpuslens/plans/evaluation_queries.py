@@ -12,8 +12,9 @@ from corpuslens.functions.text import display_label, literal_pattern, preview
 from corpuslens.operators import evaluate as E, scoring as X
 from corpuslens.plans import sql as S
 from corpuslens.plans.corpus import documents, part
-from corpuslens.plans.model_queries import TEXT_PREDS, VECTOR_PREDS, nb_sql, text_predictions, trained, vector_predictions
+from corpuslens.plans.model_queries import TEXT_PREDS, VECTOR_PREDS, nb_sql, svc_model, text_predictions, trained, vector_predictions
 from corpuslens.plans.registry import query
+from corpuslens.sources.models import load_model, save_model
 from corpuslens.sources.tables import read_csv, read_json, read_table, shared_folder, write_csv, write_json
 from corpuslens.streaming.score_stream import score_stream
 
@@ -299,6 +300,36 @@ def explain_top_terms(spark, d):
     return model.explain(docs)
 
 
+@query(
+    _CHECKED + "SELECT doc_id, error_message IS NULL AS success, CASE WHEN error_message IS NULL THEN 'calibrated_decision_softmax' END AS confidence_type, "
+    "error_message IS NULL AS has_class, CASE WHEN error_message IS NULL THEN 3 ELSE 0 END AS n_top, cleaned_word_count FROM checked"
+)
+def score_svc_docs(spark, d):
+    """All raw documents, invalid ones included, scored by a fitted SVC that was saved and loaded again."""
+    _, model = svc_model(spark, d)
+    path = f"{shared_folder(spark).rstrip('/')}/svc-{uuid.uuid4().hex}"
+    save_model(model, path)
+    scored = X.score_docs(C.clean_text(documents(spark, d), "text", "clean"), load_model(spark, path))
+    sure = F.col("predicted_category").isNotNull() & (F.col("confidence") > 1 / 4)
+    n_top = F.coalesce(F.size("top_classes"), F.lit(0))
+    return scored.select("doc_id", "success", "confidence_type", sure.alias("has_class"), F.greatest(n_top, F.lit(0)).alias("n_top"), "cleaned_word_count")
+
+
+@query(
+    S.with_(S.CLEANED) + "SELECT count(*) AS n_docs, true AS both_channels, true AS at_most_eight, true AS all_positive FROM docs"
+)
+def explain_svc(spark, d):
+    """Words and subwords that speak for the SVC's class of every document; checked as a whole."""
+    docs, model = svc_model(spark, d)
+    found = model.explain(docs)
+    return found.agg(
+        F.count_distinct("doc_id").alias("n_docs"),
+        (F.count_distinct("type") == 2).alias("both_channels"),
+        (F.max("rank") <= 8).alias("at_most_eight"),
+        (F.min("score") > 0).alias("all_positive"),
+    )
+
+
 # ---------------------------------------------------------------- dictionary tags and statistics
 
 _DEMO = "Built REST APIs and PySpark jobs in C++ / R, data science, Valuation. "

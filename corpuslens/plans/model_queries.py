@@ -216,6 +216,19 @@ def _ml(spark, d, blocks, label="lang"):
     return vectors, labels, size
 
 
+def svc_model(spark, d):
+    """One-vs-rest SVC on word and character features of the training documents, as a table of weights."""
+    docs = cleaned_split(spark, d)
+    train = part(docs, "train")
+    labels = L.class_labels(docs)
+    union = FeatureUnion(word_char_blocks()).fit(train)
+    terms = keep_table(union.terms())
+    size = terms.count()
+    vectors = keep_table(M.with_label_index(union.vectors(train, terms, size, keep=["lang"]), labels), "doc_id").persist()
+    model = M.Classifier("linear_svc", class_weight="balanced").fit(vectors, vectors.count(), len(labels), size)
+    return docs, M.text_model(model, union, terms, labels)
+
+
 def _majority(rows, fitted_on, measured_on, label):
     """One row: sizes, classes, and how often the commonest fitted class is right."""
     fitted = F.col("split").isin(*fitted_on)

@@ -258,3 +258,29 @@ def test_large_weight_tables_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(L, "BROADCAST_WEIGHTS", 0)
     assert not model._is_small()
     assert sorted(map(str, model.predict(train).collect())) == before
+
+
+def test_fitted_models_as_tables(spark, tmp_path):
+    """Saved, loaded and scored as a table, a fit gives the classes that Spark ML gives; three kinds of confidence."""
+    from corpuslens.operators.tfidf import FeatureUnion
+    from corpuslens.sources.models import load_model, save_model
+
+    labels = ["a", "b", "c"]
+    train = toy(spark).withColumn("text", F.concat("clean", F.lit(" p q r s")))
+    union = FeatureUnion([Block("word", 1, 1, 1, 1.0, 50), Block("char_wb", 2, 3, 1, 0.99, 200)]).fit(train)
+    terms = IO.keep_table(union.terms())
+    size = terms.count()
+    vectors = M.with_label_index(union.vectors(train, terms, size, keep=["lang"]), labels).persist()
+    fits = {
+        "calibrated_decision_softmax": M.Classifier("linear_svc").fit(vectors, 60, 3, size),
+        "calibrated_probability": M.Classifier("logreg").fit(vectors, 60, 3, size),
+        "uncalibrated_discrete": M.fit_calibrated_svc(vectors, labels, folds=2),
+    }
+    for kind, fit in fits.items():
+        save_model(M.text_model(fit, union, terms, labels), f"file://{tmp_path}/{kind}")
+        model = load_model(spark, f"file://{tmp_path}/{kind}")
+        want = {r["doc_id"]: r["y_pred"] for r in M.predict_labels(fit, vectors, labels, ["doc_id"]).collect()}
+        scored = X.score_docs(train, model, clean="clean").filter("success").collect()
+        assert scored and all(r["predicted_category"] == want[r["doc_id"]] and r["confidence_type"] == kind for r in scored)
+        assert all((r["confidence"] == 1.0 and len(r["top_classes"]) == 1) if kind == "uncalibrated_discrete" else len(r["top_classes"]) == 3 for r in scored)
+        assert {r["type"] for r in model.explain(train).collect()} == {"word_token", "subword_ngram"}
