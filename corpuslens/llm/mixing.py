@@ -17,7 +17,7 @@ from corpuslens.llm.common import Scratch, WORD, count_words, read, with_small
 from corpuslens.llm.registry import query
 
 WEIGHTS = (3, 1, 2)
-SYMBOLS = "#*$%&|<>!0123456789"
+SYMBOLS = "[#*$%&|<>!0-9]"
 #: Key ranges: so many to one unit of the key, and in all.
 RANGES, LAST_RANGE = 1024, 65_535
 SEED = "mix"
@@ -26,7 +26,7 @@ SEED = "mix"
 def quality_weight(text: Column) -> Column:
     """1 for plain text, less by the fourth power of the share of signs and digits, 0.05 at least."""
     n = F.length(text)
-    plain = F.length(F.translate(text, SYMBOLS, "")) / n
+    plain = (n - F.regexp_count(text, F.lit(SYMBOLS))) / n
     return F.when(n > 0, F.greatest(F.lit(0.05), plain * plain * plain * plain)).otherwise(F.lit(1.0))
 
 
@@ -123,7 +123,7 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
 SQL = f"""
 WITH plain AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
-    CASE WHEN length(text) > 0 THEN length(translate(text, '{SYMBOLS}', '')) / length(text) END AS p,
+    CASE WHEN length(text) > 0 THEN (length(text) - len(regexp_extract_all(text, '{SYMBOLS}'))) / length(text) END AS p,
     (('0x' || md5('{SEED}|' || coalesce(doc_id::VARCHAR, 'null'))[1:13])::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM documents
 ), keyed AS (SELECT doc_id, source, size, -ln(u) / coalesce(greatest(0.05::DOUBLE, p * p * p * p), 1.0::DOUBLE) AS key FROM plain
