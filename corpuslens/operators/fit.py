@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.classification import (
@@ -190,11 +191,11 @@ def fit_calibrated_svc(
     class sizes.
     """
     base = base or Classifier("linear_svc", class_weight="balanced")
-    train = stratified_folds(train, folds, id_col, y).withColumnRenamed("fold", "__fold")
-    models, sigmoids = [], []
+    train = stratified_folds(train, folds, id_col, y).withColumnRenamed("fold", "__fold").persist()
     sizes = {r["__fold"]: r["n"] for r in train.groupBy("__fold").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
-    for k in range(folds):
+
+    def one(k: int) -> tuple:
         part = train.filter(F.col("__fold") != k).drop("__fold")
         model = base.fit(part, total - sizes.get(k, 0), len(labels), features=features, y=y)
         margins = keep_table(
@@ -205,10 +206,12 @@ def fit_calibrated_svc(
         positives = {int(r[y]): r["n"] for r in margins.groupBy(y).agg(F.count("*").alias("n")).collect()}
         everything = sum(positives.values())
         sizes_out = [(positives.get(i, 0), everything - positives.get(i, 0)) for i in range(len(labels))]
-        fold_sigmoids = _fit_sigmoids(margins, sizes_out, y)
-        models.append(model)
-        sigmoids.append(fold_sigmoids)
-    return CalibratedSVC(models, sigmoids)
+        return model, _fit_sigmoids(margins, sizes_out, y)
+
+    # an optimiser is a row of small jobs: the folds are fitted side by side
+    with ThreadPoolExecutor(folds) as pool:
+        models, sigmoids = zip(*pool.map(one, range(folds)), strict=True)
+    return CalibratedSVC(list(models), list(sigmoids))
 
 
 def _fit_sigmoids(margins: DataFrame, sizes: list[tuple[int, int]], y: str, steps: int = 30) -> list[tuple[float, float]]:

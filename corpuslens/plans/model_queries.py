@@ -336,7 +336,7 @@ def _run(spark, d, grid, blocks):
     docs = cleaned_split(spark, d).select("doc_id", "lang", "clean", "split")
     path = f"{shared_folder(spark).rstrip('/')}/results-{uuid.uuid4().hex}"
     start_results(spark, path, G.RECORD)
-    G.run_experiments(docs, grid, blocks, on_record=lambda r: append_records(r, path))
+    G.run_experiments(docs, grid, blocks, on_record=lambda r: append_records(r, path), at_once=4)
     board = G.leaderboard(spark.read.schema(G.RECORD).parquet(path))
     summary = _majority(docs.select("lang", "split"), ["train"], ["val"], "lang")
     rows = board.select("experiment_id", "feature_type", "classifier", "C", "class_weight", "accuracy").withColumn("one", F.lit(1))
