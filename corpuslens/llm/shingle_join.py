@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpuslens.llm.common import BROADCAST_IDS, Scratch, components, read, with_small
 from corpuslens.llm.registry import query
@@ -32,6 +32,8 @@ SIMILARITY = (90, 100)
 BLOCK, COLUMNS = 512, 4096
 #: Blocks of a large cell hold rows whose sizes differ by this factor at most.
 SIZE_STEP = 1.05
+#: One part to spare for so many that linked sets can differ in.
+SPARE = 8
 #: A signature that more families share than this is a cell of its own.
 FAMILIES = 8
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -75,29 +77,33 @@ def levels(similarity: tuple[int, int]) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
-def signatures(h: np.ndarray, bounds: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
-    """A signature for each part of the set, at its own level and at the next, where larger sets meet it.
+def signatures(h: np.ndarray, bounds: np.ndarray, similarity: tuple[int, int]) -> tuple[np.ndarray, list[int]]:
+    """Signatures of the set's parts, at its own level and at the next, where larger sets meet it.
 
-    Empty parts say little, so there are a few parts more than needed, and only a set with more empty
-    parts than that has signatures of them: two sets still share one that is not empty, or both have all.
+    There are more parts than two linked sets can differ in, so linked sets share several signatures of
+    a level: the second result is how many at least, for even and for odd levels (the last bit of a
+    signature). Empty parts say little and have none; a set with more empty parts than there are parts
+    to spare keeps those, and one shared signature is enough for it.
     """
     num, den = similarity
     level = int(np.searchsorted(bounds, len(h), side="right")) - 1
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_mixed(h + _C[1]))])
-    out = []
+    out, need = [], [1, 1]
     for k in (level, level + 1):
         largest = int(bounds[k + 1]) - 1
         # |x - y| + |y - x| of linked sets is at most (den - num) / (den + num) of |x| + |y|
-        needed = 2 * largest * (den - num) // (den + num) + 1
-        spare = 0 if needed == 1 else 1 + needed // 16
-        parts = needed + spare
+        differ = 2 * largest * (den - num) // (den + num)
+        spare = 1 + differ // SPARE if differ else 0
+        parts = differ + 1 + spare
         edges = (np.arange(1, parts, dtype=np.float64) / parts * 2.0**64).astype(np.uint64)
         cut = np.concatenate([[0], np.searchsorted(h, edges), [len(h)]])
         part = np.arange(parts, dtype=np.uint64)
         sig = _mixed(_mixed(sums[cut[1:]] - sums[cut[:-1]]) + part * _C[0] + np.uint64((k + 1) * int(_C[2]) % 2**64))
+        sig = (sig & np.uint64(2**64 - 2)) | np.uint64(k & 1)
         empty = cut[1:] == cut[:-1]
         out.append(sig if empty.sum() > spare else sig[~empty])
-    return np.concatenate(out)
+        need[k & 1] = max(1, spare + 1 - int(empty.sum()))
+    return np.concatenate(out), need
 
 
 def _sets(batches, words):
@@ -116,29 +122,31 @@ def _described(words: int, similarity: tuple[int, int]):
         from pyspark import TaskContext
 
         key, bounds = TaskContext.get().partitionId() << 33, levels(similarity)
+        names = ["key", "sig", "mark", "n", "need_even", "need_odd"]
         marks: list = []
         keys: list[int] = []
-        sizes: list[int] = []
+        facts: list[tuple[int, int, int]] = []
         sigs: list[np.ndarray] = []
 
         def rows():
             n, counts = len(marks), [len(s) for s in sigs]
             sig = np.concatenate(sigs) if sigs else np.zeros(0, dtype=np.uint64)
             per_sig = np.repeat(np.array(keys, dtype=np.int64), counts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.nulls(n, pa.int64()), pa.array(marks, pa.binary()), pa.array(sizes, pa.int64())], names=["key", "sig", "mark", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.nulls(n, pa.int64()), pa.array(marks, pa.binary()), *[pa.array([f[i] for f in facts], pa.int64()) for i in range(3)]], names=names)
             for i in range(0, len(sig), 200_000):
                 part = sig[i : i + 200_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(per_sig[i : i + 200_000]), pa.array(part), pa.nulls(len(part), pa.binary()), pa.nulls(len(part), pa.int64())], names=["key", "sig", "mark", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(per_sig[i : i + 200_000]), pa.array(part), pa.nulls(len(part), pa.binary()), *[pa.nulls(len(part), pa.int64())] * 3], names=names)
 
         for mark, h in _sets(batches, words):
             marks.append(mark)
             keys.append(key)
-            sizes.append(len(h))
-            sigs.append(signatures(h, bounds, similarity) if len(h) else h)
+            sig, need = signatures(h, bounds, similarity) if len(h) else (h, [1, 1])
+            facts.append((len(h), *need))
+            sigs.append(sig)
             key += 1
             if len(marks) == 500:
                 yield from rows()
-                marks, keys, sizes, sigs = [], [], [], []
+                marks, keys, facts, sigs = [], [], [], []
         yield from rows()
 
     return describe
@@ -213,6 +221,19 @@ def _product(similarity: tuple[int, int]):
     return multiply
 
 
+def _need() -> Column:
+    return F.when(F.col("sig") % 2 == 0, F.col("need_even")).otherwise(F.col("need_odd"))
+
+
+def _often_enough(shared: DataFrame) -> DataFrame:
+    """Without documents that share too few signatures of a level to be linked there, and signatures then alone."""
+    odd = (F.col("sig") % 2 != 0).alias("odd")
+    rows = shared.withColumn("odd", odd)
+    enough = rows.groupBy("key", "odd").agg(F.count("*").alias("times"), F.max(_need()).alias("need")).filter("times >= need").select("key", "odd")
+    rows = rows.join(enough, ["key", "odd"], "left_semi").drop("odd")
+    return rows.join(rows.groupBy("sig").agg(F.count("*").alias("times")).filter("times > 1").select("sig"), "sig", "left_semi").select(*shared.columns)
+
+
 def _cells(shared: DataFrame, scratch: Scratch) -> DataFrame:
     """``kind, cell, key, n, home``: who is to be compared where, from the shared signatures ``(sig, key, n)``."""
     first = shared.groupBy("sig").agg(F.min("key").alias("first"))
@@ -224,8 +245,10 @@ def _cells(shared: DataFrame, scratch: Scratch) -> DataFrame:
     families = scratch.keep(placed.select("sig", "family").distinct())
     number = families.groupBy("sig").agg(F.count("*").alias("families")).filter("families > 1")
     few = families.join(number.filter(F.col("families") <= FAMILIES), "sig").groupBy("sig").agg(F.collect_list("family").alias("others"))
-    guest = placed.join(few, "sig").select("key", "n", "family", F.explode("others").alias("host")).filter("host < family")
-    guest = scratch.keep(guest.select("host", "key", "n").distinct())
+    guest = placed.join(few, "sig").select("key", "n", "sig", _need().alias("need"), "family", F.explode("others").alias("host")).filter("host < family")
+    # a signature of a crowd is not counted here, but who shares one is compared in the crowd
+    guest = guest.groupBy("host", "key", "n", (F.col("sig") % 2).alias("odd")).agg(F.count("*").alias("times"), F.max("need").alias("need"))
+    guest = scratch.keep(guest.filter("times >= need").select("host", "key", "n").distinct())
     home = placed.select("family", "key", "n").distinct()
     open_ = home.groupBy("family").agg(F.count("*").alias("members")).join(guest.select(F.col("host").alias("family"), F.lit(True).alias("visited")).distinct(), "family", "left")
     home = home.join(open_.filter("members > 1 or visited").select("family"), "family", "left_semi")
@@ -289,21 +312,24 @@ def group_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, w
     if copies.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         copies = F.broadcast(copies)
     texts = marked.join(copies, F.col("doc_id").eqNullSafe(F.col("copy")) & (F.col("mark") == F.col("of")), "left_anti")
-    rows = scratch.keep(texts.select("mark", "text").mapInArrow(_described(words, similarity), "key long, sig long, mark binary, n long"))
-    texts_ = rows.filter("mark is not null").groupBy("mark").agg(F.min("key").alias("key"), F.max("n").alias("n"))
+    rows = scratch.keep(texts.select("mark", "text").mapInArrow(_described(words, similarity), "key long, sig long, mark binary, n long, need_even long, need_odd long"))
+    texts_ = rows.filter("mark is not null").groupBy("mark").agg(
+        *[F.min("key").alias("key"), F.count("*").alias("looked_at")], *[F.max(c).alias(c) for c in ("n", "need_even", "need_odd")]
+    )
     texts_ = scratch.keep(texts_)
 
     by_sig = rows.filter("sig is not null").select("sig", "key").repartition("sig").sortWithinPartitions("sig")
     shared = scratch.keep(by_sig.mapInArrow(_shared, "sig long, key long"))
     # rows of a text that was looked at twice (repeated rows, null ids) stand for its first key
-    sizes = texts_.select("key", "n")
-    shared = scratch.keep(shared.join(sizes, "key").distinct())
+    shared = scratch.keep(shared.join(texts_.select("key", "n", "need_even", "need_odd"), "key").distinct())
     scratch.drop(rows)
+    shared = scratch.keep(_often_enough(_often_enough(shared)))
 
-    wanted = shared.select("key").distinct().join(texts_, "key").select("mark", "key")
-    wanted = scratch.keep(wanted)
-    small = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    again = texts.select("mark", "text").join(F.broadcast(wanted) if small else wanted, "mark").select("key", "text")
+    wanted = scratch.keep(shared.select("key").distinct().join(texts_, "key").select("mark", "key", (F.col("looked_at") > 1).alias("twice")))
+    again = with_small(texts.select("mark", "text"), wanted, ["mark"]).filter("key is not null")
+    if not wanted.filter("twice").isEmpty():
+        again = again.filter("not twice").unionAll(again.filter("twice").dropDuplicates(["key"]))
+    again = again.select("key", "text")
 
     def rows_of(batches):
         known = _Hashes()
@@ -311,7 +337,7 @@ def group_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, w
             both = [(k, shingles(t, known, words).tobytes()) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in both], pa.int64()), pa.array([x[1] for x in both], pa.binary())], names=["key", "h"])
 
-    sets = scratch.keep(again.mapInArrow(rows_of, "key long, h binary").dropDuplicates(["key"]))
+    sets = scratch.keep(again.mapInArrow(rows_of, "key long, h binary"))
 
     edges = scratch.keep(_linked(_cells(shared, scratch), sets, similarity, scratch))
     scratch.drop(sets)
