@@ -22,7 +22,7 @@ from corpuslens.llm.common import Scratch, read
 from corpuslens.llm.registry import query
 
 #: Labelled documents that the classifiers are fitted and calibrated on, at most.
-LABELLED = 6_000
+LABELLED = 3_000
 ROUNDS = 2
 #: Pseudo-labels that a view hands over in a round, of each class at most (and a tenth of the labelled
 #: documents at most), and how sure it must be: so probable, and so often right on documents kept aside.
@@ -30,7 +30,7 @@ EXCHANGED, SURE = 200, 0.95
 #: Documents are kept from this probability of good quality on.
 THRESHOLD = 0.5
 
-WORD_BUCKETS, SHAPE_BUCKETS, META_BUCKETS = 2048, 512, 1024
+WORD_BUCKETS, SHAPE_BUCKETS, META_BUCKETS = 1024, 512, 512
 _UPPER, _DIGITS, _SIGNS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", bytes(x for x in range(33, 127) if not chr(x).isalnum() and chr(x) not in ".,;:'-")
 
 
@@ -97,8 +97,8 @@ META_SCALE = np.ones(META_BUCKETS)
 def fit_logistic(x: np.ndarray, y: np.ndarray, relative: np.ndarray, steps: int = 400, l2: float = 1e-3) -> np.ndarray:
     """Weights of a regularised logistic regression on columns of equal spread times ``relative``, by accelerated gradient steps."""
     spread = x.std(axis=0)
-    scale = relative / np.where(spread > 0, np.maximum(spread, 1e-3), 1.0)
-    z = (x * scale).astype(np.float32)
+    scale = (relative / np.where(spread > 0, np.maximum(spread, 1e-3), 1.0)).astype(np.float32)
+    z = x * scale
     # the largest curvature, by power iteration
     v = np.ones(z.shape[1], dtype=np.float32)
     for _ in range(20):
@@ -111,7 +111,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, relative: np.ndarray, steps: int
         new = ahead - step * (z.T @ (p - y).astype(np.float32) / len(y) + l2 * ahead)
         ahead = new + (k / (k + 3)) * (new - w)
         w = new
-    return (w * scale).astype(np.float64)
+    return w.astype(np.float64) * scale
 
 
 def fit_calibration(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -154,7 +154,7 @@ class Model:
 
         class Weights(dict):
             def __missing__(self, word):
-                if len(self) > 300_000:
+                if len(self) > 100_000:
                     self.clear()
                 x = self[word] = float(words[_word(word)] + shapes[_shape(word)])
                 return x
@@ -168,7 +168,7 @@ class Model:
 
         def meta_logit(*key):
             if key not in rest:
-                if len(rest) > 100_000:
+                if len(rest) > 20_000:
                     rest.clear()
                 rest[key] = float(sum(self.meta[b] for b in meta_buckets(*key)))
             return rest[key]
@@ -202,9 +202,24 @@ def scored(docs: DataFrame, model: Model, name: str = "scores") -> DataFrame:
     return docs.withColumn(name, probabilities("text", F.col("source").cast("string"), F.col("lang").cast("string"), F.col("n_chars").cast("long")))
 
 
-def _features(docs: DataFrame, ids: DataFrame) -> pd.DataFrame:
-    """Text and metadata of the documents named by a bounded table ``ids (doc_id, y, ...)``, as features."""
-    names = ["doc_id", "text", "source", "lang", "n_chars"]
+@dataclass
+class Examples:
+    """Documents with their labels, as numbers only: the driver holds no texts."""
+
+    doc_id: np.ndarray
+    y: np.ndarray
+    t: np.ndarray
+    m: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.y)
+
+    def where(self, chosen: np.ndarray) -> Examples:
+        return Examples(self.doc_id[chosen], self.y[chosen], self.t[chosen], self.m[chosen])
+
+
+def _features(docs: DataFrame, ids: DataFrame) -> Examples:
+    """Features of the documents named by a bounded table ``ids (doc_id, y)``, in the order of ids, each id once."""
 
     def describe(batches):
         for pdf in batches:
@@ -213,33 +228,32 @@ def _features(docs: DataFrame, ids: DataFrame) -> pd.DataFrame:
             text = [text_features(x if isinstance(x, str) else None).tobytes() for x in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "t": text, "m": [meta_features(*x).tobytes() for x in zip(*meta, n, strict=True)]})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("long").alias("n_chars"))
-    rows = rows.join(F.broadcast(ids.select("doc_id", "y")), "doc_id").select(*names, "y")
-    return rows.mapInPandas(describe, "doc_id long, y int, t binary, m binary").toPandas()
-
-
-def _matrix(parts: list[pd.DataFrame], column: str) -> np.ndarray:
-    return np.frombuffer(b"".join(x for p in parts for x in p[column]), dtype=np.float32).reshape(sum(map(len, parts)), -1)
+    kinds = {"doc_id": "long", "source": "string", "lang": "string", "n_chars": "long"}
+    rows = docs.select("text", *[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()]).join(F.broadcast(ids.select("doc_id", "y")), "doc_id")
+    table = rows.mapInPandas(describe, "doc_id long, y int, t binary, m binary").toArrow()
+    id_, y = (table[c].to_numpy() for c in ("doc_id", "y"))
+    both = [np.concatenate([np.zeros(0, dtype=np.float32), *(np.frombuffer(x.as_buffer(), dtype=np.float32) for x in table[c])]) for c in ("t", "m")]
+    found = Examples(id_, y.astype(np.float64), *[x.reshape(len(y), -1) if len(y) else x.reshape(0, 1) for x in both])
+    return found.where(np.unique(id_, return_index=True)[1])
 
 
-def _fitted(train: pd.DataFrame, aside: pd.DataFrame, for_text: list[pd.DataFrame], for_meta: list[pd.DataFrame]) -> Model:
-    y, y_aside = (x["y"].to_numpy().astype(np.float64) for x in (train, aside))
-    prior = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
-    labels = lambda parts: np.concatenate([p["y"].to_numpy().astype(np.float64) for p in parts])
+def _fitted(fit: Examples, aside: Examples, for_text: list[Examples], for_meta: list[Examples]) -> Model:
+    prior = float(np.log((fit.y.sum() + 1) / (len(fit) - fit.y.sum() + 1)))
     weights, curves = [], []
-    for column, more, relative in (("t", for_text, TEXT_SCALE), ("m", for_meta, META_SCALE)):
-        parts = [train, *more]
-        w = fit_logistic(_matrix(parts, column), labels(parts), relative)
+    for side, more, relative in (("t", for_text, TEXT_SCALE), ("m", for_meta, META_SCALE)):
+        parts = [fit, *more]
+        x = np.concatenate([getattr(p, side) for p in parts]) if more else getattr(fit, side)
+        w = fit_logistic(x, np.concatenate([p.y for p in parts]), relative)
         weights.append(w)
-        curves.append(fit_calibration(_matrix([aside], column) @ w, y_aside))
+        curves.append(fit_calibration(getattr(aside, side) @ w, aside.y))
     return Model(*weights, *curves, prior)
 
 
-def _is_right(model: Model, aside: pd.DataFrame, view: str, y: int, sure: float) -> bool:
+def _is_right(model: Model, aside: Examples, view: str, y: int, sure: float) -> bool:
     """Whether the view's sure judgements for class ``y`` hold on the documents kept aside."""
     w, (slope, offset), column = (model.text, model.text_curve, "t") if view == "p_text" else (model.meta, model.meta_curve, "m")
-    p = 1 / (1 + np.exp(-np.clip(slope * (_matrix([aside], column) @ w) + offset, -30, 30)))
-    chosen = aside["y"].to_numpy()[(p if y else 1 - p) >= sure]
+    p = 1 / (1 + np.exp(-np.clip(slope * (getattr(aside, column) @ w) + offset, -30, 30)))
+    chosen = aside.y[(p if y else 1 - p) >= sure]
     return len(chosen) >= 5 and (chosen == y).mean() >= sure
 
 
@@ -254,13 +268,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled:
     known = labels.filter(F.col("doc_id").isNotNull() & y.isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(y).alias("y"))
     known = scratch.keep(known)
     sample = scratch.keep(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled))
-    rows = _features(docs, sample).sort_values("doc_id").drop_duplicates("doc_id").reset_index(drop=True)
-    is_aside = np.array([zlib.crc32(str(x).encode()) % 4 == 0 for x in rows["doc_id"]], dtype=bool)
-    fit, aside = rows[~is_aside], rows[is_aside]
-    if fit["y"].nunique() < 2 or aside["y"].nunique() < 2:
+    rows = _features(docs, sample)
+    is_aside = np.array([zlib.crc32(str(x).encode()) % 4 == 0 for x in rows.doc_id], dtype=bool)
+    fit, aside = rows.where(~is_aside), rows.where(is_aside)
+    if len(set(fit.y)) < 2 or len(set(aside.y)) < 2:
         return None
-    for_text: list[pd.DataFrame] = []
-    for_meta: list[pd.DataFrame] = []
+    for_text: list[Examples] = []
+    for_meta: list[Examples] = []
     model = _fitted(fit, aside, for_text, for_meta)
     used: list[int] = []
     for _ in range(rounds):
@@ -275,10 +289,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled:
                 surest = surest.orderBy(F.desc("c"), F.xxhash64("doc_id"), "doc_id").limit(min(exchanged, len(fit) // 10))
                 given.append((parts, scratch.keep(surest.select("doc_id", F.lit(y_).alias("y")))))
         for parts, ids in given:
-            more = _features(docs, ids).sort_values("doc_id").drop_duplicates("doc_id")
+            more = _features(docs, ids)
             if len(more):
                 parts.append(more)
-                used += more["doc_id"].tolist()
+                used += more.doc_id.tolist()
         model = _fitted(fit, aside, for_text, for_meta)
     return model
 
