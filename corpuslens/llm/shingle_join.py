@@ -221,14 +221,18 @@ def _product(similarity: tuple[int, int]):
     return multiply
 
 
+def _odd() -> Column:
+    """Whether a signature is of an odd level; signatures are signed, and the remainder of a negative one is -1."""
+    return (F.col("sig") % 2 != 0).alias("odd")
+
+
 def _need() -> Column:
-    return F.when(F.col("sig") % 2 == 0, F.col("need_even")).otherwise(F.col("need_odd"))
+    return F.when(_odd(), F.col("need_odd")).otherwise(F.col("need_even"))
 
 
 def _often_enough(shared: DataFrame) -> DataFrame:
     """Without documents that share too few signatures of a level to be linked there, and signatures then alone."""
-    odd = (F.col("sig") % 2 != 0).alias("odd")
-    rows = shared.withColumn("odd", odd)
+    rows = shared.withColumn("odd", _odd())
     enough = rows.groupBy("key", "odd").agg(F.count("*").alias("times"), F.max(_need()).alias("need")).filter("times >= need").select("key", "odd")
     rows = rows.join(enough, ["key", "odd"], "left_semi").drop("odd")
     return rows.join(rows.groupBy("sig").agg(F.count("*").alias("times")).filter("times > 1").select("sig"), "sig", "left_semi").select(*shared.columns)
@@ -247,7 +251,7 @@ def _cells(shared: DataFrame, scratch: Scratch) -> DataFrame:
     few = families.join(number.filter(F.col("families") <= FAMILIES), "sig").groupBy("sig").agg(F.collect_list("family").alias("others"))
     guest = placed.join(few, "sig").select("key", "n", "sig", _need().alias("need"), "family", F.explode("others").alias("host")).filter("host < family")
     # a signature of a crowd is not counted here, but who shares one is compared in the crowd
-    guest = guest.groupBy("host", "key", "n", (F.col("sig") % 2).alias("odd")).agg(F.count("*").alias("times"), F.max("need").alias("need"))
+    guest = guest.groupBy("host", "key", "n", _odd()).agg(F.count("*").alias("times"), F.max("need").alias("need"))
     guest = scratch.keep(guest.filter("times >= need").select("host", "key", "n").distinct())
     home = placed.select("family", "key", "n").distinct()
     open_ = home.groupBy("family").agg(F.count("*").alias("members")).join(guest.select(F.col("host").alias("family"), F.lit(True).alias("visited")).distinct(), "family", "left")

@@ -89,6 +89,41 @@ def test_other_similarity(spark):
     assert run(spark, rows, similarity=(8, 10)) == brute(rows, 8, 10)
 
 
+@pytest.mark.parametrize(("similarity", "words"), [((90, 100), 3), ((80, 100), 5)])
+def test_short_copies_with_trimmed_ends(spark, similarity, words):
+    """Copies of adjacent size levels, many of them in other families, share just the signatures needed."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(450):
+        base = [f"w{rng.randrange(10**7)}" for _ in range(rng.randrange(27, 31))]
+        for _ in range(4):
+            w = base[rng.randrange(3) : len(base) - rng.randrange(3)]
+            if rng.random() < 0.3:
+                w[rng.choice([0, -1])] = f"e{rng.randrange(10**7)}"
+            texts.append(" ".join(w))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    sets = [grams(t, words) for t in texts]
+    holders = {}
+    for i, x in enumerate(sets):
+        for g in x:
+            holders.setdefault(g, []).append(i)
+    up = list(range(len(rows)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    num, den = similarity
+    for i, x in enumerate(sets):
+        for j in {j for g in x for j in holders[g] if j < i}:
+            if den * len(x & sets[j]) >= num * len(x | sets[j]):
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    assert run(spark, rows, similarity=similarity, words=words) == sorted(((i, len(x), root(i)) for i, x in enumerate(sets)), key=str)
+
+
 def test_odd_texts(spark):
     long = " ".join(f"l{i}" for i in range(30_000))
     rows = [
