@@ -79,7 +79,7 @@ class _Template:
 def words_of(text: Column) -> Column:
     """Words of a text with A-Z in lower case; other capitals may be lowered too, but none becomes an ASCII letter."""
     kelvin = F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0138"))  # the lower case of the first is an ASCII k
-    even = F.regexp_replace(kelvin, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ")
+    even = F.regexp_replace(kelvin, r"[\x00-\x1F\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", " ")
     return F.array_remove(F.split(F.lower(even), " "), "")
 
 
@@ -128,19 +128,23 @@ def word_ranks(docs: DataFrame, templates: Sequence[_Template]) -> dict[str, int
     return {w: i for i, w in enumerate(sorted(known, key=lambda w: (count.get(w, 0), w)))}
 
 
-def _blocks(marked: Column, templates: Sequence[_Template], ranks: dict[str, int], step: int) -> Column:
+def _prefix_words(templates: Sequence[_Template], ranks: dict[str, int]) -> list[str]:
+    """The words of which a block must have one: of each template, the rarest ``size - need + 1``."""
+    return sorted({w for t in templates for w in sorted(t.words, key=ranks.get)[: len(t.words) - t.need + 1]})
+
+
+def _blocks(words: Column, rare_at: Column, templates: Sequence[_Template], ranks: dict[str, int], step: int) -> Column:
     """The blocks of one width that pass a prefix and a length filter of its templates: ``step, start, words``.
 
-    ``marked`` holds the document's words, null where they are in no template.
+    ``rare_at`` are the places of prefix words; blocks without one are not made.
     """
-    least = min(t.need for t in templates)
-    by_rank = [sorted(t.words, key=ranks.get)[: len(t.words) - t.need + 1] for t in templates]
-    rare = sorted({w for words in by_rank for w in words})
-    last = F.greatest(F.ceil(F.size(marked) / F.lit(step)).cast("int") - 2, F.lit(0))
-    cut = lambda b: F.struct(
-        F.lit(step).alias("step"), (b * step).alias("start"), F.array_distinct(F.array_compact(F.slice(marked, b * step + 1, F.lit(2 * step)))).alias("words")
-    )
-    blocks = F.transform(F.sequence(F.lit(0), last), cut)
+    known = sorted({w for t in templates for w in t.words})
+    rare, least = _prefix_words(templates, ranks), min(t.need for t in templates)
+    last = F.greatest(F.ceil(F.size(words) / F.lit(step)).cast("int") - 2, F.lit(0))
+    place = lambda i: F.floor(i / F.lit(step)).cast("int")
+    numbers = F.array_distinct(F.concat(F.transform(rare_at, lambda i: F.greatest(place(i) - 1, F.lit(0))), F.transform(rare_at, lambda i: F.least(place(i), last))))
+    inside = lambda b: F.array_distinct(F.filter(F.slice(words, b * step + 1, F.lit(2 * step)), lambda w: w.isin(known)))
+    blocks = F.transform(numbers, lambda b: F.struct(F.lit(step).alias("step"), (b * step).alias("start"), inside(b).alias("words")))
     return F.filter(blocks, lambda x: (F.size(x["words"]) >= least) & F.exists(x["words"], lambda w: w.isin(rare)))
 
 
@@ -197,10 +201,10 @@ def scan_licenses(
     kind = "array<struct<step:int,start:int,words:array<string>>>"
     found = F.array().cast(kind)
     if made:
-        known = sorted(ranks)
-        df = df.withColumn("__marked", F.transform("__words", lambda w: F.when(w.isin(known), w)))
-        steps = sorted({t.step for t in made})
-        found = F.concat(*[_blocks(F.col("__marked"), [t for t in made if t.step == s], ranks, s) for s in steps]).cast(kind)
+        rare = _prefix_words(made, ranks)
+        df = df.withColumn("__rare", F.array_compact(F.transform("__words", lambda w, i: F.when(w.isin(rare), i))))
+        sets = [_blocks(F.col("__words"), F.col("__rare"), [t for t in made if t.step == s], ranks, s) for s in sorted({t.step for t in made})]
+        found = F.when(F.size("__rare") > 0, F.concat(*sets)).otherwise(F.array()).cast(kind)
     base = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
     # the ids are written with the rows, so they stay what they are
     kept = scratch.keep(df.select(*base, found.alias("found")).withColumn("uid", F.monotonically_increasing_id()))
