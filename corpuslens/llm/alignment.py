@@ -54,6 +54,8 @@ class Vocabularies:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         if max(self.a.n_vocab, len(pieces)) > 1 << A_BITS:
             raise ValueError("vocabularies of more than 2^20 tokens don't fit the codes")
+        if not 1 <= radix <= 1 << (63 - A_BITS - B_BITS - DOC_BITS):
+            raise ValueError("from 1 to 32 parts fit the codes")
         self.radix = radix
         plain = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
         #: Whether no B token reaches over an end of SEGMENT, and blanks are kept as they are.
@@ -64,14 +66,11 @@ class Vocabularies:
         return self.b.piece_to_id("▁")
 
     def b_ids(self, text: str) -> list[int] | None:
-        """B ids of a text that begins with white space; None if they don't spell it."""
+        """B ids of a part of a text; None if they don't spell it."""
         if text[0] == " ":
             ids = self.b.encode(text[1:]) if len(text) > 1 else [self.blank]  # it adds the blank itself
         else:
-            ids = self.b.encode(text)
-            if not ids or ids[0] != self.blank:
-                return None
-            ids = ids[1:]
+            ids = self.b.encode("\n" + text)[2:]  # without the blank and a newline, which is a token of its own
         return ids if b"".join([self.b_bytes[i] for i in ids]) == text.encode() else None
 
     def a_bytes(self, ids: Iterable[int]) -> list[bytes]:
@@ -226,7 +225,7 @@ def sorted_runs(links: np.ndarray, places: np.ndarray, radix: int) -> Iterator[t
     first = np.flatnonzero(np.diff(code, prepend=-1))
     times = np.diff(first, append=len(code))
     code = code[first]
-    bounds = np.searchsorted(code, np.arange(radix + 1) << (A_BITS + B_BITS + DOC_BITS))
+    bounds = [*np.searchsorted(code, np.arange(radix) << (A_BITS + B_BITS + DOC_BITS)), len(code)]
     for r, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
         if lo == hi:
             continue

@@ -122,10 +122,10 @@ def test_segments_make_the_same_tokens_as_whole_texts():
 
 def test_memory_of_segments_is_bounded():
     v = Vocabularies(None, None, 32)
-    small = Aligned(v, memory=20_000)
-    for i in range(500):
+    small = Aligned(v, memory=1 << 19)
+    for i in range(2000):
         small.document(f"word{i} and the")
-        assert small.size <= 20_000
+        assert small.size <= 1 << 19
     assert small.before and small.document("word1 and the") == Aligned(v).document("word1 and the")
 
 
