@@ -6,24 +6,19 @@ corresponds to Spark's ``regParam = 1 / (C * n)`` on the mean loss.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.classification import (
-    LinearSVC,
-    LinearSVCModel,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    OneVsRest,
-)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpuslens.operators.linear_scores import DISCRETE, MARGINS, PROBABILITY, LinearTextModel
-from corpuslens.operators.tfidf import FeatureUnion
+from corpuslens.operators.linear_scores import DISCRETE, MARGINS, PROBABILITY, LinearTextModel, calibrated_shares
+from corpuslens.operators.shared_fit import LOG, SQUARED_HINGE, Problem, block_margins, fit_together, pack_blocks, spread, vector_margins
 from corpuslens.operators.split import BUCKET_DIGITS, split_hash
+from corpuslens.operators.tfidf import FeatureUnion
 from corpuslens.plans.joins import lookup_join
 from corpuslens.sources.tables import keep_table
 
@@ -45,6 +40,32 @@ def with_class_weight(df: DataFrame, y: str = "y", out_col: str = "weight") -> D
 
 
 ROWS_PER_TASK = 2_000
+#: Penalty of the log-loss classifier, on the mean loss.
+SGD_ALPHA = 1e-4
+#: Kinds that are fitted together.
+LINEAR = ("linear_svc", "logreg", "sgd_log")
+
+
+def vector_size(df: DataFrame, features: str = "features") -> int:
+    """Length of a vector column."""
+    v = F.unwrap_udt(F.col(features))
+    return df.select(F.coalesce(v["size"], F.size(v["values"]))).first()[0]
+
+
+def best_position(scores: str) -> Column:
+    """Position of the highest score, the first among equals, as Spark ML writes a prediction."""
+    return (F.array_position(scores, F.array_max(scores)) - 1).cast("double")
+
+
+@dataclass
+class MarginModel:
+    """``weights``: one row per class, the last column the intercepts."""
+
+    weights: np.ndarray
+
+    def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
+        """Add ``margins`` and ``prediction``."""
+        return df.withColumn("margins", vector_margins(df, self.weights, features)).withColumn("prediction", best_position("margins"))
 
 
 @dataclass
@@ -58,9 +79,24 @@ class Classifier:
     tol: float = 1e-4  # fits stop here; the steps are far more than they need
     alpha: float = 0.1
     layers: tuple[int, ...] = (256, 128)
-    parallelism: int = 4
+
+    def problem(self, data: str, n_docs: int = 0, left_out: int | None = None) -> Problem:
+        """The same settings for a fit together with others; ``n_docs`` matters to ``sgd_log`` only."""
+        if self.kind == "linear_svc":
+            return Problem(data, SQUARED_HINGE, self.C, self.class_weight == "balanced", left_out)
+        if self.kind == "logreg":
+            return Problem(data, LOG, self.C, self.class_weight == "balanced", left_out)
+        if self.kind == "sgd_log":
+            return Problem(data, LOG, 1.0 / (SGD_ALPHA * n_docs), self.class_weight == "balanced", left_out)
+        raise ValueError(f"not a linear classifier: {self.kind}")
 
     def fit(self, train: DataFrame, n_docs: int, n_classes: int, n_features: int | None = None, features: str = "features", y: str = "y"):
+        if self.kind == "linear_svc":
+            size = n_features or vector_size(train, features)
+            blocks = spread([pack_blocks(train, "train", features, y)], train.sparkSession.sparkContext.defaultParallelism)
+            weights = fit_together(blocks, [self.problem("train")], {"train": size}, n_classes, self.tol, self.max_iter)
+            blocks.unpersist()
+            return MarginModel(weights[0])
         # An optimiser step is one job over the rows: tasks of a few rows would be all scheduling.
         train = train.coalesce(n_docs // ROWS_PER_TASK + 1)
         columns = dict(featuresCol=features, labelCol=y)
@@ -68,9 +104,6 @@ class Classifier:
         if self.class_weight == "balanced":
             train = with_class_weight(train, y)
             weight = dict(weightCol="weight")
-        if self.kind == "linear_svc":
-            base = LinearSVC(maxIter=self.max_iter, tol=self.tol, regParam=1.0 / (self.C * n_docs), standardization=False)
-            return OneVsRest(classifier=base, parallelism=self.parallelism, **columns, **weight).fit(train)
         if self.kind == "logreg":
             return LogisticRegression(
                 family="multinomial", maxIter=self.max_iter, tol=self.tol, regParam=1.0 / (self.C * n_docs), elasticNetParam=0.0,
@@ -78,7 +111,7 @@ class Classifier:
             ).fit(train)
         if self.kind == "sgd_log":
             return LogisticRegression(
-                family="multinomial", maxIter=self.max_iter, tol=self.tol, regParam=1e-4, standardization=False, **columns, **weight
+                family="multinomial", maxIter=self.max_iter, tol=self.tol, regParam=SGD_ALPHA, standardization=False, **columns, **weight
             ).fit(train)
         if self.kind == "mlp":
             if n_features is None:
@@ -89,28 +122,34 @@ class Classifier:
         raise ValueError(f"unknown classifier: {self.kind}")
 
 
-def text_model(model, union: FeatureUnion, terms: DataFrame, labels: Sequence) -> LinearTextModel:
+def text_model(model, union: FeatureUnion, terms: DataFrame, labels: Sequence, classes_only: bool = False) -> LinearTextModel:
     """A fitted linear classifier as a table of class weights, to be saved, scored, streamed and explained.
 
-    ``terms`` are the union's terms with their positions. Margins of a one-vs-rest SVC are compared by
-    softmax, as are the scores of a logistic regression, whose softmax is its probability. For a
-    calibrated SVC the mean coefficients of its folds serve explanations, and its class is discrete.
+    ``terms`` are the union's terms with their positions. Margins of an SVC are compared by softmax, as
+    are the scores of a logistic regression, whose softmax is its probability. A calibrated SVC keeps the
+    weights and sigmoids of every fold, and its probability is their mean. With ``classes_only`` a class
+    is all that scoring gives.
     """
-    import numpy as np
-    import pandas as pd
-
+    sigmoids = None
     if isinstance(model, CalibratedSVC):
-        weights, offsets, kind = np.array(model.mean_coefficients()), np.mean([[m.intercept for m in fold.models] for fold in model.models], axis=0), DISCRETE
-    elif hasattr(model, "models"):
-        weights, offsets, kind = np.array([m.coefficients.toArray() for m in model.models]), [m.intercept for m in model.models], MARGINS
+        weights, kind, sigmoids = np.vstack(model.weights), PROBABILITY, model.sigmoids
+    elif isinstance(model, MarginModel):
+        weights, kind = model.weights, MARGINS
     else:
-        weights, offsets, kind = model.coefficientMatrix.toArray(), model.interceptVector.toArray(), PROBABILITY
-    if len(weights) != len(labels):
+        weights, kind = np.column_stack([model.coefficientMatrix.toArray(), model.interceptVector.toArray()]), PROBABILITY
+    if len(weights) != len(labels) * (len(sigmoids) if sigmoids else 1):
         raise ValueError("one row of weights per label is needed")
-    frame = pd.DataFrame({"idx": np.arange(weights.shape[1], dtype="int32"), "weights": list(weights.T.copy())})
-    rows = terms.sparkSession.createDataFrame(frame, "idx int, weights array<double>")
+    rows = weight_rows(terms.sparkSession, weights)
     table = keep_table(terms.join(rows, "idx").select("channel", "term", "idf", "weights"))
-    return LinearTextModel(union, table, list(labels), [float(x) for x in offsets], kind)
+    return LinearTextModel(union, table, list(labels), [float(x) for x in weights[:, -1]], DISCRETE if classes_only else kind, sigmoids)
+
+
+def weight_rows(spark, weights: np.ndarray) -> DataFrame:
+    """``idx, weights``: one row per feature, handed over as one Arrow table."""
+    n, size = len(weights), weights.shape[1] - 1
+    flat = pa.array(np.ascontiguousarray(weights[:, :-1].T).ravel())
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * size + 1, n, dtype=np.int32)), flat)
+    return spark.createDataFrame(pa.table({"idx": pa.array(np.arange(size, dtype=np.int32)), "weights": lists}))
 
 
 def predict_labels(model, df: DataFrame, labels: Sequence, keep: Sequence[str]) -> DataFrame:
@@ -146,101 +185,71 @@ def stratified_folds(df: DataFrame, folds: int = 5, id_col: str = "doc_id", y: s
 
 @dataclass
 class CalibratedSVC:
-    """Per fold: one one-vs-rest margin model and a sigmoid (a, b) per class fitted outside its training part."""
+    """Per fold: weights as in MarginModel, and a sigmoid (a, b) per class fitted outside its training part."""
 
-    models: list
+    weights: list[np.ndarray]
     sigmoids: list[list[tuple[float, float]]]
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
         """Add ``probability`` (array, label order) and ``prediction``."""
-        n = len(self.sigmoids[0])
-        shares = []
-        for k, model in enumerate(self.models):
-            df = model.transform(df).withColumn(f"__m{k}", vector_to_array("rawPrediction")).drop("rawPrediction", "prediction")
-            raw = [
-                F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.get(f"__m{k}", F.lit(i)) + F.lit(b))))
-                for i, (a, b) in enumerate(self.sigmoids[k])
-            ]
-            df = df.withColumn(f"__p{k}", F.array(*raw)).drop(f"__m{k}")
-            total = F.aggregate(F.col(f"__p{k}"), F.lit(0.0), lambda x, y: x + y)
-            shares.append([F.coalesce(F.try_divide(F.get(f"__p{k}", F.lit(i)), total), F.lit(1.0 / n)) for i in range(n)])
-        mean = [sum((fold[i] for fold in shares[1:]), shares[0][i]) / len(shares) for i in range(n)]
-        df = df.withColumn("probability", F.array(*mean)).drop(*[f"__p{k}" for k in range(len(self.models))])
-        best = F.array_position("probability", F.array_max("probability")) - 1
-        return df.withColumn("prediction", best.cast("double"))
-
-    def mean_coefficients(self) -> list[list[float]]:
-        """Per class: coefficients averaged over the folds, for attributions."""
-        import numpy as np
-
-        per_fold = [[_svc(m).coefficients.toArray() for m in model.models] for model in self.models]
-        return np.mean(per_fold, axis=0).tolist()
-
-
-def _svc(model) -> LinearSVCModel:
-    return model
+        df = df.withColumn("__m", vector_margins(df, np.vstack(self.weights), features))
+        df = df.withColumn("probability", calibrated_shares(F.col("__m"), self.sigmoids)).drop("__m")
+        return df.withColumn("prediction", best_position("probability"))
 
 
 def fit_calibrated_svc(
     train: DataFrame, labels: Sequence, folds: int = 5, id_col: str = "doc_id", base: Classifier | None = None,
     features: str = "features", y: str = "y",
 ) -> CalibratedSVC:
-    """Sigmoid-calibrated one-vs-rest SVC. ``train`` should be persisted: it is read many times.
+    """Sigmoid-calibrated one-vs-rest SVC. The folds' fits share one job per step.
 
     Each fold's margins on the left-out part calibrate that fold's model; targets are smoothed by the
     class sizes.
     """
     base = base or Classifier("linear_svc", class_weight="balanced")
-    train = stratified_folds(train, folds, id_col, y).withColumnRenamed("fold", "__fold").persist()
-    sizes = {r["__fold"]: r["n"] for r in train.groupBy("__fold").agg(F.count("*").alias("n")).collect()}
-    total = sum(sizes.values())
-
-    def one(k: int) -> tuple:
-        part = train.filter(F.col("__fold") != k).drop("__fold")
-        model = base.fit(part, total - sizes.get(k, 0), len(labels), features=features, y=y)
-        margins = keep_table(
-            model.transform(train.filter(F.col("__fold") == k))
-            .select(y, vector_to_array("rawPrediction").alias("m"))
-            .coalesce(sizes.get(k, 0) // ROWS_PER_TASK + 1)
-        )
-        positives = {int(r[y]): r["n"] for r in margins.groupBy(y).agg(F.count("*").alias("n")).collect()}
-        everything = sum(positives.values())
-        sizes_out = [(positives.get(i, 0), everything - positives.get(i, 0)) for i in range(len(labels))]
-        return model, _fit_sigmoids(margins, sizes_out, y)
-
-    # an optimiser is a row of small jobs: the folds are fitted side by side
-    with ThreadPoolExecutor(folds) as pool:
-        models, sigmoids = zip(*pool.map(one, range(folds)), strict=True)
-    return CalibratedSVC(list(models), list(sigmoids))
-
-
-def _fit_sigmoids(margins: DataFrame, sizes: list[tuple[int, int]], y: str, steps: int = 30) -> list[tuple[float, float]]:
-    """``(a, b)`` per class of ``1 / (1 + exp(-(a * margin + b)))`` by Newton steps on smoothed targets.
-
-    All classes advance together: a step is one aggregate over the margins and brings back five sums
-    per class, which do not grow with the data.
+    dealt = keep_table(stratified_folds(train.select(id_col, y, features), folds, id_col, y))
+    blocks = spread([pack_blocks(dealt, "train", features, y, F.col("fold"))], train.sparkSession.sparkContext.defaultParallelism)
+    problems = [base.problem("train", left_out=k) for k in range(folds)]
+    weights = fit_together(blocks, problems, {"train": vector_size(dealt, features)}, len(labels), base.tol, base.max_iter)
+    held = block_margins(blocks, {"train": weights}).filter("fold = model")
+    margins = keep_table(held.select("fold", "y", "margins"))
+    blocks.unpersist()
+    return CalibratedSVC(weights, _fit_sigmoids(margins, folds, len(labels)))
+
+
+def _fit_sigmoids(margins: DataFrame, folds: int, n: int, steps: int = 30) -> list[list[tuple[float, float]]]:
+    """``(a, b)`` per fold and class of ``1 / (1 + exp(-(a * margin + b)))`` by Newton steps on smoothed targets.
+
+    ``margins (fold, y, margins)``. All folds and classes advance together: a step is one aggregate over
+    the margins and brings back five sums for each, which do not grow with the data.
     """
-    n = len(sizes)
-    ab = [[0.0, math.log((pos + 1.0) / (neg + 1.0))] for pos, neg in sizes]
+    sizes = np.zeros((folds, n))
+    for r in margins.groupBy("fold", "y").count().collect():
+        sizes[r["fold"], r["y"]] = r["count"]
+    rest = sizes.sum(axis=1, keepdims=True) - sizes
+    ab = np.stack([np.zeros((folds, n)), np.log((sizes + 1.0) / (rest + 1.0))], axis=-1)
+    high, low = (sizes + 1.0) / (sizes + 2.0), 1.0 / (rest + 2.0)
+    pick = lambda values, i: F.get(F.array(*[F.lit(float(v)) for v in values[:, i]]), F.col("fold"))
     for _ in range(steps):
         sums = []
-        for i, (pos, neg) in enumerate(sizes):
-            m = F.get("m", F.lit(i))
-            target = F.when(F.col(y) == i, (pos + 1.0) / (pos + 2.0)).otherwise(1.0 / (neg + 2.0))
-            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(ab[i][0]) * m + F.lit(ab[i][1]))))
+        for i in range(n):
+            m = F.get("margins", F.lit(i))
+            target = F.when(F.col("y") == i, pick(high, i)).otherwise(pick(low, i))
+            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(pick(ab[:, :, 0], i) * m + pick(ab[:, :, 1], i))))
             gap, curve = target - p, p * (F.lit(1.0) - p)
             sums += [F.sum(gap * m), F.sum(gap), F.sum(curve * m * m), F.sum(curve * m), F.sum(curve)]
-        row = margins.agg(*sums).first()
         moved = 0.0
-        for i in range(n):
-            ga, gb, haa, hab, hbb = (row[5 * i + j] or 0.0 for j in range(5))
-            haa, hbb = haa + 1e-9, hbb + 1e-9
-            det = haa * hbb - hab * hab
-            da, db = ((hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det) if det > 0 else (0.0, 0.0)
-            # A damped step keeps separable classes from running away.
-            scale = min(1.0, 5.0 / max(abs(da), abs(db), 1e-12))
-            ab[i] = [ab[i][0] + scale * da, ab[i][1] + scale * db]
-            moved = max(moved, abs(da), abs(db))
+        for row in margins.groupBy("fold").agg(*sums).collect():
+            k = row["fold"]
+            for i in range(n):
+                ga, gb, haa, hab, hbb = (row[1 + 5 * i + j] or 0.0 for j in range(5))
+                haa, hbb = haa + 1e-9, hbb + 1e-9
+                det = haa * hbb - hab * hab
+                da, db = ((hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det) if det > 0 else (0.0, 0.0)
+                # A damped step keeps separable classes from running away.
+                scale = min(1.0, 5.0 / max(abs(da), abs(db), 1e-12))
+                ab[k, i] += scale * da, scale * db
+                moved = max(moved, abs(da), abs(db))
         if moved < 1e-6:
             break
-    return [(a, b) for a, b in ab]
+    return [[(float(a), float(b)) for a, b in fold] for fold in ab]

@@ -37,21 +37,42 @@ def class_labels(df: DataFrame, label: str = "lang", max_classes: int = MAX_CLAS
     return list(class_counts(df, label, max_classes))
 
 
+def calibrated_shares(margins: Column, sigmoids: Sequence[Sequence[tuple[float, float]]]) -> Column:
+    """Mean over the folds of each class's share, from margins fold by fold and a sigmoid for every one.
+
+    A fold whose classes all get nothing says that each is as likely as any other.
+    """
+    n = len(sigmoids[0])
+    a, b = (F.array(*[F.lit(float(ab[j])) for fold in sigmoids for ab in fold]) for j in (0, 1))
+    raw = F.transform(F.arrays_zip(margins.alias("m"), a.alias("a"), b.alias("b")), lambda x: F.lit(1.0) / (F.lit(1.0) + F.exp(-(x["a"] * x["m"] + x["b"]))))
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
+    share = lambda p: F.transform(p, lambda x: F.coalesce(F.try_divide(x, total(p)), F.lit(1.0 / n)))
+    folds = F.transform(F.sequence(F.lit(0), F.lit(len(sigmoids) - 1)), lambda k: share(F.slice(raw, k * n + 1, F.lit(n))))
+    nothing = F.array_repeat(F.lit(0.0), n)
+    summed = F.aggregate(folds, nothing, lambda s, p: F.zip_with(s, p, lambda x, y: x + y))
+    return F.transform(summed, lambda x: x / len(sigmoids))
+
+
 @dataclass
 class LinearTextModel:
-    """``table``: ``channel, term, idf, weights``; ``intercepts``: one number per class."""
+    """``table``: ``channel, term, idf, weights``; ``intercepts``: one number per class.
+
+    With ``sigmoids``, per fold one (a, b) per class, weights and intercepts run through the folds, and
+    probabilities are the folds' mean.
+    """
 
     union: FeatureUnion
     table: DataFrame
     labels: list
     intercepts: list[float]
     confidence_type: str
+    sigmoids: list[list[tuple[float, float]]] | None = None
 
     def _is_small(self) -> bool:
         """Whether the weights may be broadcast; the table is counted once."""
         if not hasattr(self, "_rows"):
             self._rows = self.table.count()
-        return self._rows * max(1, len(self.labels)) <= BROADCAST_WEIGHTS
+        return self._rows * max(1, len(self.intercepts)) <= BROADCAST_WEIGHTS
 
     def _weighed(self, df: DataFrame, id_col: str, text: str) -> DataFrame:
         """Document terms with their TF-IDF weight before normalisation and the class weights."""
@@ -69,35 +90,44 @@ class LinearTextModel:
         return out
 
     def scores(self, df: DataFrame, id_col: str = "doc_id", text: str = "clean") -> DataFrame:
-        """``(id, scores)``: one score per class in label order, for every document."""
+        """``(id, scores)`` of every document: one score per class in label order, fold by fold if there are any."""
         rows = self._weighed(df, id_col, text)
-        sums = [F.sum(F.col("x") * F.get("weights", F.lit(i))).alias(f"s{i}") for i in range(len(self.labels))]
+        sums = [F.sum(F.col("x") * F.get("weights", F.lit(i))).alias(f"s{i}") for i in range(len(self.intercepts))]
         # Dividing the sums by the norm equals normalising each cell, without a second pass.
         per_channel = rows.groupBy(id_col, "channel").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), *sums)
         if len(self.union.fitted) == 1:
-            totals = per_channel.select(id_col, *[(F.col(f"s{i}") / F.col("norm")).alias(f"s{i}") for i in range(len(self.labels))])
+            totals = per_channel.select(id_col, *[(F.col(f"s{i}") / F.col("norm")).alias(f"s{i}") for i in range(len(self.intercepts))])
         else:
             totals = per_channel.groupBy(id_col).agg(
-                *[F.sum(F.col(f"s{i}") / F.col("norm")).alias(f"s{i}") for i in range(len(self.labels))]
+                *[F.sum(F.col(f"s{i}") / F.col("norm")).alias(f"s{i}") for i in range(len(self.intercepts))]
             )
         final = [
-            (F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.lit(self.intercepts[i])) for i in range(len(self.labels))
+            (F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.lit(self.intercepts[i])) for i in range(len(self.intercepts))
         ]
         return df.select(id_col).join(totals, id_col, "left").select(id_col, F.array(*final).alias("scores"))
 
     def predict(self, df: DataFrame, id_col: str = "doc_id", text: str = "clean") -> DataFrame:
-        """``(id, scores, prediction)``; equal scores go to the first label."""
-        return self.scores(df, id_col, text).withColumn("prediction", argmax_label(F.col("scores"), self.labels))
+        """``(id, scores, prediction)``; equal scores go to the first label. Scores of folds become probabilities."""
+        scored = self.scores(df, id_col, text).withColumn("scores", self.class_scores(F.col("scores")))
+        return scored.withColumn("prediction", argmax_label(F.col("scores"), self.labels))
+
+    def class_scores(self, scores: Column) -> Column:
+        """One number per class: the scores, or the probability that the folds' scores make."""
+        return calibrated_shares(scores, self.sigmoids) if self.sigmoids else scores
 
     def explain(self, df: DataFrame, k: int = 8, id_col: str = "doc_id", text: str = "clean") -> DataFrame:
         """``(id, prediction, rank, feature, score, type)``: the k terms that raise the predicted class most.
 
-        The class is found first; then each term keeps only its weight for that class.
+        The class is found first; then each term keeps only its weight for that class, the mean of the
+        folds' weights if there are any.
         """
         names = F.array(*[F.lit(v) for v in self.labels])
-        best = self.scores(df, id_col, text).select(id_col, (F.array_position("scores", F.array_max("scores")).cast("int") - 1).alias("best"))
+        scored = self.scores(df, id_col, text).select(id_col, self.class_scores(F.col("scores")).alias("scores"))
+        best = scored.select(id_col, (F.array_position("scores", F.array_max("scores")).cast("int") - 1).alias("best"))
         rows = self._weighed(df, id_col, text).join(best, id_col)
-        rows = rows.select(id_col, "channel", "term", "best", "x", F.get("weights", F.col("best")).alias("weight"))
+        folds = len(self.sigmoids) if self.sigmoids else 1
+        own = sum((F.get("weights", F.col("best") + k * len(self.labels)) for k in range(1, folds)), F.get("weights", F.col("best"))) / folds
+        rows = rows.select(id_col, "channel", "term", "best", "x", own.alias("weight"))
         norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(id_col, "channel")))
         rows = rows.withColumn("score", F.round(F.col("x") / norm * F.col("weight"), 9)).filter("score > 0")
         rank = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("score"), "term", "channel"))

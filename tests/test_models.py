@@ -133,7 +133,7 @@ def test_linear_models_learn(spark):
     calibrated = M.fit_calibrated_svc(vectors, ["a", "b", "c"], folds=2, base=M.Classifier("linear_svc", max_iter=5))
     rows = calibrated.transform(vectors).collect()
     assert all(sum(r["probability"]) == pytest.approx(1.0) and r["prediction"] == r["y"] for r in rows)
-    assert len(calibrated.mean_coefficients()) == 3
+    assert len(calibrated.weights) == 2 and all(len(w) == 3 for w in calibrated.weights)
 
 
 def test_centroids(spark):
@@ -271,16 +271,41 @@ def test_fitted_models_as_tables(spark, tmp_path):
     terms = IO.keep_table(union.terms())
     size = terms.count()
     vectors = M.with_label_index(union.vectors(train, terms, size, keep=["lang"]), labels).persist()
-    fits = {
-        "calibrated_decision_softmax": M.Classifier("linear_svc").fit(vectors, 60, 3, size),
-        "calibrated_probability": M.Classifier("logreg").fit(vectors, 60, 3, size),
-        "uncalibrated_discrete": M.fit_calibrated_svc(vectors, labels, folds=2),
-    }
-    for kind, fit in fits.items():
-        save_model(M.text_model(fit, union, terms, labels), f"file://{tmp_path}/{kind}")
-        model = load_model(spark, f"file://{tmp_path}/{kind}")
+    calibrated = M.fit_calibrated_svc(vectors, labels, folds=2)
+    fits = [
+        ("calibrated_decision_softmax", M.Classifier("linear_svc").fit(vectors, 60, 3, size)),
+        ("calibrated_probability", M.Classifier("logreg").fit(vectors, 60, 3, size)),
+        ("calibrated_probability", calibrated),
+        ("uncalibrated_discrete", calibrated),
+    ]
+    for i, (kind, fit) in enumerate(fits):
+        save_model(M.text_model(fit, union, terms, labels, classes_only=kind == "uncalibrated_discrete"), f"file://{tmp_path}/{i}")
+        model = load_model(spark, f"file://{tmp_path}/{i}")
         want = {r["doc_id"]: r["y_pred"] for r in M.predict_labels(fit, vectors, labels, ["doc_id"]).collect()}
         scored = X.score_docs(train, model, clean="clean").filter("success").collect()
         assert scored and all(r["predicted_category"] == want[r["doc_id"]] and r["confidence_type"] == kind for r in scored)
         assert all((r["confidence"] == 1.0 and len(r["top_classes"]) == 1) if kind == "uncalibrated_discrete" else len(r["top_classes"]) == 3 for r in scored)
         assert {r["type"] for r in model.explain(train).collect()} == {"word_token", "subword_ngram"}
+        if fit is calibrated:
+            share = {r["doc_id"]: r["probability"] for r in fit.transform(vectors).collect()}
+            for r in model.scores(train).select("doc_id", model.class_scores(F.col("scores")).alias("p")).collect():
+                assert r["p"] == pytest.approx(share[r["doc_id"]], abs=1e-9)
+            for r in scored if kind == "calibrated_probability" else []:
+                assert [x["score"] for x in r["top_classes"]] == pytest.approx(sorted(share[r["doc_id"]], reverse=True), abs=1e-9)
+            check_attributions(spark, fit, vectors, terms, model.explain(train), labels)
+
+
+def check_attributions(spark, fit, vectors, terms, found, labels):
+    """The mean weights of the folds times the vector, term by term."""
+    name = {r["idx"]: (r["term"], r["channel"]) for r in terms.collect()}
+    mean = sum(fit.weights) / len(fit.weights)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["doc_id"], []).append((r["rank"], r["feature"], r["score"], r["prediction"]))
+    for r in fit.transform(vectors).collect():
+        k = int(r["prediction"])
+        parts = [(*name[int(i)], round(float(v * mean[k][int(i)]), 9)) for i, v in zip(r["features"].indices, r["features"].values)]
+        best = sorted((x for x in parts if x[2] > 0), key=lambda x: (-x[2], x[0], x[1]))[:8]
+        rows = sorted(got.get(r["doc_id"], []))
+        assert [x[3] for x in rows] == [labels[k]] * len(best)
+        assert [x[2] for x in rows] == pytest.approx([x[2] for x in best], abs=2e-9)
