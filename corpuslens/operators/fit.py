@@ -93,7 +93,7 @@ class Classifier:
     def fit(self, train: DataFrame, n_docs: int, n_classes: int, n_features: int | None = None, features: str = "features", y: str = "y"):
         if self.kind == "linear_svc":
             size = n_features or vector_size(train, features)
-            blocks = spread([pack_blocks(train, "train", features, y)], train.sparkSession.sparkContext.defaultParallelism)
+            blocks = spread([pack_blocks(train, "train", features, y, n_rows=n_docs)], train.sparkSession.sparkContext.defaultParallelism)
             weights = fit_together(blocks, [self.problem("train")], {"train": size}, n_classes, self.tol, self.max_iter)
             blocks.unpersist()
             return MarginModel(weights[0])
@@ -208,7 +208,7 @@ def fit_calibrated_svc(
     """
     base = base or Classifier("linear_svc", class_weight="balanced")
     dealt = keep_table(stratified_folds(train.select(id_col, y, features), folds, id_col, y))
-    blocks = spread([pack_blocks(dealt, "train", features, y, F.col("fold"))], train.sparkSession.sparkContext.defaultParallelism)
+    blocks = spread([pack_blocks(dealt, "train", features, y, F.col("fold"), n_rows=dealt.count())], train.sparkSession.sparkContext.defaultParallelism)
     problems = [base.problem("train", left_out=k) for k in range(folds)]
     weights = fit_together(blocks, problems, {"train": vector_size(dealt, features)}, len(labels), base.tol, base.max_iter)
     held = block_margins(blocks, {"train": weights}).filter("fold = model")

@@ -10,9 +10,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpuslens.functions.fixed import PROFILE_STOP_WORDS
+from corpuslens.operators.linear_scores import MAX_CLASSES, class_labels
 from corpuslens.operators.ngrams import count_word_terms
 from corpuslens.operators.tfidf import Vocabulary, count_rows, weigh
 from corpuslens.plans.joins import lookup_join
+from corpuslens.sources.tables import keep_table
 
 LENGTHS = ("word_len", "char_len")
 
@@ -87,16 +89,8 @@ def length_summary(df: DataFrame, measures: Sequence[str] = LENGTHS) -> DataFram
     )
 
 
-def length_percentile(
-    df: DataFrame, share: float = 0.99, measures: Sequence[str] = LENGTHS, approximate: bool = False
-) -> DataFrame:
-    """One percentile per length: exact over the distribution, or approximate in one pass."""
-    if approximate:
-        columns = [F.percentile_approx(m, share, 10000).cast("double").alias(m) for m in measures]
-        wide = df.agg(*columns)
-        return wide.select(
-            F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("percentile")) for m in measures]))
-        )
+def length_percentile(df: DataFrame, share: float = 0.99, measures: Sequence[str] = LENGTHS) -> DataFrame:
+    """One exact percentile per length, over its distribution."""
     return (
         _per_measure(df, measures)
         .groupBy("measure")
@@ -104,6 +98,33 @@ def length_percentile(
     )
 
 
+def sketch_error(k: int) -> float:
+    """How far the rank of a sketch's quantile may be off, as a share of the rows, 99 times of 100."""
+    return 2.296 / k**0.9723
+
+
+def length_sketches(df: DataFrame, by: Sequence[str] = (), measures: Sequence[str] = LENGTHS, k: int = 400) -> DataFrame:
+    """``by.., measure, sketch``: one mergeable quantile sketch (KLL) per group and length.
+
+    A sketch has a few kilobytes whatever the rows; kept as a table, sketches of new documents are
+    merged with the old ones without reading those documents again.
+    """
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])
+    return df.select(*by, F.inline(pairs)).groupBy(*by, "measure").agg(F.kll_sketch_agg_double("value", F.lit(k)).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: Sequence[str] = (), k: int = 400) -> DataFrame:
+    """Sketches of several increments as one per group."""
+    return sketches.groupBy(*by, "measure").agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """The sketch column replaced by ``n_docs, share, quantile``, one row per share."""
+    cells = [F.struct(F.lit(float(q)).alias("share"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(q))).alias("quantile")) for q in shares]
+    kept = [c for c in sketches.columns if c != "sketch"]
+    return sketches.select(*kept, F.kll_sketch_get_n_double("sketch").alias("n_docs"), F.inline(F.array(*cells)))
+
+
 def length_histogram(df: DataFrame, measure: str = "word_len", bins: int = 50) -> DataFrame:
     """Equal-width histogram, empty bins included; the last bin is closed on the right."""
     spark = df.sparkSession
@@ -245,20 +266,49 @@ def class_centroids(
     )
 
 
-def class_similarity(centroids: DataFrame, label: str = "lang") -> DataFrame:
+#: Terms that are multiplied at a time.
+TERM_BLOCK = 4096
+
+
+def class_similarity(centroids: DataFrame, label: str = "lang", max_classes: int = MAX_CLASSES) -> DataFrame:
     """Cosine of every pair of class centroids, both orders and the diagonal.
 
-    A term has at most one row per class here, so the self-join is bounded by terms x classes^2 and
-    is summed up on the map side; its size does not depend on the number of documents.
+    Terms are dealt to tasks and packed into blocks of terms by classes; a block is multiplied with
+    itself, and the products add up to one matrix a task. More than ``max_classes`` classes are refused,
+    which bounds that matrix.
     """
-    norms = centroids.groupBy(label).agg(F.sqrt(F.sum(F.col("mean_w") ** 2)).alias("norm"))
-    unit = lookup_join(centroids, norms, label).select(
-        label, "term", F.coalesce(F.try_divide(F.col("mean_w"), F.col("norm")), F.lit(0.0)).alias("u")
-    )
-    a = unit.select("term", F.col(label).alias("class_a"), F.col("u").alias("u_a"))
-    b = unit.select("term", F.col(label).alias("class_b"), F.col("u").alias("u_b"))
-    return a.join(b, "term").groupBy("class_a", "class_b").agg(
-        F.round(F.sum(F.col("u_a") * F.col("u_b")), 6).alias("cosine")
+    labels = class_labels(centroids, label, max_classes)
+    n = len(labels)
+    position = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label)).cast("int") - 1
+    cells = centroids.filter(F.col(label).isNotNull()).select("term", position.alias("class"), F.col("mean_w").cast("double").alias("w"))
+    dealt = cells.repartition("term").sortWithinPartitions("term")
+
+    def multiplied(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((n, n))
+        block, row, last = np.zeros((TERM_BLOCK, n)), -1, None
+        for batch in batches:
+            for term, k, w in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if term != last:
+                    last, row = term, row + 1
+                    if row == TERM_BLOCK:
+                        total += block.T @ block
+                        block[:], row = 0.0, 0
+                block[row, k] = w
+        total += block.T @ block
+        a, b = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(a.astype("int32")), pa.array(b.astype("int32")), pa.array(total[a, b])], names=["a", "b", "dot"])
+
+    dots = keep_table(dealt.mapInArrow(multiplied, "a int, b int, dot double").groupBy("a", "b").agg(F.sum("dot").alias("dot")))
+    norm = dots.filter("a = b").select("a", F.sqrt("dot").alias("norm"))
+    norms = [norm.withColumnsRenamed({"a": side, "norm": f"norm_{side}"}) for side in "ab"]
+    shared = dots.join(F.broadcast(norms[0]), "a").join(F.broadcast(norms[1]), "b")
+    names = F.array(*[F.lit(v) for v in labels])
+    # classes without a term in common have no row, as their product is empty
+    return shared.select(
+        F.get(names, F.col("a")).alias("class_a"), F.get(names, F.col("b")).alias("class_b"), F.round(F.col("dot") / (F.col("norm_a") * F.col("norm_b")), 6).alias("cosine")
     )
 
 

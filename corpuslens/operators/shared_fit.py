@@ -50,12 +50,17 @@ class Problem:
 PACKED = "data string, ids array<string>, y binary, fold binary, ends binary, idx binary, val binary"
 
 
-def pack_blocks(rows: DataFrame, data: str, features: str = "features", y: str = "y", fold: Column | None = None, id_col: Column | None = None) -> DataFrame:
+def pack_blocks(
+    rows: DataFrame, data: str, features: str = "features", y: str = "y", fold: Column | None = None, id_col: Column | None = None, n_rows: int | None = None
+) -> DataFrame:
     """Blocks of documents, see PACKED: ``y`` and ``fold`` as int32, row ends, positions and values of the cells.
 
     ``features`` are vectors, ``y`` class positions; rows without a class are left out. ``fold`` is -1 and
-    ids are null where they are not given.
+    ids are null where they are not given. With ``n_rows``, their number, the rows are taken together so
+    that blocks are full: a step is one task per block, and tasks of a few rows would be all scheduling.
     """
+    if n_rows is not None:
+        rows = rows.coalesce(n_rows // BLOCK_ROWS + 1)
 
     def packed(batches):
         held: list[tuple] = []
@@ -245,7 +250,8 @@ def fit_together(
     taken in turns of at most ``most_weights`` numbers; one alone that is larger is refused.
     """
     counts = _class_counts(blocks, n_classes)
-    n_tasks = blocks.rdd.getNumPartitions()
+    # a problem's gradient comes from as many tasks as its data has blocks, at most
+    n_tasks = min(blocks.rdd.getNumPartitions(), max((r["count"] for r in blocks.groupBy("data").count().collect()), default=1))
     out: list[np.ndarray | None] = [None] * len(problems)
     todo = deque(range(len(problems)))
     while todo:
@@ -334,15 +340,12 @@ def vector_margins(df: DataFrame, weights: np.ndarray, features: str = "features
 
 
 def spread(blocks: Iterable[DataFrame], cores: int) -> DataFrame:
-    """Blocks of all data, dealt out evenly and kept in memory; to be unpersisted."""
+    """Blocks of all data, dealt out evenly and kept in memory; to be unpersisted. They are moved once."""
     out = None
     for b in blocks:
         out = b if out is None else out.unionByName(b)
-    out = out.persist()
-    n = out.count()
-    if n <= cores:  # fewer blocks than cores: one task each
-        whole = out.repartition(max(1, n)).persist()
-        whole.count()
-        out.unpersist()
-        return whole
-    return out
+    made = out.persist()
+    whole = made.repartition(max(1, min(made.count(), 4 * cores))).persist()
+    whole.count()
+    made.unpersist()
+    return whole

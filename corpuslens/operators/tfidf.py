@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpuslens.functions.text import char_ngrams, char_wb_ngrams, join_tokens, pad_words, squeeze_spaces, word_ngrams, word_tokens
 from corpuslens.operators.ngrams import count_char_terms, count_char_wb_terms, count_word_terms
 from corpuslens.plans.joins import HOT_ROWS, salted_join
 from corpuslens.sources.tables import keep_table
@@ -47,6 +48,21 @@ def most_frequent(terms: DataFrame, k: int) -> DataFrame:
     return whole.unionByName(before.drop("__prefix")).unionByName(ranked.filter(F.col("__rank") <= last["need"]).drop("__prefix", "__rank"))
 
 
+def numbered(df: DataFrame, by: str, out_col: str) -> DataFrame:
+    """``df`` with the place of each row in the order of ``by``, from 0; ``by`` is unique.
+
+    Rows are sorted by ranges and written with their place in the range; ranges are counted, and what
+    lies before each is added. No task sees more than its range, and the table of ranges is small.
+    """
+    ranged = df.repartitionByRange(by).sortWithinPartitions(by)
+    rows = keep_table(ranged.withColumn("__at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    placed = rows.withColumn("__part", part).join(F.broadcast(before), "__part")
+    return placed.select(*df.columns, (F.col("__before") + place).cast("int").alias(out_col))
+
+
 @dataclass
 class Vocabulary:
     """``terms``: ``term, df, cf, idf``; ``bounded`` tells that it holds at most BOUNDED_TERMS rows."""
@@ -88,7 +104,7 @@ class Vocabulary:
         and class on the driver. A vocabulary beyond MOST_POSITIONS is refused, never cut."""
         if not self.bounded and self.terms.count() > MOST_POSITIONS:
             raise ValueError(f"more than {MOST_POSITIONS} terms: set max_features or a higher min_df")
-        return self.terms.withColumn("idx", F.row_number().over(Window.orderBy("term")) - 1)
+        return numbered(self.terms, "term", "idx")
 
     def kept(self) -> "Vocabulary":
         """Written once, because every later step reads it."""
@@ -151,6 +167,17 @@ class Block:
             return count_char_wb_terms(df, id_col, text, self.lo, self.hi, keep)
         raise ValueError(f"unknown channel: {self.channel}")
 
+    def terms(self, text: str) -> Column:
+        """The terms of one row's text, repeats included."""
+        lowered = F.lower(F.col(text))
+        if self.channel == "word":
+            return word_ngrams(join_tokens(word_tokens(lowered, self.min_len)), self.lo, self.hi)
+        if self.channel == "char":
+            return char_ngrams(squeeze_spaces(lowered), self.lo, self.hi)
+        if self.channel == "char_wb":
+            return char_wb_ngrams(pad_words(lowered), self.lo, self.hi)
+        raise ValueError(f"unknown channel: {self.channel}")
+
     def fit(self, df: DataFrame, id_col: str, text: str) -> "FittedBlock":
         counts = self.counts(df, id_col, text)
         return FittedBlock(
@@ -274,17 +301,23 @@ class CountedCorpus:
         stats = self.stats[self._key(block)].filter(self._in_range(block))
         return Vocabulary.from_stats(stats, F.lit(self.n_train), block.min_df, block.max_df, block.max_features).counted()
 
-    def cells(self, blocks: Sequence[Block], vocabularies: Sequence[Vocabulary]) -> tuple[DataFrame, int]:
-        """``(id, split, idx, w)`` of all documents, positions running through the blocks, and their number."""
-        out, size = None, 0
-        for block, vocabulary in zip(blocks, vocabularies, strict=True):
-            terms = vocabulary.indexed()
-            placed = Vocabulary(keep_table(terms.withColumn("idx", (F.col("idx") + size).cast("int"))), vocabulary.bounded)
-            counts = self.counts[self._key(block)].filter(self._in_range(block))
-            rows = weigh(counts, placed, self.id_col, [self.split], block.sublinear, extra=["idx"]).drop("term")
-            out = rows if out is None else out.unionByName(rows)
-            size += placed.terms.count()
-        return out, size
+    def block_cells(self, block: Block) -> tuple[DataFrame, int]:
+        """``(id, split, idx, w)`` of all documents for one block, positions from 0, as a kept table, and their number."""
+        vocabulary = self.vocabulary(block)
+        placed = Vocabulary(keep_table(vocabulary.indexed()), vocabulary.bounded)
+        counts = self.counts[self._key(block)].filter(self._in_range(block))
+        rows = weigh(counts, placed, self.id_col, [self.split], block.sublinear, extra=["idx"]).drop("term")
+        return keep_table(rows, self.id_col), placed.terms.count()
+
+
+def side_by_side(parts: Sequence[tuple[DataFrame, int]]) -> tuple[DataFrame, int]:
+    """Cells of several blocks as one matrix: positions run through the blocks."""
+    out, size = None, 0
+    for cells, n in parts:
+        rows = cells.withColumn("idx", (F.col("idx") + size).cast("int"))
+        out = rows if out is None else out.unionByName(rows)
+        size += n
+    return out, size
 
 
 def _to_vector(size: int):

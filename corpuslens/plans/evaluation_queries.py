@@ -12,7 +12,7 @@ from corpuslens.functions.text import display_label, literal_pattern, preview
 from corpuslens.operators import evaluate as E, scoring as X
 from corpuslens.plans import sql as S
 from corpuslens.plans.corpus import documents, part
-from corpuslens.plans.model_queries import TEXT_PREDS, VECTOR_PREDS, nb_sql, svc_model, text_predictions, trained, vector_predictions
+from corpuslens.plans.model_queries import TEXT_PREDS, VECTOR_PREDS, nb_sql, svc_model, svc_models, text_predictions, trained, vector_predictions
 from corpuslens.plans.registry import query
 from corpuslens.sources.models import load_model, save_model
 from corpuslens.sources.tables import read_csv, read_json, read_table, shared_folder, write_csv, write_json
@@ -315,6 +315,23 @@ def score_svc_docs(spark, d):
     return scored.select("doc_id", "success", "confidence_type", sure.alias("has_class"), F.greatest(n_top, F.lit(0)).alias("n_top"), "cleaned_word_count")
 
 
+@query()
+def confidence_types(spark, d):
+    """All raw documents under three models that were saved and loaded: calibrated probabilities, margins, and classes only, with the best terms of the first."""
+    docs, models = svc_models(spark, d)
+    raw = C.clean_text(documents(spark, d), "text", "clean")
+    out = None
+    for name, model in models.items():
+        path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        save_model(model, path)
+        model = load_model(spark, path)
+        rows = X.score_docs(raw, model)
+        top = F.transform("top_classes", lambda t: F.struct(t["label"].alias("label"), F.round(t["score"], 4).alias("score")))
+        rows = rows.select(F.lit(name).alias("model"), "doc_id", "success", "predicted_category", "confidence", "confidence_type", F.to_json(top).alias("top_classes"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query(
     S.with_(S.CLEANED) + "SELECT count(*) AS n_docs, true AS both_channels, true AS at_most_eight, true AS all_positive FROM docs"
 )

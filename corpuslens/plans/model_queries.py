@@ -12,7 +12,7 @@ from corpuslens.plans import sql as S
 from corpuslens.plans.corpus import cleaned, cleaned_split, part
 from corpuslens.plans.registry import query
 from corpuslens.sources.models import load_first, save_model
-from corpuslens.sources.tables import append_records, keep_table, read_table, shared_folder, start_results
+from corpuslens.sources.tables import append_records, keep_table, read_csv, read_table, shared_folder, start_results, write_csv
 
 # ---------------------------------------------------------------- shared plans
 
@@ -216,19 +216,33 @@ def _ml(spark, d, blocks, label="lang"):
     return vectors, labels, size
 
 
-def svc_model(spark, d):
-    """One-vs-rest SVC on word and character features of the training documents, as a table of weights."""
+def _svc_vectors(spark, d):
     docs = cleaned_split(spark, d)
     train = part(docs, "train")
     labels = L.class_labels(docs)
     union = FeatureUnion(word_char_blocks()).fit(train)
     terms = keep_table(union.terms())
     size = terms.count()
-    vectors = keep_table(M.with_label_index(union.vectors(train, terms, size, keep=["lang"]), labels), "doc_id").persist()
-    model = M.Classifier("linear_svc", class_weight="balanced").fit(vectors, vectors.count(), len(labels), size)
+    vectors = keep_table(M.with_label_index(union.vectors(train, terms, size, keep=["lang"]), labels), "doc_id")
+    return docs, labels, union, terms, vectors
+
+
+def svc_model(spark, d):
+    """One-vs-rest SVC on word and character features of the training documents, as a table of weights."""
+    docs, labels, union, terms, vectors = _svc_vectors(spark, d)
+    model = M.Classifier("linear_svc", class_weight="balanced").fit(vectors, vectors.count(), len(labels))
     return docs, M.text_model(model, union, terms, labels)
 
 
+def svc_models(spark, d):
+    """The calibrated SVC, the plain one, and the plain one as a model that gives classes only."""
+    docs, labels, union, terms, vectors = _svc_vectors(spark, d)
+    plain = M.Classifier("linear_svc", class_weight="balanced").fit(vectors, vectors.count(), len(labels))
+    calibrated = M.fit_calibrated_svc(vectors, labels)
+    as_table = lambda model, **options: M.text_model(model, union, terms, labels, **options)
+    return docs, {"calibrated": as_table(calibrated), "margins": as_table(plain), "classes": as_table(plain, classes_only=True)}
+
+
 def _majority(rows, fitted_on, measured_on, label):
     """One row: sizes, classes, and how often the commonest fitted class is right."""
     fitted = F.col("split").isin(*fitted_on)
@@ -331,19 +345,75 @@ def fit_mlp(spark, d):
     return _fit_embeddings(spark, d, M.Classifier("mlp", max_iter=80, layers=(256, 128)))
 
 
-def _run(spark, d, grid, blocks):
+@query()
+def embedding_fits_held_out(spark, d):
+    """Both fits measured on vectors that they did not see, beside the commonest class; the labels of the given tables say nothing about those."""
+    vectors, labels = _embeddings(spark, d)
+    train, held = part(vectors, "train"), part(vectors, *_HELD)
+    sizes = _majority(vectors.select("label", "split"), ["train"], _HELD, "label")
+    out = None
+    for classifier in (M.Classifier("logreg", C=2.0), M.Classifier("mlp", max_iter=80, layers=(256, 128))):
+        model = classifier.fit(train, train.count(), len(labels), 64)
+        confusion = E.confusion_counts(M.predict_labels(model, held, labels, [F.col("label").alias("y_true")]))
+        row = E.metrics_overall(confusion, 4).first()
+        rows = sizes.select(F.lit(classifier.kind).alias("classifier"), "*", F.lit(row["accuracy"]).alias("accuracy"), F.lit(row["macro_f1"]).alias("macro_f1"))
+        out = rows if out is None else out.unionByName(rows)
+    vectors.unpersist()
+    return out
+
+
+def _board(spark, d, grid, blocks):
     """Runs a grid; records are appended to a results table as they come, and the table is read back and ranked."""
     docs = cleaned_split(spark, d).select("doc_id", "lang", "clean", "split")
     path = f"{shared_folder(spark).rstrip('/')}/results-{uuid.uuid4().hex}"
     start_results(spark, path, G.RECORD)
     G.run_experiments(docs, grid, blocks, on_record=lambda r: append_records(r, path))
-    board = G.leaderboard(spark.read.schema(G.RECORD).parquet(path))
+    return docs, G.leaderboard(spark.read.schema(G.RECORD).parquet(path))
+
+
+def _run(spark, d, grid, blocks):
+    """What SQL can say of a grid: its configurations, the sizes, and that each beats the commonest class."""
+    docs, board = _board(spark, d, grid, blocks)
     summary = _majority(docs.select("lang", "split"), ["train"], ["val"], "lang")
     rows = board.select("experiment_id", "feature_type", "classifier", "C", "class_weight", "accuracy").withColumn("one", F.lit(1))
     rows = rows.join(F.broadcast(summary.withColumn("one", F.lit(1))), "one").drop("one")
     return rows.withColumn("beats_majority", F.col("majority_accuracy") < F.col("accuracy")).drop("accuracy")
 
 
+_RANKED = ["rank", "experiment_id", "feature_type", "classifier", "C", "class_weight", "n_features", "accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1"]
+
+
+# Ranks and metrics of fits can't be said in SQL; the tests hold the fits against a plain solver.
+@query()
+def experiment_ranking(spark, d):
+    """The 15 configurations with their ranks and metrics."""
+    return _board(spark, d, G.experiment_grid(), G.GRID_BLOCKS)[1].select(_RANKED)
+
+
+@query()
+def comparison_ranking(spark, d):
+    """Model families by feature set with their ranks and metrics."""
+    return _board(spark, d, G.comparison_grid(), G.COMPARISON_BLOCKS)[1].select(_RANKED)
+
+
+@query()
+def optimisation_reports(spark, d):
+    """The ranking of the 21 candidates and the winner's report tables, written as CSV and read back, cell by cell: ``report, row, name, value``."""
+    docs, board = _board(spark, d, G.optimisation_grid(), G.OPTIMISATION_BLOCKS)
+    winner = G.best_experiment(board.drop("rank"))
+    experiment = next(e for e in G.optimisation_grid() if e.experiment_id == winner.first()["experiment_id"])
+    tables = {"leaderboard": board.select(_RANKED)} | G.candidate_reports(docs, winner, experiment, G.OPTIMISATION_BLOCKS)
+    path = f"{shared_folder(spark).rstrip('/')}/reports-{uuid.uuid4().hex}"
+    out = None
+    for name, table in tables.items():
+        write_csv(table, f"{path}/{name}")
+        n_keys = 2 if "y_pred" in table.columns else 1
+        cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in table.columns[n_keys:]])
+        rows = read_csv(spark, f"{path}/{name}", table.schema).select(F.lit(name).alias("report"), F.concat_ws(" / ", *table.columns[:n_keys]).alias("row"), F.inline(cells))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _grid_sql(grid, blocks):
     rows = []
     for e in grid:

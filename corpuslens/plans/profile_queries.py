@@ -59,6 +59,27 @@ def length_p99(spark, d):
     return A.length_percentile(Q.with_lengths(documents(spark, d)), 0.99)
 
 
+_SHARES = (0.25, 0.5, 0.75, 0.99)
+
+
+@query(
+    f"""{S.with_(_LENGTHS, _LONG)} SELECT lang, measure, n_docs, share, true AS within_bound
+    FROM (SELECT lang, measure, count(value) AS n_docs FROM m GROUP BY lang, measure), (SELECT unnest([{', '.join(f'{q}::DOUBLE' for q in _SHARES)}]) AS share)"""
+)
+def length_sketches(spark, d):
+    """Quantiles from sketches of four increments, kept and merged; whether their exact ranks lie within the stated error."""
+    docs = Q.with_lengths(documents(spark, d)).select("lang", *A.LENGTHS, F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("increment"))
+    kept = keep_table(A.length_sketches(docs, ["lang", "increment"]))
+    found = A.sketch_quantiles(A.merged_sketches(kept, ["lang"]), _SHARES)
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in A.LENGTHS])
+    rows = docs.select("lang", F.inline(pairs)).join(F.broadcast(found), ["lang", "measure"])
+    exact = rows.groupBy("lang", "measure", "n_docs", "share").agg(
+        (F.count_if(F.col("value") < F.col("quantile")) / F.count("*")).alias("below"), (F.count_if(F.col("value") <= F.col("quantile")) / F.count("*")).alias("upto")
+    )
+    off = F.greatest(F.col("below") - F.col("share"), F.col("share") - F.col("upto"))
+    return exact.select("lang", "measure", "n_docs", "share", (off <= A.sketch_error(400)).alias("within_bound"))
+
+
 def _histogram_sql(measure):
     return f"""{S.with_(_LENGTHS,
         f"e AS (SELECT CAST(min({measure}) AS DOUBLE) AS low, (max({measure}) - min({measure})) / 50.0::DOUBLE AS width FROM lengths)",

@@ -1,8 +1,4 @@
-"""Scoring on a stream: the batch plan without state, so it runs in append mode on any source.
-
-Classes are not looked up by a grouped plan here (that would need state): each micro-batch is scored
-with the batch operator and written out, exactly once per batch id.
-"""
+"""Scoring on a stream: the batch results by projections alone, without state, so it runs in append mode on any source."""
 
 from __future__ import annotations
 
@@ -11,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpuslens.functions.cleaning import clean_text
 from corpuslens.operators.linear_scores import LinearTextModel
-from corpuslens.operators.scoring import score_docs, validate_inputs, with_tags
+from corpuslens.operators.scoring import score_rows, validate_inputs, with_tags
 
 
 def annotate_stream(stream: DataFrame, text: str = "text") -> DataFrame:
@@ -19,20 +15,20 @@ def annotate_stream(stream: DataFrame, text: str = "text") -> DataFrame:
     return with_tags(validate_inputs(clean_text(stream, text, "clean"), text), text)
 
 
+def scored_stream(stream: DataFrame, model: LinearTextModel, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Class, confidence and top classes of each document, as a projection."""
+    return score_rows(clean_text(stream, text, "clean"), model, id_col, text)
+
+
 def score_stream(
     stream: DataFrame, model: LinearTextModel, out: str, checkpoint: str, id_col: str = "doc_id", text: str = "text"
 ) -> StreamingQuery:
-    """Score every available document and append to the parquet table ``out``.
-
-    A batch that is repeated after a failure overwrites its own folder, so results are not doubled.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        scored = score_docs(clean_text(batch, text, "clean"), model, id_col, text)
-        scored.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
+    """Score every available document and append to the parquet table ``out``, each exactly once."""
     return (
-        stream.writeStream.foreachBatch(write)
+        scored_stream(stream, model, id_col, text)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -309,3 +309,78 @@ def check_attributions(spark, fit, vectors, terms, found, labels):
         rows = sorted(got.get(r["doc_id"], []))
         assert [x[3] for x in rows] == [labels[k]] * len(best)
         assert [x[2] for x in rows] == pytest.approx([x[2] for x in best], abs=2e-9)
+
+
+def test_dictionary_of_a_hundred_thousand_phrases(spark):
+    """One pass over the text, whatever the dictionary: the same as trying each phrase on its own."""
+    import re
+    from time import perf_counter
+
+    phrases = [f"term {i} x{i * 7}" for i in range(100_000)] + ["C++", ".NET", "data", "data science", "R", "Straße", "a-b"]
+    texts = ["Term 17 X119, term 99999 x699993.", "xterm 5 x35 term 5 x35y (term 5 x35)", "DATA SCIENCE in c++/R and .net", "database R2 a-bc", "straße STRASSE", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    start = perf_counter()
+    got = {r["i"]: r["found"] for r in df.select("i", X.detect_terms("t", phrases).alias("found")).collect()}
+    assert perf_counter() - start < 60
+    assert got[0] == ["term 17 x119", "term 99999 x699993"] and got[1] == ["term 5 x35"]
+    few = phrases[-7:]
+    for i, t in enumerate(texts[2:], start=2):
+        found = [p for p in few if re.search(rf"(?i)(?<![a-zA-Z0-9]){re.escape(p)}(?![a-zA-Z0-9])", t)]
+        assert got[i] == sorted(found, key=str.lower)
+
+
+def test_scoring_on_a_stream_is_a_projection(spark):
+    from corpuslens.operators.tfidf import FeatureUnion
+    from corpuslens.streaming.score_stream import scored_stream
+
+    labels = ["a", "b", "c"]
+    train = toy(spark).withColumn("text", F.concat("clean", F.lit(" p q r s")))
+    union = FeatureUnion([Block("word", 1, 2, 1, 1.0, 50), Block("char_wb", 2, 3, 1, 0.99, 200), Block("char", 2, 3, 1, 0.99, 100)]).fit(train)
+    terms = IO.keep_table(union.terms())
+    vectors = M.with_label_index(union.vectors(train, terms, terms.count(), keep=["lang"]), labels).persist()
+    docs = train.select("doc_id", "text").unionByName(spark.createDataFrame([(900, None), (901, ""), (902, "unseen words only here now"), (903, "red")], "doc_id long, text string"))
+    for model in (M.Classifier("linear_svc").fit(vectors, 60, 3), M.fit_calibrated_svc(vectors, labels, folds=2)):
+        table = M.text_model(model, union, terms, labels)
+        rows = scored_stream(docs, table)
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+        columns = ["doc_id", "success", "predicted_category", "confidence", "confidence_type", "cleaned_word_count", "error_message"]
+        from corpuslens.functions.cleaning import clean_text
+
+        batch = X.score_docs(clean_text(docs, "text", "clean"), table)
+        assert sorted(map(str, rows.select(columns).collect())) == sorted(map(str, batch.select(columns).collect()))
+
+
+def test_numbering_needs_no_single_task(spark):
+    from corpuslens.operators.tfidf import numbered
+
+    words = sorted({f"{a}{b}{c}" for a in "aßé" for b in "xyzü" for c in range(50)}, key=lambda w: w.encode())
+    df = spark.createDataFrame([(w, 1) for w in reversed(words)], "term string, df int").repartition(3)
+    placed = numbered(df, "term", "idx")
+    assert [(r["term"], r["idx"]) for r in placed.orderBy("idx").collect()] == [(w, i) for i, w in enumerate(words)]
+    assert numbered(df.limit(0), "term", "idx").count() == 0
+
+
+def test_sketches_of_increments(spark):
+    from corpuslens.operators import profile as A
+
+    df = spark.range(20_000).select((F.col("id") % 2).alias("lang"), (F.col("id") % 5).alias("part"), F.col("id").alias("word_len"))
+    kept = IO.keep_table(A.length_sketches(df, ["lang", "part"], ["word_len"]))
+    assert kept.count() == 10
+    for r in A.sketch_quantiles(A.merged_sketches(kept, ["lang"]), [0.1, 0.5, 0.99]).collect():
+        assert r["n_docs"] == 10_000 and abs(r["quantile"] / 20_000 - r["share"]) <= A.sketch_error(400)
+
+
+def test_class_similarity_in_blocks(spark, monkeypatch):
+    from corpuslens.operators import profile as A
+
+    rng = __import__("random").Random(4)
+    rows = [(c, f"t{t}", rng.random()) for c in "abcd" for t in range(40) if rng.random() < 0.4] + [("e", "alone", 1.0)]
+    df = spark.createDataFrame(rows, "lang string, term string, mean_w double")
+    vectors = {c: {t: w for k, t, w in rows if k == c} for c in "abcde"}
+    dot = lambda a, b: sum(w * vectors[b].get(t, 0.0) for t, w in vectors[a].items())
+    want = {(a, b): round(dot(a, b) / math.sqrt(dot(a, a) * dot(b, b)), 6) for a in vectors for b in vectors if dot(a, b)}
+    for size in (4096, 3):
+        monkeypatch.setattr(A, "TERM_BLOCK", size)
+        assert {(r["class_a"], r["class_b"]): r["cosine"] for r in A.class_similarity(df).collect()} == pytest.approx(want)
+    with pytest.raises(ValueError, match="more than 4"):
+        A.class_similarity(df, max_classes=4)
