@@ -29,6 +29,37 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Rows of a text table that a task turns into Python values at a time.
+ROWS = 256
+
+
+def sliced(batches, rows: int = ROWS):
+    """Arrow batches in slices of a few rows, so that the texts of a whole batch are never Python values at once."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+class Remembered(dict):
+    """Values by key, made where they are missing; all are forgotten when the keys take about ``memory`` bytes."""
+
+    def __init__(self, make, memory: int = 16 << 20):
+        super().__init__()
+        self.make, self.memory, self.size = make, memory, 0
+
+    def __missing__(self, key):
+        value, cost = self.make(key), len(key) + 120
+        if cost * 100 < self.memory:
+            self.size += cost
+            if self.size > self.memory:
+                self.clear()
+                self.size = cost
+            self[key] = value
+        return value
+
+
 class Scratch:
     """Tables of one run in the shared folder; each can be dropped as soon as nothing reads it."""
 

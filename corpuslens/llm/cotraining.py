@@ -15,10 +15,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from corpuslens.llm.common import Scratch, read
+from corpuslens.llm.common import ROWS, Remembered, Scratch, read, sliced
 from corpuslens.llm.registry import query
 
 #: Labelled documents that the classifiers are fitted and calibrated on, at most.
@@ -152,14 +152,7 @@ class Model:
         """A function of lists of texts, sources, languages and lengths to an array (rows, 3) of probabilities."""
         words, shapes, dense = self.text[:WORD_BUCKETS], self.text[WORD_BUCKETS:-N_DENSE], self.text[-N_DENSE:]
 
-        class Weights(dict):
-            def __missing__(self, word):
-                if len(self) > 100_000:
-                    self.clear()
-                x = self[word] = float(words[_word(word)] + shapes[_shape(word)])
-                return x
-
-        weights, rest = Weights(), {}
+        weights, rest = Remembered(lambda word: float(words[_word(word)] + shapes[_shape(word)])), {}
 
         def text_logit(text):
             data = (text or "").encode()
@@ -191,13 +184,14 @@ SCORES = T.StructType([T.StructField(c, T.DoubleType()) for c in ("p_text", "p_m
 def scored(docs: DataFrame, model: Model, name: str = "scores") -> DataFrame:
     """The documents with a struct of both views' probabilities and the combined one."""
 
-    @F.pandas_udf(SCORES)
-    def probabilities(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(SCORES)
+    def probabilities(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         score = model.scorer()
-        for text, source, lang, n_chars in batches:
-            plain = [c.astype(object).where(c.notna(), None) for c in (source, lang)]
-            sizes = [None if x is None or x != x else int(x) for x in n_chars.tolist()]
-            yield pd.DataFrame(score(text.tolist(), *[c.tolist() for c in plain], sizes), columns=SCORES.names)
+        for columns in batches:
+            parts = [np.zeros((0, 3)), *(score(*(c.slice(i, ROWS).to_pylist() for c in columns)) for i in range(0, len(columns[0]), ROWS))]
+            found = np.concatenate(parts)
+            yield pa.StructArray.from_arrays([pa.array(found[:, k]) for k in range(3)], names=SCORES.names)
+            pa.default_memory_pool().release_unused()
 
     return docs.withColumn(name, probabilities("text", F.col("source").cast("string"), F.col("lang").cast("string"), F.col("n_chars").cast("long")))
 
@@ -222,15 +216,15 @@ def _features(docs: DataFrame, ids: DataFrame) -> Examples:
     """Features of the documents named by a bounded table ``ids (doc_id, y)``, in the order of ids, each id once."""
 
     def describe(batches):
-        for pdf in batches:
-            n = [None if x is None or x != x else int(x) for x in pdf["n_chars"].tolist()]
-            meta = [[None if x is None or x != x else x for x in pdf[c].tolist()] for c in ("source", "lang")]
-            text = [text_features(x if isinstance(x, str) else None).tobytes() for x in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "t": text, "m": [meta_features(*x).tobytes() for x in zip(*meta, n, strict=True)]})
+        for part in sliced(batches):
+            c = dict(zip(part.schema.names, part.columns, strict=True))
+            text = [text_features(x).tobytes() for x in c["text"].to_pylist()]
+            meta = [meta_features(*x).tobytes() for x in zip(*(c[k].to_pylist() for k in ("source", "lang", "n_chars")), strict=True)]
+            yield pa.RecordBatch.from_arrays([c["doc_id"], c["y"], pa.array(text, pa.binary()), pa.array(meta, pa.binary())], names=["doc_id", "y", "t", "m"])
 
     kinds = {"doc_id": "long", "source": "string", "lang": "string", "n_chars": "long"}
     rows = docs.select("text", *[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()]).join(F.broadcast(ids.select("doc_id", "y")), "doc_id")
-    table = rows.mapInPandas(describe, "doc_id long, y int, t binary, m binary").toArrow()
+    table = rows.mapInArrow(describe, "doc_id long, y int, t binary, m binary").toArrow()
     id_, y = (table[c].to_numpy() for c in ("doc_id", "y"))
     both = [np.concatenate([np.zeros(0, dtype=np.float32), *(np.frombuffer(x.as_buffer(), dtype=np.float32) for x in table[c])]) for c in ("t", "m")]
     found = Examples(id_, y.astype(np.float64), *[x.reshape(len(y), -1) if len(y) else x.reshape(0, 1) for x in both])

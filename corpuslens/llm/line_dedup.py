@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from corpuslens.llm.common import Scratch, read
+from corpuslens.llm.common import ROWS, Remembered, Scratch, read, sliced
 from corpuslens.llm.registry import query
 
 BLANK = b" \t\n\x0b\x0c\r"
@@ -45,20 +46,15 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """``h, doc, t, pos`` of every line whose key has at least ``min_chars`` code points; ``h`` is 128 bits."""
 
     def lines(batches):
-        known: dict[bytes, bytes] = {}
+        known = Remembered(lambda key: hashlib.blake2b(key, digest_size=16).digest())
         rows: list[tuple] = []
-        for batch in batches:
+        for batch in sliced(batches):
             for doc, t, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 for pos, line in enumerate((text or "").encode().split(b"\n")):
                     key = line.strip(BLANK).lower()
                     if len(key) < min_chars or (min_chars > 1 and len(key.decode()) < min_chars):
                         continue
-                    h = known.get(key)
-                    if h is None:
-                        if len(known) > 20_000:
-                            known.clear()
-                        h = known[key] = hashlib.blake2b(key, digest_size=16).digest()
-                    rows.append((h, doc, t, pos))
+                    rows.append((known[key], doc, t, pos))
                 if len(rows) > 20_000:
                     yield _batch(rows, 4)
                     rows = []
@@ -138,8 +134,8 @@ def _packed(gone: pd.Series) -> pd.Series:
     return gone.map(pack)
 
 
-@F.pandas_udf(T.StringType())
-def _kept(text: pd.Series, keep: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def _kept(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     def cut(text, bits):
         if bits is None:
             return None
@@ -147,7 +143,9 @@ def _kept(text: pd.Series, keep: pd.Series) -> pd.Series:
         stays = np.unpackbits(np.frombuffer(zlib.decompress(bits), dtype=np.uint8))[: len(lines)]
         return "\n".join([x for x, y in zip(lines, stays, strict=False) if y] + lines[len(stays) :])
 
-    return pd.Series([cut(x, y) for x, y in zip(text, keep, strict=True)], dtype=object)
+    for text, keep in columns:
+        parts = [[cut(x.as_py(), y.as_py()) for x, y in zip(text[i : i + ROWS], keep[i : i + ROWS], strict=True)] for i in range(0, len(text), ROWS)]
+        yield pa.concat_arrays([pa.array(p, pa.string()) for p in parts]) if parts else pa.array([], pa.string())
 
 
 def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
@@ -155,8 +153,10 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
 
     A line's key is the line without blanks at its ends, A-Z in lower case. Keys of ``min_chars`` code
     points or more that ``min_docs`` documents or more hold lose all their lines. Null and empty texts
-    are one empty line; if every line goes, the text is empty.
+    are one empty line; if every line goes, the text is empty. Columns named like the results are
+    replaced.
     """
+    columns = [c for c in docs.columns if c not in ("kept", "n_lines", "n_dropped")]
     bitmaps = keep_bitmaps(docs, min_docs, min_chars).select(F.col("doc").alias("__doc"), F.col("t").alias("__t"), F.col("keep").alias("__keep"))
     marked = docs.withColumn("__mark", text_mark(docs["text"]))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__mark") == F.col("__t"))
@@ -167,7 +167,7 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
     n = n_lines(whole).cast("long")
     gone = F.when(F.col("__keep").isNull(), F.lit(0)).otherwise(F.col("__gone"))
     cut = cut.withColumn("__gone", _n_gone(F.col("__keep")))
-    return cut.select(*[cut[c] for c in docs.columns], F.coalesce("__cut", whole).alias("kept"), n.alias("n_lines"), gone.cast("long").alias("n_dropped"))
+    return cut.select(*[cut[c] for c in columns], F.coalesce("__cut", whole).alias("kept"), n.alias("n_lines"), gone.cast("long").alias("n_dropped"))
 
 
 @F.pandas_udf(T.LongType())

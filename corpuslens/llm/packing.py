@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuslens.llm.common import read
+from corpuslens.llm.common import read, sliced
 from corpuslens.llm.registry import query
 
 WINDOW = 2048
@@ -194,7 +194,7 @@ def pack(docs: DataFrame, window: int = WINDOW, shard: int = SHARD, with_ids: bo
                     left += pieces
             held, size = left, sum(len(p.ids) for p in left)
 
-        for batch in batches:
+        for batch in sliced(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = token_ids(text, tokenizer)
                 held.append(Piece(doc, ids, 0, len(ids)))

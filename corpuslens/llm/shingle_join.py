@@ -22,14 +22,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corpuslens.llm.common import BROADCAST_IDS, Scratch, components, read, with_small
+from corpuslens.llm.common import BROADCAST_IDS, Remembered, Scratch, components, read, sliced, with_small
 from corpuslens.llm.registry import query
 
 WORDS = 3
 #: Jaccard similarity of linked documents, as a fraction.
 SIMILARITY = (90, 100)
-#: Rows of a block, and columns that are multiplied at a time.
-BLOCK, COLUMNS = 512, 4096
+#: Rows of a block and n-grams in all of them, about; and columns that are multiplied at a time.
+BLOCK, GRAMS, COLUMNS = 512, 1 << 18, 4096
 #: Blocks of a large cell hold rows whose sizes differ by this factor at most.
 SIZE_STEP = 1.05
 #: One part to spare for so many that linked sets can differ in.
@@ -39,14 +39,9 @@ FAMILIES = 8
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
-class _Hashes(dict):
-    """Word to hash; what was not met yet is hashed."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+def _hashes() -> Remembered:
+    """Word to hash."""
+    return Remembered(xxhash.xxh3_64_intdigest)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -55,7 +50,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingles(text: str | None, known: _Hashes, words: int = WORDS) -> np.ndarray:
+def shingles(text: str | None, known: Remembered, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the word n-grams; with fewer words, of all words as one; none without words."""
     w = (text or "").encode().lower().split()
     if not w:
@@ -107,12 +102,10 @@ def signatures(h: np.ndarray, bounds: np.ndarray, similarity: tuple[int, int]) -
 
 
 def _sets(batches, words):
-    known = _Hashes()
-    for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
-            for row in zip(*(part.column(j).to_pylist() for j in range(part.num_columns)), strict=True):
-                yield (*row[:-1], shingles(row[-1], known, words))
+    known = _hashes()
+    for part in sliced(batches):
+        for row in zip(*(part.column(j).to_pylist() for j in range(part.num_columns)), strict=True):
+            yield (*row[:-1], shingles(row[-1], known, words))
 
 
 def _described(words: int, similarity: tuple[int, int]):
@@ -264,18 +257,18 @@ def _cells(shared: DataFrame, scratch: Scratch) -> DataFrame:
 def _linked(cells: DataFrame, sets: DataFrame, similarity: tuple[int, int], scratch: Scratch) -> DataFrame:
     """Stars ``(a, b)`` of the links inside the cells; ``sets`` is ``(key, h)``.
 
-    A cell of up to BLOCK rows is one block. In a larger one, rows are dealt to blocks by size and hash,
-    and every two blocks meet whose sizes allow a link.
+    A cell of up to BLOCK rows and GRAMS n-grams is one block. In a larger one, rows are dealt to blocks
+    by size and hash, and every two blocks meet whose sizes allow a link. A task holds one such pair.
     """
     num, den = similarity
     cells = scratch.keep(cells)
     step = math.log(SIZE_STEP)
     reach = int(math.log(den / num) / step) + 1
     cell = ["kind", "cell"]
-    total = cells.groupBy(*cell).agg(F.count("*").alias("rows"))
-    grade = F.when(F.col("rows") <= BLOCK, F.lit(0)).otherwise(F.floor(F.log("n") / F.lit(step))).cast("int")
+    total = cells.groupBy(*cell).agg(F.count("*").alias("rows"), F.sum("n").alias("grams"))
+    grade = F.when((F.col("rows") <= BLOCK) & (F.col("grams") <= GRAMS), F.lit(0)).otherwise(F.floor(F.log("n") / F.lit(step))).cast("int")
     graded = cells.join(total, cell).withColumn("grade", grade)
-    grades = graded.groupBy(*cell, "grade").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    grades = graded.groupBy(*cell, "grade").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / GRAMS)).cast("int").alias("blocks"))
     # at most as many grades as sizes have steps
     plan = grades.groupBy(*cell).agg(F.sort_array(F.collect_list(F.struct("grade", "blocks"))).alias("plan"))
     rows = graded.join(scratch.keep(plan), cell)
@@ -336,8 +329,8 @@ def group_documents(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, w
     again = again.select("key", "text")
 
     def rows_of(batches):
-        known = _Hashes()
-        for batch in (part.slice(i, 256) for part in batches for i in range(0, part.num_rows, 256)):
+        known = _hashes()
+        for batch in sliced(batches):
             both = [(k, shingles(t, known, words).tobytes()) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in both], pa.int64()), pa.array([x[1] for x in both], pa.binary())], names=["key", "h"])
 

@@ -28,8 +28,8 @@ def brute(rows, min_docs, min_chars):
 
 def run(spark, rows, min_docs, min_chars):
     df = spark.createDataFrame([(d, t, 7, "x") for d, t in rows], SCHEMA)
-    # the result has a column of its own that is called like one of the documents
-    return sorted(((r[0], r[4], r[5], r[6]) for r in drop_shared_lines(df, min_docs, min_chars).collect()), key=str)
+    # a column called like one of the results is replaced
+    return sorted(((r["doc_id"], r["kept"], r["n_lines"], r["n_dropped"]) for r in drop_shared_lines(df, min_docs, min_chars).collect()), key=str)
 
 
 def corpus(seed, n=150):

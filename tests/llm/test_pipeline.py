@@ -2,7 +2,10 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from corpuslens.llm.common import Scratch
 from tests.llm.test_line_dedup import brute as brute_lines
 from tests.llm.test_packing import check as check_packed
 from tests.llm.test_shingle_join import grams
@@ -95,3 +98,19 @@ def check_documents(rows, texts):
 def test_run(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "sequence_id", "ids"} <= set(out.columns) and out.count() > 0
+
+
+def test_extra_columns_of_the_names_of_results_come_through(spark):
+    folder, names = "/root/testdata/sf0.001", ["kept", "n_lines", "n_dropped", "p_text", "p_meta", "score", "size", "group", "mark", "component_id", "n_shingles", "taken", "target"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("*", *[F.col("doc_id").alias(c) for c in names])
+    plain = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs, plain = (scratch_copy(spark, stage(spark, d, folder)) for d in (docs, plain))
+        assert docs.columns == COLUMNS + names
+        rows = docs.collect()
+        assert all(r[c] == r["doc_id"] for r in rows for c in names)
+        assert sorted(r[:5] for r in rows) == sorted(map(tuple, plain.collect()))
+
+
+def scratch_copy(spark, df):
+    return Scratch(spark, "copy").keep(df)

@@ -6,7 +6,7 @@ import re
 import pytest
 
 from corpuslens.llm import shingle_join
-from corpuslens.llm.shingle_join import _Hashes, group_documents, levels, shingles, signatures
+from corpuslens.llm.shingle_join import _hashes, group_documents, levels, shingles, signatures
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -148,7 +148,7 @@ def test_chain_of_near_copies(spark):
 
 
 def test_linked_sets_share_a_signature():
-    bounds, known = levels((90, 100)), _Hashes()
+    bounds, known = levels((90, 100)), _hashes()
     rng = random.Random(9)
     for _ in range(300):
         n = rng.choice([5, 12, 40, 300, 1000])
