@@ -16,15 +16,23 @@ from corpuslens.llm.packing import pack
 from corpuslens.llm.shingle_join import one_of_each_group
 
 
+def _set_aside(docs: DataFrame, *results: str) -> tuple[DataFrame, list]:
+    """The documents with columns called like the operator's results renamed, and all columns under their own names again."""
+    held = {c: f"__own_{c}" for c in docs.columns if c in results}
+    return docs.withColumnsRenamed(held), [F.col(held.get(c, c)).alias(c) for c in docs.columns]
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifiers reject go."""
-    return judge_documents(docs, read(spark, sf_dir, "labels")).filter("kept").select(*docs.columns)
+    docs, columns = _set_aside(docs, "p_text", "p_meta", "score", "kept")
+    return judge_documents(docs, read(spark, sf_dir, "labels")).filter("kept").select(*columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten documents or more share go; a document that loses all its lines stays, with an empty text."""
-    cut = drop_shared_lines(docs).withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")})
-    return cut.select(*docs.columns)
+    docs, columns = _set_aside(docs, "kept", "n_lines", "n_dropped")
+    cut = drop_shared_lines(docs)
+    return cut.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(*columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
