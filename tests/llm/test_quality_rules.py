@@ -5,9 +5,12 @@ import re
 import struct
 from collections import Counter
 
+import pytest
+import regex
 import xxhash
+from pyspark.sql import functions as F
 
-from corpuslens.llm.quality_rules import BUCKETS, SMOOTHING, THRESHOLD, judge_quality
+from corpuslens.llm.quality_rules import BUCKETS, DEVIATIONS, HELD_OUT, LEAST_GAP, SMOOTHING, held_out, judge_quality, op7_likelihood_ratio
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -23,16 +26,26 @@ def grams(words, buckets):
     return [signed(x) % buckets for x in h + pairs]
 
 
-def brute(rows, trusted, buckets=BUCKETS, threshold=THRESHOLD):
+def forms(text):
+    for kind, sign in ((r"[\p{Ll}\p{Lo}\p{Lm}\p{M}]+", "a"), (r"[\p{Lu}\p{Lt}]+", "A"), (r"\p{N}+", "0"), (r"([^aA0 \t-\r])\1+", r"\1")):
+        text = regex.sub(kind, sign, text)
+    return WORD.findall(text)
+
+
+def is_held_out(doc):
+    return signed(xxhash.xxh64_intdigest(struct.pack("<q", doc), seed=42)) % HELD_OUT == 0
+
+
+def brute(rows, trusted, buckets=BUCKETS, threshold=None):
     words = [WORD.findall(t or "") for _, t in rows]
-    g = [grams(w, buckets) for w in words]
+    g = [grams(forms(t or ""), buckets) for _, t in rows]
     raw, target = Counter(), Counter()
     for (doc, _), x in zip(rows, g):
         raw.update(x)
-        if doc in trusted:
+        if doc in trusted and not is_held_out(doc):
             target.update(x)
-    n_raw, n_target = sum(raw.values()), sum(target.values())
-    weight = lambda b: math.log((target[b] + SMOOTHING) / (n_target + SMOOTHING * buckets)) - math.log((raw[b] + SMOOTHING) / (n_raw + SMOOTHING * buckets))
+    part = sum(target.values()) / max(1, sum(raw.values()))
+    weight = lambda b: math.log((target[b] + SMOOTHING) / (raw[b] * part + SMOOTHING))
     out = []
     for (doc, text), w, x in zip(rows, words, g):
         text = text or ""
@@ -41,10 +54,13 @@ def brute(rows, trusted, buckets=BUCKETS, threshold=THRESHOLD):
         lines = [line for line in text.split("\n") if WORD.search(line)]
         failed = len(w) < 20 or 100 * len(hit) > 30 * len(w)
         score = sum(map(weight, x)) / len(x) if x else None
-        out.append(
-            (doc, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(hit), failed, not failed and score >= threshold)
-        )
-    return out
+        out.append([doc, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(hit), failed, score])
+    if threshold is None:
+        held = [r[-1] for r in out if r[0] in trusted and is_held_out(r[0]) and not r[6]]
+        mean = sum(held) / len(held) if held else 0.0
+        spread = math.sqrt(sum((x - mean) ** 2 for x in held) / len(held)) if held else 0.0
+        threshold = mean - max(DEVIATIONS * spread, LEAST_GAP)
+    return [(*r[:7], not r[6] and r[7] >= threshold) for r in out]
 
 
 def key(row):
@@ -87,3 +103,16 @@ def test_trusted_text_outranks_junk(spark):
     ids = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id long")
     kept = {r.doc_id for r in judge_quality(docs, ids, buckets=4096).filter("kept").collect()}
     assert kept == {i for i, _ in clean}
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_verdicts_hold_at_every_size(spark, sf):
+    """Good documents that the counts did not see stay, bad ones go, among those that pass the base rules."""
+    folder = f"/root/testdata/sf{sf}"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = op7_likelihood_ratio(spark, folder).filter("not base_failed").join(labels, "doc_id")
+    unseen = judged.filter("quality = 1").filter(held_out(F.col("doc_id")))
+    n, kept = unseen.agg(F.count("*"), F.count_if("kept")).first()
+    assert n >= 5 and kept >= 0.9 * n
+    n, kept = judged.filter("quality = 0").agg(F.count("*"), F.count_if("kept")).first()
+    assert n >= 5 and kept <= 0.1 * n
