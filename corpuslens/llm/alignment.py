@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuslens.llm.common import Scratch, read
+from corpuslens.llm.common import Scratch, read, sliced
 from corpuslens.llm.packing import encoder
 from corpuslens.llm.registry import query
 
@@ -52,6 +52,13 @@ class Vocabularies:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         # a byte piece is written <0xHH>
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_bytes = [b""] * self.a.n_vocab
+        for token in self.a.token_byte_values():
+            self.a_bytes[self.a.encode_single_token(token)] = token
+        self.a_size, self.b_size = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes))
+        # decimal ids with what comes behind them: A inside and at the end of a group, B likewise
+        written = [b"%d" % i + end for side, ends in ((self.a_bytes, b",|"), (self.b_bytes, b",;")) for end in (ends[:1], ends[1:]) for i in range(len(side))]
+        self.written = np.array(written, dtype=object)
         if max(self.a.n_vocab, len(pieces)) > 1 << A_BITS:
             raise ValueError("vocabularies of more than 2^20 tokens don't fit the codes")
         if not 1 <= radix <= 1 << (63 - A_BITS - B_BITS - DOC_BITS):
@@ -73,14 +80,13 @@ class Vocabularies:
             ids = self.b.encode("\n" + text)[2:]  # without the blank and a newline, which is a token of its own
         return ids if b"".join([self.b_bytes[i] for i in ids]) == text.encode() else None
 
-    def a_bytes(self, ids: Iterable[int]) -> list[bytes]:
-        return self.a.decode_tokens_bytes(ids)
-
 
 #: Parts of a text that tokens of neither vocabulary reach over, if blanks and newlines are its only white
 #: space: the byte-level one splits before white space and between letters and other signs.
 SEGMENT = re.compile(r"[ \n]+[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!? \n]|\Z)|[ \n]+[^ \n]*|[.,;:!?][^ \n]*")
 OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Segments that keep their tokens when any such are put one behind the other.
+SIMPLE = re.compile(r"[ \n][^ \n▁]+")
 
 
 @functools.lru_cache(maxsize=2)
@@ -106,8 +112,9 @@ class Aligned(dict):
 
     def __missing__(self, segment: str):
         found = self.before.get(segment, self)
-        if found is self:
-            found = self.align(segment)
+        return self._remember(segment, self.align(segment) if found is self else found)
+
+    def _remember(self, segment: str, found):
         cost = 300 + 2 * len(segment) + (len(found[1]) + len(found[2]) if found else 0)
         if cost * 1000 < self.memory:
             self.size += cost
@@ -120,50 +127,60 @@ class Aligned(dict):
 
     def align(self, text: str):
         b = self.v.b_ids(text)
-        if b is None:
-            return None
-        a = self.v.a.encode(text, disallowed_special=())
-        a_bytes = self.v.a_bytes(a)
-        if len(a) + len(b) > 400:
-            return self._align_long(np.array(a), np.array(b), [len(x) for x in a_bytes], [len(self.v.b_bytes[i]) for i in b])
-        b_len, radix = self.v.b_bytes, self.v.radix
-        i = j = groups = first_a = first_b = 0
-        a_end, b_end = len(a_bytes[0]), len(b_len[b[0]])
-        links, written = [], []
-        while True:
-            links.append(((b[j] % radix << B_BITS) | b[j] // radix) << A_BITS | a[i])
-            at_a, at_b = a_end <= b_end, b_end <= a_end
-            if at_a and at_b:
-                groups += 1
-                written.append(",".join(map(str, a[first_a : i + 1])) + "|" + ",".join(map(str, b[first_b : j + 1])))
-                first_a, first_b = i + 1, j + 1
-                if first_a == len(a):
-                    break
-            if at_a:
-                i += 1
-                a_end += len(a_bytes[i])
-            if at_b:
-                j += 1
-                b_end += len(b_len[b[j]])
-        sizes = len(a) + len(b) * SHIFT + groups * SHIFT * SHIFT
-        return sizes, ";".join(written).encode(), np.array(links, dtype=np.int64).tobytes()
-
-    def _align_long(self, a: np.ndarray, b: np.ndarray, a_sizes: list[int], b_sizes: list[int]):
-        """The same by arrays: a link for every byte offset where a token of either side ends."""
-        ends_a, ends_b = np.cumsum(a_sizes), np.cumsum(b_sizes)
-        ends = np.union1d(ends_a, ends_b)
-        is_a, is_b = np.zeros(len(ends), dtype=bool), np.zeros(len(ends), dtype=bool)
-        is_a[np.searchsorted(ends, ends_a)] = True
-        is_b[np.searchsorted(ends, ends_b)] = True
+        return None if b is None else self._aligned(self._a_ids(text), np.array(b), np.array([len(text.encode())]))[0]
+
+    def _a_ids(self, text: str) -> np.ndarray:
+        return self.v.a.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+
+    def learn(self, texts: Iterable[str | None], at_once: int = 4096) -> None:
+        """Aligns segments of the texts that are not known yet, many at a time."""
+        new: dict[str, None] = {}
+        for text in texts:
+            if text and not OTHER_SPACE.search(text):
+                new.update((x, None) for x in SEGMENT.findall(" " + text) if x not in self and x not in self.before)
+        simple = [x for x in new if len(x) < 200 and SIMPLE.fullmatch(x)] if self.v.cuts else []
+        for k in range(0, len(simple), at_once):
+            part = simple[k : k + at_once]
+            text = "".join(part)
+            b = self.v.b_ids(text)
+            if b is None:
+                continue  # one of them is not spelt: each is looked at when it is met
+            ends = np.cumsum([len(x.encode()) for x in part])
+            for x, found in zip(part, self._aligned(self._a_ids(text), np.array(b), ends), strict=True):
+                self._remember(x, found)
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> list[tuple[int, bytes, bytes]]:
+        """The segments that end at the byte offsets ``cuts``, where tokens of both sides end.
+
+        A link belongs to every offset where a token of either side ends.
+        """
+        v = self.v
+        mark = np.zeros(int(cuts[-1]) + 1, dtype=np.uint8)
+        mark[np.cumsum(v.a_size[a])] |= 1
+        mark[np.cumsum(v.b_size[b])] |= 2
+        ends = np.flatnonzero(mark)
+        is_a, is_b = (mark[ends] & 1).astype(bool), (mark[ends] & 2).astype(bool)
         i, j = np.cumsum(is_a) - is_a, np.cumsum(is_b) - is_b
         both = is_a & is_b
-        links = ((b[j].astype(np.int64) % self.v.radix << B_BITS) | b[j] // self.v.radix) << A_BITS | a[i]
-        stop_a, stop_b = (i[both] + 1).tolist(), (j[both] + 1).tolist()
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        starts = zip([0, *stop_a], [0, *stop_b], strict=True)
-        written = [",".join(a_text[x:x2]) + "|" + ",".join(b_text[y:y2]) for (x, y), x2, y2 in zip(starts, stop_a, stop_b)]
-        sizes = len(a) + len(b) * SHIFT + len(written) * SHIFT * SHIFT
-        return sizes, ";".join(written).encode(), links.tobytes()
+        links = ((b[j] % v.radix << B_BITS) | b[j] // v.radix) << A_BITS | a[i]
+        # tokens in the order of writing: group by group, A before B
+        group = np.cumsum(both) - both
+        end_a, end_b = (i + 1)[both], (j + 1)[both]
+        at_a = np.arange(len(a)) + np.concatenate([[0], end_b[:-1]])[group[is_a]]
+        at_b = np.arange(len(b)) + end_a[group[is_b]]
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[at_a] = a + np.where(both[is_a], len(v.a_bytes), 0)
+        order[at_b] = b + 2 * len(v.a_bytes) + np.where(both[is_b], len(v.b_bytes), 0)
+        stops = np.searchsorted(ends, cuts, side="right")
+        n_a, n_b, n_groups = (np.concatenate([[0], np.cumsum(x)])[stops] for x in (is_a, is_b, both))
+        out, data = [], links.tobytes()
+        last = (0, 0, 0, 0)
+        for now in zip(stops.tolist(), n_a.tolist(), n_b.tolist(), n_groups.tolist(), strict=True):
+            x, y = last[1] + last[2], now[1] + now[2]
+            sizes = now[1] - last[1] + (now[2] - last[2]) * SHIFT + (now[3] - last[3]) * SHIFT * SHIFT
+            out.append((sizes, b"".join(v.written[order[x:y]].tolist())[:-1], data[8 * last[0] : 8 * now[0]]))
+            last = now
+        return out
 
     def document(self, text: str | None):
         """``n_a, n_b, n_groups, groups, links`` of a text; None if it has no tokens."""
@@ -262,9 +279,11 @@ def tokenized(docs: DataFrame, radix: int = RADIX, run_links: int = RUN_LINKS, a
             run, size = run + 1, 0
             return out
 
-        for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                found = aligned.document(text.as_py())
+        for batch in sliced(batches):
+            texts = batch.column(1).to_pylist()
+            aligned.learn(texts)
+            for doc, text in zip(batch.column(0), texts, strict=True):
+                found = aligned.document(text)
                 n_a, n_b, n_groups, groups, links = found or (0, 0, 0, None, b"")
                 digest = "" if groups is None else hashlib.sha256(groups).hexdigest()
                 rows.append((doc.as_py(), n_a, n_b, n_groups, len(links) // 8, digest, run, len(held), *[None] * 6))

@@ -118,6 +118,12 @@ def test_segments_make_the_same_tokens_as_whole_texts():
         if found is not None:
             n_a, n_b, n_groups, groups, links = aligned.document(text)
             assert (groups, links) == found[1:]
+    learned = Aligned(v)
+    learned.learn(ODD, at_once=5)
+    known = dict(learned)
+    assert len(known) > 30 and all(known[x] == whole.align(x) for x in known)
+    for text in ODD:
+        assert learned.document(text) == aligned.document(text)
 
 
 def test_memory_of_segments_is_bounded():
