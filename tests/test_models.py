@@ -338,7 +338,7 @@ def test_scoring_on_a_stream_is_a_projection(spark):
     union = FeatureUnion([Block("word", 1, 2, 1, 1.0, 50), Block("char_wb", 2, 3, 1, 0.99, 200), Block("char", 2, 3, 1, 0.99, 100)]).fit(train)
     terms = IO.keep_table(union.terms())
     vectors = M.with_label_index(union.vectors(train, terms, terms.count(), keep=["lang"]), labels).persist()
-    docs = train.select("doc_id", "text").unionByName(spark.createDataFrame([(900, None), (901, ""), (902, "unseen words only here now"), (903, "red")], "doc_id long, text string"))
+    docs = IO.keep_table(train.select("doc_id", "text").unionByName(spark.createDataFrame([(900, None), (901, ""), (902, "unseen words only here now"), (903, "red")], "doc_id long, text string")))
     for model in (M.Classifier("linear_svc").fit(vectors, 60, 3), M.fit_calibrated_svc(vectors, labels, folds=2)):
         table = M.text_model(model, union, terms, labels)
         rows = scored_stream(docs, table)
