@@ -22,7 +22,7 @@ from corpuslens.llm.common import ROWS, Remembered, Scratch, read, sliced
 from corpuslens.llm.registry import query
 
 #: Labelled documents that the classifiers are fitted and calibrated on, at most.
-LABELLED = 3_000
+LABELLED = 6_000
 ROUNDS = 2
 #: Pseudo-labels that a view hands over in a round, of each class at most (and a tenth of the labelled
 #: documents at most), and how sure it must be: so probable, and so often right on documents kept aside.
@@ -30,7 +30,7 @@ EXCHANGED, SURE = 200, 0.95
 #: Documents are kept from this probability of good quality on.
 THRESHOLD = 0.5
 
-WORD_BUCKETS, SHAPE_BUCKETS, META_BUCKETS = 1024, 512, 512
+WORD_BUCKETS, SHAPE_BUCKETS, META_BUCKETS = 2048, 512, 1024
 _UPPER, _DIGITS, _SIGNS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", bytes(x for x in range(33, 127) if not chr(x).isalnum() and chr(x) not in ".,;:'-")
 
 
@@ -94,11 +94,20 @@ TEXT_SCALE = np.concatenate([np.full(WORD_BUCKETS, 0.03), np.full(SHAPE_BUCKETS,
 META_SCALE = np.ones(META_BUCKETS)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, relative: np.ndarray, steps: int = 400, l2: float = 1e-3) -> np.ndarray:
-    """Weights of a regularised logistic regression on columns of equal spread times ``relative``, by accelerated gradient steps."""
-    spread = x.std(axis=0)
+def _spread(x: np.ndarray, rows: int = 512) -> np.ndarray:
+    """Standard deviations of the columns, in blocks of rows."""
+    mean = sum((x[i : i + rows].sum(axis=0, dtype=np.float64) for i in range(0, len(x), rows)), np.zeros(x.shape[1])) / max(1, len(x))
+    return np.sqrt(sum((((x[i : i + rows] - mean) ** 2).sum(axis=0) for i in range(0, len(x), rows)), np.zeros(x.shape[1])) / max(1, len(x)))
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, relative: np.ndarray, steps: int = 400, l2: float = 1e-3, overwrite: bool = False) -> np.ndarray:
+    """Weights of a regularised logistic regression on columns of equal spread times ``relative``, by accelerated gradient steps.
+
+    With ``overwrite`` the columns are scaled in place, without a second copy.
+    """
+    spread = _spread(x)
     scale = (relative / np.where(spread > 0, np.maximum(spread, 1e-3), 1.0)).astype(np.float32)
-    z = x * scale
+    z = np.multiply(x, scale, out=x if overwrite else None)
     # the largest curvature, by power iteration
     v = np.ones(z.shape[1], dtype=np.float32)
     for _ in range(20):
@@ -226,9 +235,14 @@ def _features(docs: DataFrame, ids: DataFrame) -> Examples:
     rows = docs.select("text", *[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()]).join(F.broadcast(ids.select("doc_id", "y")), "doc_id")
     table = rows.mapInArrow(describe, "doc_id long, y int, t binary, m binary").toArrow()
     id_, y = (table[c].to_numpy() for c in ("doc_id", "y"))
-    both = [np.concatenate([np.zeros(0, dtype=np.float32), *(np.frombuffer(x.as_buffer(), dtype=np.float32) for x in table[c])]) for c in ("t", "m")]
-    found = Examples(id_, y.astype(np.float64), *[x.reshape(len(y), -1) if len(y) else x.reshape(0, 1) for x in both])
-    return found.where(np.unique(id_, return_index=True)[1])
+    first = np.unique(id_, return_index=True)[1]
+    sides = []
+    for name, width in (("t", len(TEXT_SCALE)), ("m", META_BUCKETS)):
+        column, side = table[name], np.zeros((len(first), width), dtype=np.float32)
+        for i, at in enumerate(first.tolist()):
+            side[i] = np.frombuffer(column[at].as_buffer(), dtype=np.float32)
+        sides.append(side)
+    return Examples(id_[first], y[first].astype(np.float64), *sides)
 
 
 def _fitted(fit: Examples, aside: Examples, for_text: list[Examples], for_meta: list[Examples]) -> Model:
@@ -236,8 +250,8 @@ def _fitted(fit: Examples, aside: Examples, for_text: list[Examples], for_meta:
     weights, curves = [], []
     for side, more, relative in (("t", for_text, TEXT_SCALE), ("m", for_meta, META_SCALE)):
         parts = [fit, *more]
-        x = np.concatenate([getattr(p, side) for p in parts]) if more else getattr(fit, side)
-        w = fit_logistic(x, np.concatenate([p.y for p in parts]), relative)
+        x = np.concatenate([getattr(p, side) for p in parts])  # a copy, to be scaled
+        w = fit_logistic(x, np.concatenate([p.y for p in parts]), relative, overwrite=True)
         weights.append(w)
         curves.append(fit_calibration(getattr(aside, side) @ w, aside.y))
     return Model(*weights, *curves, prior)
