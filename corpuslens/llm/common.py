@@ -72,10 +72,10 @@ class Scratch:
         self.n += 1
         return f"{self.top}/{self.n}"
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, compression: str | None = None) -> DataFrame:
         """Write the rows once and go on from the files, so that a lost executor costs no recomputation."""
         path = self.path()
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept.scratch_path = path
         return kept

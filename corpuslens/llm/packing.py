@@ -79,7 +79,7 @@ class Statistics:
         """The heaviest terms of a document, heaviest first and smaller ids first among equals; -1 where there are fewer."""
         found, counts = np.unique(ids, return_counts=True)
         weight = self.weights(found, counts, len(ids))
-        best = np.lexsort((found, -weight))[:terms]
+        best = np.argsort(-weight, kind="stable")[:terms]
         best = found[best[weight[best] > 0]].tolist()
         return best + [-1] * (terms - len(best))
 
@@ -183,43 +183,47 @@ def powers_of_two(pieces: list[Piece]) -> Iterator[list[Piece]]:
 
 
 def tokenized(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """``doc_id, n, ids`` of every row: its tokens, and their ids as little-endian bytes of :func:`id_type`."""
+    """``doc_id, n, ids`` of every row: its tokens, and their ids as little-endian bytes of :func:`id_type`.
+
+    Each task adds a row with a null ``n``, whose ``ids`` are the numbers of its documents that hold each term.
+    """
 
     def encode(batches):
-        kind = id_type(tokenizer)
+        kind, df = id_type(tokenizer), np.zeros(encoder(tokenizer).n_vocab, dtype="<i8")
+        names = ["doc_id", "n", "ids"]
         for part in sliced(batches):
-            ids = [token_ids(x, tokenizer) for x in part.column(1).to_pylist()]
-            sizes, data = pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column(0), sizes, data], names=["doc_id", "n", "ids"])
+            ids = [token_ids(x, tokenizer).astype(kind) for x in part.column(1).to_pylist()]
+            for x in ids:
+                df[np.unique(x)] += 1
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([df.tobytes()])], names=names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, n long, ids binary")
 
 
 def corpus_statistics(tokens: DataFrame, window: int = WINDOW, tokenizer: str | None = None) -> Statistics:
-    """Statistics of all rows of :func:`tokenized`; tasks count, and no more numbers than terms come to the driver."""
-    terms = encoder(tokenizer).n_vocab
+    """Statistics of all rows of :func:`tokenized`; no more numbers than terms come to the driver."""
 
-    def count(batches):
-        kind, df = id_type(tokenizer), np.zeros(terms, dtype=np.int64)
+    def counts(batches):
         for batch in batches:
             for x in batch.column(0):
-                df[np.unique(np.frombuffer(x.as_buffer(), dtype=kind))] += 1
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at])], names=["term", "df"])
+                df = np.frombuffer(x.as_buffer(), dtype="<i8")
+                at = np.flatnonzero(df)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at])], names=["term", "df"])
 
-    found = tokens.select("ids").mapInArrow(count, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
-    df = np.zeros(terms, dtype=np.int64)
+    found = tokens.filter("n is null").select("ids").mapInArrow(counts, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(encoder(tokenizer).n_vocab, dtype=np.int64)
     df[found["term"].to_numpy()] = found["df"].to_numpy()
     rest = F.col("n") % window
-    n, indexed, mean = tokens.agg(F.count("*"), F.count_if(rest > 0), F.sum(rest)).first()
-    return Statistics.of(df, n, (mean / indexed) if indexed else 1.0)
+    n, indexed, length = tokens.agg(F.count("n"), F.count_if(rest > 0), F.sum(rest)).first()
+    return Statistics.of(df, n, (length / indexed) if indexed else 1.0)
 
 
 def in_shards(tokens: DataFrame, corpus: Statistics, scratch: Scratch, shard: int = SHARD, tokenizer: str | None = None) -> DataFrame:
     """The rows with ``shard, at``: their place, in tokens, in the corpus ordered by heaviest terms, and the shard it falls into.
 
     The order goes on to checksum, length and id, so that copies by the thousand are cut into ranges like
-    any others; rows that are equal in all of these are interchangeable.
+    any others; rows that are equal in all of these are interchangeable. The table ``tokens`` is dropped.
     """
     names = [f"key{k}" for k in range(KEY_TERMS)]
 
@@ -240,17 +244,19 @@ def in_shards(tokens: DataFrame, corpus: Statistics, scratch: Scratch, shard: in
             end = int(ends[-1]) if len(ends) else end
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(n), range_)), pa.array(ends - n)], names=["doc_id", "n", "ids", "range", "before"])
 
-    rows = tokens.mapInArrow(keyed, "doc_id long, n long, ids binary, " + ", ".join(f"{k} int" for k in names))
-    order = [*names, F.crc32("ids"), "n", "doc_id", F.monotonically_increasing_id()]
-    rows = rows.select("*", *[c.alias(f"order{i}") for i, c in enumerate(order) if not isinstance(c, str)])
-    by = [c if isinstance(c, str) else f"order{i}" for i, c in enumerate(order)]
+    rows = tokens.filter("n is not null").mapInArrow(keyed, "doc_id long, n long, ids binary, " + ", ".join(f"{k} int" for k in names))
+    # kept, because the bounds of the ranges are drawn from the rows before these are moved
+    rows = scratch.keep(rows.withColumns({"crc": F.crc32("ids"), "row": F.monotonically_increasing_id()}), "zstd")
+    scratch.drop(tokens)
+    by = [*names, "crc", "n", "doc_id", "row"]
     ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "n", "ids")
-    ordered = scratch.keep(ordered.mapInArrow(placed, "doc_id long, n long, ids binary, range long, before long"))
+    ordered = scratch.keep(ordered.mapInArrow(placed, "doc_id long, n long, ids binary, range long, before long"), "zstd")
+    scratch.drop(rows)
     first, starts = 0, []
     for r in ordered.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect():  # a row per partition
         starts.append((r["range"], first))
         first += r["n"]
-    starts = tokens.sparkSession.createDataFrame(starts, "range long, first long")
+    starts = ordered.sparkSession.createDataFrame(starts, "range long, first long")
     at = F.col("first") + F.col("before")
     return ordered.join(F.broadcast(starts), "range").select("doc_id", "n", "ids", at.alias("at"), F.floor(at / shard).cast("long").alias("shard"))
 
@@ -319,7 +325,7 @@ def pack(docs: DataFrame, window: int = WINDOW, shard: int = SHARD, with_ids: bo
     holds one shard, and one document more. The same rows give the same result in whatever partitions.
     """
     scratch = Scratch(docs.sparkSession, "packing")
-    tokens = scratch.keep(tokenized(docs, tokenizer))
+    tokens = scratch.keep(tokenized(docs, tokenizer), "zstd")
     corpus = corpus_statistics(tokens, window, tokenizer)
     columns = PACKED.split(", ") + ["ids array<int>"] * with_ids
     names = [c.split()[0] for c in columns]
@@ -330,7 +336,6 @@ def pack(docs: DataFrame, window: int = WINDOW, shard: int = SHARD, with_ids: bo
         return rows.mapInArrow(_filled(corpus, window, last, with_ids, id_type(tokenizer)), schema)
 
     rows = in_shards(tokens, corpus, scratch, shard, tokenizer).select("doc_id", F.lit(0).cast("long").alias("start"), F.col("n").alias("doc_tokens"), "ids", "shard", "at")
-    scratch.drop(tokens)
     first = scratch.keep(packed(rows, "at", last=False))
     left = first.filter("sequence_id is null").select("doc_id", "start", "doc_tokens", F.col("left").alias("ids"), F.floor(F.col("shard") / SHARDS_LEFT).alias("shard"), F.struct("shard", "offset").alias("at"))
     return first.filter("sequence_id is not null").select(*names).unionAll(packed(left, "at", last=True).select(*names))
