@@ -205,44 +205,65 @@ def scored(docs: DataFrame, model: Model, name: str = "scores") -> DataFrame:
     return docs.withColumn(name, probabilities("text", F.col("source").cast("string"), F.col("lang").cast("string"), F.col("n_chars").cast("long")))
 
 
+@dataclass
+class Sparse:
+    """Rows of numbers that are mostly zero: bytes of the places (uint16) and values (float32) of the others, row by row."""
+
+    rows: list[tuple[bytes, bytes]]
+    width: int
+
+    @staticmethod
+    def row(x: np.ndarray) -> tuple[bytes, bytes]:
+        places = np.flatnonzero(x)
+        return places.astype(np.uint16).tobytes(), x[places].astype(np.float32).tobytes()
+
+    def fill(self, out: np.ndarray, start: int = 0) -> np.ndarray:
+        """The rows from ``start`` on, as many as ``out`` has, written into zeros."""
+        for i, (places, values) in enumerate(self.rows[start : start + len(out)]):
+            out[i, np.frombuffer(places, np.uint16)] = np.frombuffer(values, np.float32)
+        return out
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        blocks = (self.fill(np.zeros((min(512, len(self.rows) - i), self.width), np.float32), i) @ w for i in range(0, len(self.rows), 512))
+        return np.concatenate([np.zeros(0), *blocks])
+
+
 @dataclass
 class Examples:
-    """Documents with their labels, as numbers only: the driver holds no texts."""
+    """Documents with their labels, as numbers other than zero only: the driver holds no texts."""
 
     doc_id: np.ndarray
     y: np.ndarray
-    t: np.ndarray
-    m: np.ndarray
+    t: Sparse
+    m: Sparse
 
     def __len__(self) -> int:
         return len(self.y)
 
     def where(self, chosen: np.ndarray) -> Examples:
-        return Examples(self.doc_id[chosen], self.y[chosen], self.t[chosen], self.m[chosen])
+        t, m = (Sparse([side.rows[i] for i in np.flatnonzero(chosen).tolist()], side.width) for side in (self.t, self.m))
+        return Examples(self.doc_id[chosen], self.y[chosen], t, m)
 
 
 def _features(docs: DataFrame, ids: DataFrame) -> Examples:
     """Features of the documents named by a bounded table ``ids (doc_id, y)``, in the order of ids, each id once."""
+    sides = ("t_at", "t", "m_at", "m")
 
     def describe(batches):
         for part in sliced(batches):
             c = dict(zip(part.schema.names, part.columns, strict=True))
-            text = [text_features(x).tobytes() for x in c["text"].to_pylist()]
-            meta = [meta_features(*x).tobytes() for x in zip(*(c[k].to_pylist() for k in ("source", "lang", "n_chars")), strict=True)]
-            yield pa.RecordBatch.from_arrays([c["doc_id"], c["y"], pa.array(text, pa.binary()), pa.array(meta, pa.binary())], names=["doc_id", "y", "t", "m"])
+            text = [Sparse.row(text_features(x)) for x in c["text"].to_pylist()]
+            meta = [Sparse.row(meta_features(*x)) for x in zip(*(c[k].to_pylist() for k in ("source", "lang", "n_chars")), strict=True)]
+            found = [pa.array([row[k] for row in side], pa.binary()) for side in (text, meta) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([c["doc_id"], c["y"], *found], names=["doc_id", "y", *sides])
 
     kinds = {"doc_id": "long", "source": "string", "lang": "string", "n_chars": "long"}
     rows = docs.select("text", *[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()]).join(F.broadcast(ids.select("doc_id", "y")), "doc_id")
-    table = rows.mapInArrow(describe, "doc_id long, y int, t binary, m binary").toArrow()
+    table = rows.mapInArrow(describe, "doc_id long, y int, " + ", ".join(f"{c} binary" for c in sides)).toArrow()
     id_, y = (table[c].to_numpy() for c in ("doc_id", "y"))
     first = np.unique(id_, return_index=True)[1]
-    sides = []
-    for name, width in (("t", len(TEXT_SCALE)), ("m", META_BUCKETS)):
-        column, side = table[name], np.zeros((len(first), width), dtype=np.float32)
-        for i, at in enumerate(first.tolist()):
-            side[i] = np.frombuffer(column[at].as_buffer(), dtype=np.float32)
-        sides.append(side)
-    return Examples(id_[first], y[first].astype(np.float64), *sides)
+    t_at, t, m_at, m = (table[c].take(pa.array(first)).to_pylist() for c in sides)
+    return Examples(id_[first], y[first].astype(np.float64), Sparse(list(zip(t_at, t, strict=True)), len(TEXT_SCALE)), Sparse(list(zip(m_at, m, strict=True)), META_BUCKETS))
 
 
 def _fitted(fit: Examples, aside: Examples, for_text: list[Examples], for_meta: list[Examples]) -> Model:
@@ -250,8 +271,12 @@ def _fitted(fit: Examples, aside: Examples, for_text: list[Examples], for_meta:
     weights, curves = [], []
     for side, more, relative in (("t", for_text, TEXT_SCALE), ("m", for_meta, META_SCALE)):
         parts = [fit, *more]
-        x = np.concatenate([getattr(p, side) for p in parts])  # a copy, to be scaled
+        x, at = np.zeros((sum(map(len, parts)), len(relative)), dtype=np.float32), 0  # one view at a time, to be scaled
+        for p in parts:
+            getattr(p, side).fill(x[at : at + len(p)])
+            at += len(p)
         w = fit_logistic(x, np.concatenate([p.y for p in parts]), relative, overwrite=True)
+        del x
         weights.append(w)
         curves.append(fit_calibration(getattr(aside, side) @ w, aside.y))
     return Model(*weights, *curves, prior)

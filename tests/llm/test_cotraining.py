@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from corpuslens.llm import cotraining
-from corpuslens.llm.cotraining import fit_calibration, fit_logistic, judge_documents
+from corpuslens.llm.cotraining import META_BUCKETS, fit_calibration, fit_logistic, judge_documents, meta_features, text_features
 
 SCHEMA = "doc_id long, text string, source string, lang string, n_chars long, score string"
 
@@ -86,3 +86,19 @@ def test_fits():
     assert abs(slope - 1 / 3) < 0.02 and abs(offset + 1 / 3) < 0.1
     slope, offset = fit_calibration(np.array([-5.0] * 10 + [5.0] * 30), np.array([0.0] * 10 + [1.0] * 30))
     assert 0.2 < slope < 5
+
+
+def test_the_driver_holds_what_is_not_zero(spark):
+    docs, labels = tables(spark)
+    ids = labels.selectExpr("doc_id", "cast(quality as int) as y")
+    found = cotraining._features(docs, ids)
+    assert len(found) > 100 and sum(len(a) + len(b) for x in (found.t, found.m) for a, b in x.rows) < len(found) * 4_000
+    by_id = {r.doc_id: r for r in docs.collect()}
+    for side, width in ((found.t, len(cotraining.TEXT_SCALE)), (found.m, META_BUCKETS)):
+        x, w = side.fill(np.zeros((len(found), width), np.float32)), np.arange(width) % 7 - 3.0
+        assert np.allclose(side @ w, x @ w)
+        for i, d in enumerate(found.doc_id.tolist()):
+            r = by_id[d]
+            assert (x[i] == (text_features(r.text) if side is found.t else meta_features(r.source, r.lang, r.n_chars))).all()
+    half = found.where(found.y > 0)
+    assert len(half.t.rows) == len(half) == int(found.y.sum())
