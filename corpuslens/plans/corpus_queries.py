@@ -68,15 +68,16 @@ def metrics_json(spark, d):
 
 
 def _write_files(docs, path):
-    """One file per document below ``source=.../lang=.../doc_id=...``: even ids in UTF-8, odd ones in Latin-1."""
-    line = docs.select("source", "lang", "doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
-    by = ["source", "lang", "doc_id"]
-    line.filter("doc_id % 2 = 0").repartition("doc_id").write.partitionBy(*by).text(f"{path}/utf8")
-    plain = {"encoding": "ISO-8859-1", "quote": "", "sep": "\u0001", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    line.filter("doc_id % 2 = 1").repartition("doc_id").write.partitionBy(*by).options(**plain).csv(f"{path}/latin1")
+    """One file per document, ``source=.../lang=.../doc_id=....txt``: even ids in UTF-8, odd ones in Latin-1."""
+    even, line = F.pmod("doc_id", F.lit(2)) == 0, F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
+    latin = F.encode(F.regexp_replace(line, r"[^\x{00}-\x{FF}]", "?"), "ISO-8859-1")
+    folder = lambda c: F.concat(F.lit(f"/{c}="), F.url_encode(F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))))
+    name = F.concat(F.when(even, "utf8").otherwise("latin1"), folder("source"), folder("lang"), F.lit("/doc_id="), F.col("doc_id").cast("string"), F.lit(".txt"))
+    content = F.concat(F.when(even, line.cast("binary")).otherwise(latin), F.lit("\n").cast("binary"))
+    IO.write_text_files(docs.filter("doc_id is not null").select(name.alias("name"), content.alias("content")), path)
 
 
-_PLACE = r"source=([^/]+)/lang=([^/]+)/doc_id=(\d+)/"
+_PLACE = r"source=([^/]+)/lang=([^/]+)/doc_id=(-?\d+)\.txt$"
 
 
 @query(
@@ -90,7 +91,7 @@ def ingest_text_files(spark, d):
     files = IO.read_text_files(spark, path)
     return files.select(
         F.regexp_extract("path", _PLACE, 3).cast("long").alias("doc_id"),
-        F.regexp_extract("path", _PLACE, 1).alias("source"),
+        F.url_decode(F.regexp_extract("path", _PLACE, 1)).alias("source"),
         word_count("text").alias("n_words"),
         F.length("text").cast("long").alias("n_chars"),
     )
@@ -115,7 +116,7 @@ def reconcile_files(spark, d):
     _write_files(docs, f"{path}/first")
     _write_files(docs.filter("source = 'src0'"), f"{path}/copies")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    name = F.concat(F.lit("/corpus/"), F.regexp_extract("path", _PLACE, 2), F.lit("/"), F.regexp_extract("path", _PLACE, 3))
+    name = F.concat(F.lit("/corpus/"), F.url_decode(F.regexp_extract("path", _PLACE, 2)), F.lit("/"), F.regexp_extract("path", _PLACE, 3))
     mark = F.when(F.col("path").contains("/copies/"), "(1).txt").otherwise(".txt")
     return IO.reconcile(IO.list_documents(files.select(F.concat(name, mark).alias("path"), "content")), corpus(spark, d))
 
