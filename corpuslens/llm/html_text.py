@@ -1,12 +1,13 @@
-"""Main text of HTML pages: markup first, then differencing against the page with the nearest URL.
-
-A page is cut into blocks of text. Markup decides most of them: what lies in an article (or main)
-element stays, what lies in menus, headers, footers, forms, notices and the like goes. The blocks that
-markup leaves open, on pages without such an element, are decided by differencing: pages are ordered by
-host and URL path over the whole table, each is paired with the neighbour on its host whose path has
-the longer prefix in common, the two lists of lines are aligned by longest common subsequence, and open
-lines that both pages share are deleted. Ranges of the order are streamed, so a host may have any
-number of pages; the pages at the ends of ranges, two a range, are paired afterwards.
+"""Main text of HTML pages: differencing against the page with the nearest URL, checked by markup.
+
+A page is cut into blocks of text. Every page with text is differenced: pages are ordered by host and
+URL path over the whole table, each is paired with the neighbour on its host whose path has the longer
+prefix in common, the two lists of lines are aligned by longest common subsequence, and lines that both
+pages share are marked for deletion. A check by markup follows: what lies in an article (or main) element
+is put back, what lies in menus, headers, footers, forms, notices and the like goes although it is the
+page's own. On pages without such an element differencing has the last word on all that is not marked.
+Ranges of the order are streamed, so a host may have any number of pages; the pages at the ends of
+ranges, two a range, are paired afterwards. Lines are compared as hashes; texts stay where they are.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpuslens.llm.common import Scratch, flagged, read
+from corpuslens.llm.common import Scratch, read, with_small
 from corpuslens.llm.registry import query
 from corpuslens.llm.url_filter import host_path
 
@@ -298,7 +299,7 @@ PARSED = "key long, page_id long, url string, host string, path string, lines ar
 
 
 def _parsed(batches):
-    """Blocks that may stay, whether each is open, the hashes of all blocks, and for pages with open ones the places of those that may stay."""
+    """Blocks that may stay, whether each is open, the hashes of all blocks, and the places of those that may stay."""
     from pyspark import TaskContext
 
     key = TaskContext.get().partitionId() << 33
@@ -309,10 +310,7 @@ def _parsed(batches):
         for page_id, url, host, path, page in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
             found = blocks(page)
             stays = [(i, kind == "open", line) for i, (kind, line) in enumerate(found) if kind != "boilerplate"]
-            is_open = any(x[1] for x in stays)
-            rows.append(
-                (key, page_id, url, host, path, [x[2] for x in stays], [x[1] for x in stays], [_line_hash(x[1]) for x in found], [x[0] for x in stays] if is_open else None)
-            )
+            rows.append((key, page_id, url, host, path, [x[2] for x in stays], [x[1] for x in stays], [_line_hash(x[1]) for x in found], [x[0] for x in stays]))
             key, size = key + 1, size + len(page or "")
             if size > 8_000_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -341,20 +339,20 @@ def _shared(own, before, after) -> list[int]:
     return common_lines(np.array(own[3]), np.array(mate[2])) if mate else []
 
 
-STREAMED = "key long, host string, path string, every array<long>, shared array<int>, edge boolean"
+STREAMED = "key long, host string, path string, every array<long>, open_at array<int>, shared array<int>, edge boolean"
 
 
 def _paired(batches):
-    """Streams pages in URL order. Open pages with both neighbours in the range are decided (edge is null).
+    """Streams pages in URL order. Pages with both neighbours in the range are differenced (edge is null).
 
-    The first and the last page need the neighbouring ranges: they are returned as edges if they are open,
-    beside the pages next to them.
+    The first and the last page need the neighbouring ranges: they are returned as edges, beside the pages
+    next to them.
     """
-    types = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.bool_())
+    types = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.bool_())
     names = [c.split()[0] for c in STREAMED.split(", ")]
 
     def batch_of(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 6, types, strict=True)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 7, types, strict=True)], names=names)
 
     head, tail, out = [], [], []
     for batch in batches:
@@ -362,35 +360,44 @@ def _paired(batches):
             if len(head) < 2:
                 head.append(page)
             tail = [*tail[-2:], page]
-            if len(tail) == 3 and tail[1][4]:
-                out.append((tail[1][0], None, None, None, _shared(tail[1], tail[0], tail[2]), None))
+            if len(tail) == 3:
+                out.append((tail[1][0], None, None, None, tail[1][4], _shared(tail[1], tail[0], tail[2]), None))
             if len(out) == 1000:
                 yield batch_of(out)
                 out = []
     ends = {page[0]: page for page in [*head, *tail[-2:]]}
-    edges = {page[0] for page in [*head[:1], *tail[-1:]] if page[4]}
-    yield batch_of(out + [(*page[:4], None, key in edges) for key, page in ends.items()])
+    edges = {page[0] for page in [*head[:1], *tail[-1:]]}
+    yield batch_of(out + [(*page, None, key in edges) for key, page in ends.items()])
 
 
 def _edges_decided(batches):
     """The same for the pages at the ends of all ranges, in URL order."""
-    pages = [x for batch in batches for x in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)]
+    pages = [x for batch in batches for x in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True)]
     beside = lambda i: pages[i][:4] if 0 <= i < len(pages) else None
-    out = [(page[0], _shared(page[:4], beside(i - 1), beside(i + 1))) for i, page in enumerate(pages) if page[4]]
-    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.list_(pa.int32()))], names=["key", "shared"])
+    out = [(page[0], page[4], _shared(page[:4], beside(i - 1), beside(i + 1))) for i, page in enumerate(pages) if page[5]]
+    columns = [pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())))]
+    yield pa.RecordBatch.from_arrays(columns, names=["key", "open_at", "shared"])
 
 
-def shared_places(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """``key, shared``: places in ``every`` that an open page of ``(key, host, path, every, is_open)`` shares with its partner.
+def shared_places(parsed: DataFrame, scratch: Scratch) -> DataFrame:
+    """``key, open_at, shared`` of every page with text: places that markup leaves open, and those shared with its partner.
 
-    Any page may be the partner."""
+    Any page with text may be the partner."""
     order = ["host", "path", "key"]
-    streamed = pages.select("key", "host", "path", "every", "is_open").repartitionByRange(*order).sortWithinPartitions(*order)
+    places = F.filter(F.arrays_zip("at", "open"), lambda x: x["open"])["at"].alias("open_at")
+    pages = parsed.filter("size(every) > 0").select("key", "host", "path", "every", places)
+    streamed = pages.repartitionByRange(*order).sortWithinPartitions(*order)
     rows = scratch.keep(streamed.mapInArrow(_paired, STREAMED))
     # one task has the ends: four pages of each range at most
     ends = rows.filter("edge is not null").coalesce(1).sortWithinPartitions(*order)
-    edges = ends.select("key", "host", "path", "every", "edge").mapInArrow(_edges_decided, "key long, shared array<int>")
-    return rows.filter("edge is null").select("key", "shared").unionAll(edges)
+    edges = ends.select("key", "host", "path", "every", "open_at", "edge").mapInArrow(_edges_decided, "key long, open_at array<int>, shared array<int>")
+    return rows.filter("edge is null").select("key", "open_at", "shared").unionAll(edges)
+
+
+def parse(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pages cut into blocks, judged by markup."""
+    host, path = host_path(F.col("url"))
+    return scratch.keep(pages.select(F.col("page_id").cast("long"), "url", host.alias("host"), path.alias("path"), "html").mapInArrow(_parsed, PARSED))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -402,22 +409,17 @@ def extract_text(pages: DataFrame) -> DataFrame:
     partner keeps it all. Rows may repeat; other columns are not read.
     """
     scratch = Scratch(pages.sparkSession, "html")
-    host, path = host_path(F.col("url"))
-    parsed = scratch.keep(pages.select(F.col("page_id").cast("long"), "url", host.alias("host"), path.alias("path"), "html").mapInArrow(_parsed, PARSED))
-    done = parsed.filter("at is null").select("page_id", "url", F.array_join("lines", "\n").alias("text"))
-    unsure = parsed.filter("at is not null")
-    if not unsure.isEmpty():
-        # partners are the nearest pages of the whole host; pages without text are nobody's partner
-        hosts = scratch.keep(unsure.select("host").distinct())
-        mates = flagged(parsed.filter("size(every) > 0"), hosts, "host", "wanted").filter("wanted").withColumn("is_open", F.col("at").isNotNull())
-        unsure = unsure.join(shared_places(mates, scratch), "key", "left")
-        line = F.transform("lines", lambda x, i: F.struct(x.alias("line"), (F.get("open", i) & F.array_contains("shared", F.get("at", i))).alias("shared")))
-        unsure = unsure.withColumn("l", line).withColumn("gone", F.filter("l", lambda x: F.coalesce(x["shared"], F.lit(False))))
-        size = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + F.length(x["line"]))
-        copy = size("gone") >= COPY * size("l")
-        stays = F.filter("l", lambda x: ~F.coalesce(x["shared"], F.lit(False)))
-        text = F.when(copy, F.array_join("lines", "\n")).otherwise(F.array_join(F.transform(stays, lambda x: x["line"]), "\n"))
-        done = done.unionByName(unsure.select("page_id", "url", text.alias("text")))
+    parsed = parse(pages, scratch)
+    # the check: of the lines that differencing deletes, markup puts back those it knows for the article's
+    deleted = shared_places(parsed, scratch).select("key", F.array_intersect("shared", "open_at").alias("shared")).filter("size(shared) > 0")
+    rows = with_small(parsed, scratch.keep(deleted), ["key"])
+    line = F.transform("lines", lambda x, i: F.struct(x.alias("line"), (F.get("open", i) & F.array_contains("shared", F.get("at", i))).alias("shared")))
+    rows = rows.withColumn("l", line).withColumn("gone", F.filter("l", lambda x: F.coalesce(x["shared"], F.lit(False))))
+    size = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + F.length(x["line"]))
+    copy = size("gone") >= COPY * size("l")
+    stays = F.filter("l", lambda x: ~F.coalesce(x["shared"], F.lit(False)))
+    text = F.when(F.col("shared").isNull() | copy, F.array_join("lines", "\n")).otherwise(F.array_join(F.transform(stays, lambda x: x["line"]), "\n"))
+    done = rows.select("page_id", "url", text.alias("text"))
     return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 

@@ -5,7 +5,8 @@ import random
 import numpy as np
 import pytest
 
-from corpuslens.llm.html_text import blocks, common_lines, extract_text
+from corpuslens.llm.common import Scratch
+from corpuslens.llm.html_text import blocks, common_lines, extract_text, parse, shared_places
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{margin:0}</style><script>var t="</p>";</script></head><body class="has-sidebar">
 <header><h1>Site</h1><ul class="menu"><li>Home</li></ul></header><nav><ul><li><a href="/a">a</a></li></ul></nav><!-- ad <p>no</p> -->
@@ -147,3 +148,23 @@ def test_a_megabyte_of_bad_markup_takes_linear_time(piece, tail):
     seconds(1 << 16)
     whole = seconds(1 << 20)
     assert whole < 30 and whole < 16 * max(0.05, seconds(1 << 17))
+
+
+@pytest.mark.parametrize("parts", ["1", "6"])
+def test_pages_with_an_article_are_differenced(spark, parts):
+    """Every page is paired and aligned; lines of the article that both pages share are put back by the check."""
+    page = lambda i: f"<div>Menu</div><article><p>shared line</p><p>own {i}</p></article><div>Imprint</div>"
+    rows = [(i, f"http://h{i % 2}.org/{i}", page(i)) for i in range(40)]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        scratch = Scratch(spark, "test")
+        parsed = parse(pages, scratch)
+        found = shared_places(parsed, scratch).join(parsed.select("key", "page_id"), "key").collect()
+        got = {r.page_id: r.text for r in extract_text(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sorted(r.page_id for r in found) == list(range(40))
+    assert all(r.shared == [0, 1, 3] and r.open_at == [] for r in found)
+    assert got == {i: f"shared line\nown {i}" for i in range(40)}
