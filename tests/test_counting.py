@@ -55,3 +55,18 @@ def test_no_row_per_occurrence(spark):
         stats = {r.term: (r.df, r.cf) for r in X.Block(channel, 3, 5).stats(docs, "clean").collect()}
         assert stats == {r.term: (r.df, r.cf) for r in X.term_stats(counts).collect()}
     assert N.char_term_stats(docs, "clean").schema.simpleString() == "struct<term:string,df:bigint,cf:bigint>"
+
+
+@pytest.mark.parametrize("channel", ["word", "char", "char_wb"])
+@pytest.mark.parametrize("sublinear", [True, False])
+def test_weights_in_the_row(spark, channel, sublinear):
+    rows = [(i, None if i == 3 else "" if i == 4 else " ".join(RNG.choice("alpha beta gamma délta 語 e".split()) for _ in range(i % 9 + 1))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, clean string").repartition(3)
+    block = X.Block(channel, 1, 3, 1, 1.0, 30, sublinear=sublinear)
+    fitted = block.fit(docs, "doc_id", "clean")
+    got = fitted.transform(docs, "doc_id", "clean")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    want = X.weigh(block.counts(docs, "doc_id", "clean"), fitted.vocabulary, sublinear=sublinear)
+    cells = lambda df: {(r.doc_id, r.term): r.w for r in df.collect()}
+    assert got.columns == want.columns and cells(got) == pytest.approx(cells(want), rel=1e-12)
