@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -70,3 +71,38 @@ def test_weights_in_the_row(spark, channel, sublinear):
     want = X.weigh(block.counts(docs, "doc_id", "clean"), fitted.vocabulary, sublinear=sublinear)
     cells = lambda df: {(r.doc_id, r.term): r.w for r in df.collect()}
     assert got.columns == want.columns and cells(got) == pytest.approx(cells(want), rel=1e-12)
+
+
+def test_vectors_scores_and_explanations_stay_with_the_document(spark):
+    """No row per cell and no shuffle in the plans, and the rows of the long form."""
+    from corpuslens.operators import fit as M, linear_scores as L
+    from corpuslens.operators.tfidf import Block, FeatureUnion, as_vectors
+    from corpuslens.sources.tables import keep_table
+
+    rows = [(i, "abc"[i % 3], t) for i, t in enumerate(["to be or not to be", "be not", "", None, "caf\u00e9 or tea", "tea tea tea not", "zz"])]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, clean string")
+    union = FeatureUnion([Block("word", 1, 2, 1, 1.0, 40), Block("char_wb", 2, 3, 1, 1.0, 60)]).fit(docs)
+    terms = keep_table(union.terms())
+    size = terms.count()
+    vectors = union.vectors(docs, terms, size)
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    long = union.transform(docs).join(terms.select("channel", "term", "idx"), ["channel", "term"])
+    want = {r["doc_id"]: r["features"] for r in as_vectors(docs.select("doc_id"), long, size).collect()}
+    for r in vectors.collect():
+        assert r["features"].indices.tolist() == want[r["doc_id"]].indices.tolist() and r["features"].size == size
+        assert r["features"].values == pytest.approx(want[r["doc_id"]].values, abs=1e-12)
+
+    rng = np.random.default_rng(1)
+    model = M.text_model(M.MarginModel(rng.normal(size=(3, size + 1))), union, terms, ["a", "b", "c"])
+    small = {r["doc_id"]: r["scores"] for r in model.scores(docs).collect()}
+    plan = model.scores(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    best = sorted(map(tuple, model.explain(docs, 5).collect()))
+    most, L.BROADCAST_WEIGHTS = L.BROADCAST_WEIGHTS, 0
+    try:
+        large = {r["doc_id"]: r["scores"] for r in model.scores(docs).collect()}
+        assert best == [(*r[:4], pytest.approx(r[4], abs=2e-9), *r[5:]) for r in sorted(map(tuple, model.explain(docs, 5).collect()))]
+    finally:
+        L.BROADCAST_WEIGHTS = most
+    assert small.keys() == large.keys() and all(small[i] == pytest.approx(large[i], abs=1e-12) for i in small)
