@@ -122,3 +122,16 @@ def test_small_blocks_make_the_same_fit(spark, data, monkeypatch):
         fits.append(S.fit_together(packed, [S.Problem("d", S.SQUARED_HINGE)], {"d": SIZE}, CLASSES, tol=1e-8)[0])
         packed.unpersist()
     assert fits[0] == pytest.approx(fits[1], abs=1e-5)
+
+
+def test_blocks_are_small_rows_taken_together(spark, data, blocks):
+    """Rows that reach Python are small; a task's blocks of one data are one, so a gradient is not made for each."""
+    x, y, fold = data
+    assert S.BLOCK_CELLS * 12 < 2 << 20
+    batches = blocks.drop("ids").toArrow().to_batches()
+    got = dict(S._gathered(batches, {"all", "half"}))
+    assert len(got["all"].y) == N and len(got["half"].y) == 60 and len(list(S._gathered(batches, {"half"}))) == 1
+    w = np.random.default_rng(2).random((CLASSES, SIZE + 1))
+    order = np.lexsort(got["all"].margins(w).T)
+    plain_ = x @ w[:, :-1].T + w[:, -1]
+    assert got["all"].margins(w)[order] == pytest.approx(plain_[np.lexsort(plain_.T)], abs=1e-9)
