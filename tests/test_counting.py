@@ -106,3 +106,39 @@ def test_vectors_scores_and_explanations_stay_with_the_document(spark):
     finally:
         L.BROADCAST_WEIGHTS = most
     assert small.keys() == large.keys() and all(small[i] == pytest.approx(large[i], abs=1e-12) for i in small)
+
+
+@pytest.mark.parametrize("chars", [1, 60, 500_000])
+@pytest.mark.parametrize(("lo", "hi", "min_len"), [(1, 2, 1), (2, 4, 1), (1, 3, 2), (1, 12, 1)])
+def test_words_are_counted_as_numbers(monkeypatch, chars, lo, hi, min_len):
+    """Equal to plain counting, also where numbers of n-grams run out, and each term's string is made once for many documents."""
+    monkeypatch.setattr(K, "CHARS", chars)
+    monkeypatch.setattr(K, "TERMS", chars)
+    texts = ["a bb a bb a", None, "", " ", " 語 é 語語  bb ", "bb", " ".join(f"w{RNG.randrange(5000)}" for _ in range(4000)), "a bb a bb a"]
+    count = K.count_words(lo, hi, min_len)
+    want = []
+    for t in texts:
+        words = [w for w in (t or "").split(" ") if len(w) >= min_len]
+        want.append(None if t is None else Counter(" ".join(words[i : i + n]) for n in range(lo, hi + 1) for i in range(len(words) - n + 1)))
+    got = [row for part in K.counts_by_text(count)(iter([pa.array(texts)])) for row in part.to_pylist()]
+    assert [None if row is None else {c["term"]: c["tf"] for c in row} for row in got] == want
+    df, cf = Counter(), Counter()
+    for batch in K.sums_by_term(count)(iter([pa.record_batch([pa.array(texts)], names=["t"])])):
+        for row in batch.to_pylist():
+            df[row["term"]] += row["df"]
+            cf[row["term"]] += row["cf"]
+    assert cf == sum((w for w in want if w), Counter()) and df == sum((Counter(w.keys()) for w in want if w), Counter())
+    _, terms, tf = count(["a bb a", "a bb a"])
+    assert len(set(terms.dictionary.to_pylist())) == len(terms.dictionary) and len(terms) == len(tf) == 2 * len(terms.dictionary)
+
+
+def test_spaced_words_are_the_tokens(spark):
+    from pyspark.sql import functions as F
+
+    from corpuslens.functions.text import join_tokens, spaced_words, word_tokens
+
+    odd = ["Éa_1 b-c", "", None, "--", "x", " ² ⅷ́ a​b 語、語 😀", "a\n\tb\x1cc."]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").select("t", spaced_words("t").alias("s"), join_tokens(word_tokens("t")).alias("w"))
+    for r in rows.collect():
+        assert (r["s"] and r["s"].strip(" ")) == r["w"]
+        assert r["s"] is None or "  " not in r["s"]
