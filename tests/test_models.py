@@ -384,3 +384,29 @@ def test_class_similarity_in_blocks(spark, monkeypatch):
         assert {(r["class_a"], r["class_b"]): r["cosine"] for r in A.class_similarity(df).collect()} == pytest.approx(want)
     with pytest.raises(ValueError, match="more than 4"):
         A.class_similarity(df, max_classes=4)
+
+
+def test_class_sums_stay_with_the_documents_and_are_shared(spark):
+    """One row per term and task, no row per cell; models of a grid come from one table of sums, and score a document once."""
+    from corpuslens.operators import linear_scores as L
+    from corpuslens.operators.tfidf import Block
+
+    texts = ["to be or not to be", "be not", "", None, "café or tea", "tea tea tea not", "zz", "be tea"]
+    docs = spark.createDataFrame([(i, None if i == 7 else "abc"[i % 3], t) for i, t in enumerate(texts)], "doc_id long, lang string, clean string").repartition(2)
+    fitted, labels = Block("word", 1, 2, 1, 1.0, 40).fit(docs, "doc_id", "clean"), ["a", "b", "c"]
+    sums = L._class_sums(docs, fitted, labels, "lang", "doc_id", "clean")
+    assert "Generate" not in sums._jdf.queryExecution().executedPlan().toString()
+    rows = fitted.transform(docs, "doc_id", "clean", keep=["lang"]).collect()
+    got = {r["term"]: [r["c0"], r["c1"], r["c2"]] for r in sums.collect()}
+    assert got.keys() == {r["term"] for r in rows}
+    for term, values in got.items():
+        assert values == pytest.approx([sum(r["w"] for r in rows if r["term"] == term and r["lang"] == v) for v in labels], abs=1e-12)
+
+    grid = [("multinomial", 0.1), ("complement", 1.0)]
+    models = L.fit_bayes_grid(docs, fitted, labels, grid)
+    both = {r["doc_id"]: r["scores"] for r in L.scores_together(models, docs).collect()}
+    for k, (kind, alpha) in enumerate(grid):
+        alone = L.fit_naive_bayes(docs, fitted, labels, kind, alpha).scores(docs).collect()
+        assert len(alone) == len(both)
+        for r in alone:
+            assert both[r["doc_id"]][3 * k : 3 * k + 3] == pytest.approx(r["scores"], abs=1e-12)
