@@ -15,7 +15,7 @@ from corpuslens.plans.corpus import documents, part
 from corpuslens.plans.model_queries import TEXT_PREDS, VECTOR_PREDS, nb_sql, svc_model, svc_models, text_predictions, trained, vector_predictions
 from corpuslens.plans.registry import query
 from corpuslens.sources.models import load_model, save_model
-from corpuslens.sources.tables import read_csv, read_json, read_table, shared_folder, write_csv, write_json
+from corpuslens.sources.tables import keep_table, read_csv, read_json, read_table, shared_folder, write_csv, write_json
 from corpuslens.streaming.score_stream import score_stream
 
 # ---------------------------------------------------------------- metrics
@@ -318,8 +318,9 @@ def score_svc_docs(spark, d):
 @query()
 def confidence_types(spark, d):
     """All raw documents under three models that were saved and loaded: calibrated probabilities, margins, and classes only, with the best terms of the first."""
-    docs, models = svc_models(spark, d)
-    raw = C.clean_text(documents(spark, d), "text", "clean")
+    _, models = svc_models(spark, d)
+    # cleaned once for all three
+    raw = keep_table(C.clean_text(documents(spark, d).select("doc_id", "text"), "text", "clean"))
     out = None
     for name, model in models.items():
         path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -135,3 +135,40 @@ def test_blocks_are_small_rows_taken_together(spark, data, blocks):
     order = np.lexsort(got["all"].margins(w).T)
     plain_ = x @ w[:, :-1].T + w[:, -1]
     assert got["all"].margins(w)[order] == pytest.approx(plain_[np.lexsort(plain_.T)], abs=1e-9)
+
+
+def test_common_features_are_one_product(monkeypatch):
+    """Margins and gradients of many columns, of features that are dense, rare and not met, and of an empty document."""
+    rng = np.random.default_rng(3)
+    x = (rng.random((90, 40)) < np.linspace(0.9, 0.0, 40)) * rng.random((90, 40))
+    x[5] = 0.0
+    cells = [np.flatnonzero(row) for row in x]
+    row = {"ids": None, "y": np.zeros(90, "<i4").tobytes(), "fold": np.zeros(90, "<i4").tobytes(), "ends": np.cumsum([len(c) for c in cells]).astype("<i8").tobytes()}
+    row |= {"idx": np.concatenate(cells).astype("<i4").tobytes(), "val": x[x > 0].astype("<f8").tobytes()}
+    block, w, slopes = S._Block(row), rng.normal(size=(6, 41)), rng.normal(size=(90, 6))
+    for share in (0.0, 0.2, 2.0):
+        monkeypatch.setattr(S, "COMMON", share)
+        matrix = S._Matrix(block, 40)
+        assert len(matrix.common) + len(matrix.rare) == (x > 0).any(axis=0).sum() and (len(matrix.rare) > 0) == (share > 0) and (len(matrix.common) > 0) == (share < 2)
+        assert matrix.margins(w) == pytest.approx(x @ w[:, :-1].T + w[:, -1])
+        total = np.ones((6, 41))
+        matrix.add_gradient(slopes, total)
+        assert total[:, :-1] == pytest.approx(1 + slopes.T @ x) and total[:, -1] == pytest.approx(1 + slopes.sum(axis=0))
+
+
+def test_plain_and_calibrated_fits_share_their_steps(spark, data, monkeypatch):
+    from corpuslens.operators import fit as M
+
+    x, y, _ = data
+    rows = spark.createDataFrame([(i, Vectors.dense(a.tolist()), float(b)) for i, (a, b) in enumerate(zip(x, y))], ["doc_id", "features", "y"]).persist()
+    base = M.Classifier("linear_svc", class_weight="balanced", tol=1e-8)
+    asked, evaluate = [], S._evaluate
+    monkeypatch.setattr(S, "_evaluate", lambda blocks, n, problems: asked.append(len(problems)) or evaluate(blocks, n, problems))
+    plain_, calibrated = M.fit_plain_and_calibrated_svc(rows, list(range(CLASSES)), 3, base=base)
+    assert asked[0] == 4
+    alone = base.fit(rows, N, CLASSES)
+    assert plain_.weights == pytest.approx(alone.weights, abs=1e-5)
+    again = M.fit_calibrated_svc(rows, list(range(CLASSES)), 3, base=base)
+    assert np.array(calibrated.weights) == pytest.approx(np.array(again.weights), abs=1e-5)
+    assert np.array(calibrated.sigmoids) == pytest.approx(np.array(again.sigmoids), abs=1e-3)
+    rows.unpersist()
