@@ -149,10 +149,14 @@ def test_common_features_are_one_product(monkeypatch):
     for share in (0.0, 0.2, 2.0):
         monkeypatch.setattr(S, "COMMON", share)
         matrix = S._Matrix(block, 40)
+        assert matrix.margins(w) == pytest.approx(block.margins(w))
         assert len(matrix.common) + len(matrix.rare) == (x > 0).any(axis=0).sum() and (len(matrix.rare) > 0) == (share > 0) and (len(matrix.common) > 0) == (share < 2)
         assert matrix.margins(w) == pytest.approx(x @ w[:, :-1].T + w[:, -1])
         total = np.ones((6, 41))
         matrix.add_gradient(slopes, total)
+        cell_by_cell = np.ones((6, 41))
+        block.add_gradient(slopes, cell_by_cell)
+        assert total == pytest.approx(cell_by_cell)
         assert total[:, :-1] == pytest.approx(1 + slopes.T @ x) and total[:, -1] == pytest.approx(1 + slopes.sum(axis=0))
 
 
