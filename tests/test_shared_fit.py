@@ -160,6 +160,25 @@ def test_common_features_are_one_product(monkeypatch):
         assert total[:, :-1] == pytest.approx(1 + slopes.T @ x) and total[:, -1] == pytest.approx(1 + slopes.sum(axis=0))
 
 
+def test_only_numbers_that_are_not_zero_are_sent(monkeypatch):
+    """A task's part of a wide gradient holds the terms that it met, before and after parts are summed."""
+    monkeypatch.setattr(S, "FAN_IN", 2)
+    few, all_ = np.zeros(1000), np.arange(1.0, 1001.0)
+    few[[3, 700]] = [2.0, -1.0]
+    rows = [S._part(0, 0, 0, 0.5, few), S._part(0, 0, 1, 1.0, 3 * few), S._part(0, 0, 2, 0.0, few), S._part(1, 0, 0, 0.0, few), S._part(1, 0, 1, 0.0, all_), S._part(2, 0, 0, 0.0, 0 * few)]
+    assert [r.column("part")[0].as_py().__len__() for r in rows] == [16, 16, 16, 16, 8000, 0]
+    found = {}
+    for r in S._summed(iter(rows)):
+        r = r.to_pylist()[0]
+        total = np.zeros(r["width"])
+        S._add(total, r["at"], r["part"])
+        found[r["problem"], r["task"]] = (r["loss"], total)
+        assert len(r["part"]) == {0: 16, 1: 8000, 2: 0}[r["problem"]]
+    assert found.keys() == {(0, 0), (0, 1), (1, 0), (2, 0)}
+    assert found[0, 0][0] == 1.5 and found[0, 0][1] == pytest.approx(4 * few) and found[0, 1][1] == pytest.approx(few)
+    assert found[1, 0][1] == pytest.approx(few + all_) and not found[2, 0][1].any()
+
+
 def test_plain_and_calibrated_fits_share_their_steps(spark, data, monkeypatch):
     from corpuslens.operators import fit as M
 
