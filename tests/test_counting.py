@@ -142,3 +142,21 @@ def test_spaced_words_are_the_tokens(spark):
     for r in rows.collect():
         assert (r["s"] and r["s"].strip(" ")) == r["w"]
         assert r["s"] is None or "  " not in r["s"]
+
+
+def test_stop_words_leave_before_ngrams():
+    """Where words are numbers: an n-gram bridges what is left out, and short words are passed over."""
+    count = K.count_words(1, 2, 2, ("the", "of"))
+    document, terms, tf = count(["the cat of a the hat cat", "of the", "", "hat hat the hat"])
+    got = Counter({(int(d), t): int(n) for d, t, n in zip(document, terms.to_pylist(), tf, strict=True)})
+    assert got == {(0, "cat"): 2, (0, "hat"): 1, (0, "cat hat"): 1, (0, "hat cat"): 1, (3, "hat"): 3, (3, "hat hat"): 2}
+
+
+def test_texts_are_counted_once(spark):
+    """Spark must not infer from the rows of a document's terms that there are some: it would count the text again, below the join, to see that."""
+    docs = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None)], "doc_id long, clean string")
+    kept = docs.join(spark.createDataFrame([(1,), (2,), (3,)], "doc_id long"), "doc_id", "left_semi")
+    counts = N.count_word_terms(kept, "doc_id", "clean")
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("listed(") == 1 and "size(" not in plan
+    assert sorted(map(tuple, counts.collect())) == [(1, "a", 2), (1, "b", 1)]
