@@ -295,6 +295,36 @@ def test_fitted_models_as_tables(spark, tmp_path):
             check_attributions(spark, fit, vectors, terms, model.explain(train), labels)
 
 
+def test_models_scored_together_are_scored_as_alone(spark):
+    """Class, confidence and top classes of each model, and the best terms of the one that is explained: those of its own explanation."""
+    from corpuslens.operators.tfidf import FeatureUnion
+
+    labels = ["a", "b", "c"]
+    train = toy(spark).withColumn("text", F.concat("clean", F.lit(" p q r s"))).withColumn("clean", F.col("text"))
+    union = FeatureUnion([Block("word", 1, 1, 1, 1.0, 50), Block("char_wb", 2, 3, 1, 0.99, 200)]).fit(train)
+    terms = IO.keep_table(union.terms())
+    vectors = M.with_label_index(union.vectors(train, terms, terms.count(), keep=["lang"]), labels).persist()
+    plain, calibrated = M.fit_plain_and_calibrated_svc(vectors, labels, 2)
+    fits = {"calibrated": (calibrated, False), "margins": (plain, False), "classes": (plain, True)}
+    models = {name: M.text_model(fit, union, terms, labels, classes_only=only) for name, (fit, only) in fits.items()}
+    raw = train.select("doc_id", "text", "clean").unionByName(spark.createDataFrame([(-1, " ", "")], "doc_id long, text string, clean string"))
+    rows = {(r["model"], r["doc_id"]): r for r in X.score_docs_together(raw, models, "calibrated").collect()}
+    assert len(rows) == 3 * raw.count()
+    best = {}
+    for r in models["calibrated"].explain(raw).orderBy("doc_id", "rank").collect():
+        best.setdefault(r["doc_id"], []).append((r["feature"], r["score"], r["type"]))
+    for name, model in models.items():
+        for want in X.score_docs(raw, model).collect():
+            r = rows[name, want["doc_id"]]
+            assert [r[c] for c in ("success", "error_message", "predicted_category", "confidence", "confidence_type")] == [want[c] for c in ("success", "error_message", "predicted_category", "confidence", "confidence_type")]
+            assert [t["label"] for t in r["top_classes"] or []] == [t["label"] for t in want["top_classes"] or []]
+            if name == "calibrated" and r["success"]:
+                assert [tuple(t) for t in r["best_terms"]] == best[r["doc_id"]]
+            else:
+                assert r["best_terms"] is None
+    assert rows["calibrated", -1]["success"] is False
+
+
 def check_attributions(spark, fit, vectors, terms, found, labels):
     """The mean weights of the folds times the vector, term by term."""
     name = {r["idx"]: (r["term"], r["channel"]) for r in terms.collect()}
