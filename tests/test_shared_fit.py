@@ -195,3 +195,45 @@ def test_plain_and_calibrated_fits_share_their_steps(spark, data, monkeypatch):
     assert np.array(calibrated.weights) == pytest.approx(np.array(again.weights), abs=1e-5)
     assert np.array(calibrated.sigmoids) == pytest.approx(np.array(again.sigmoids), abs=1e-3)
     rows.unpersist()
+
+
+def test_blocks_of_texts_hold_the_vectors(spark):
+    """The same numbers as the vectors of the features, to the last bit, in a fraction of the space; texts without terms, wide vocabularies and frequent terms too."""
+    from corpuslens.operators.fit import text_blocks
+    from corpuslens.operators.tfidf import Block, FeatureUnion
+    from corpuslens.sources.tables import keep_table
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(i)}" for i in rng.zipf(1.3, 300) % 900) for _ in range(80)] + ["", "unknown", "w1 " * 400]
+    docs = spark.createDataFrame([(i, t, i % 2 if i != 3 else None) for i, t in enumerate(texts)], "doc_id long, clean string, y int")
+    union = FeatureUnion([Block("word", 1, 2, 2, 1.0, 3000), Block("char_wb", 2, 3, 1, 0.99, 200, sublinear=False)]).fit(docs)
+    terms = keep_table(union.terms())
+    size = terms.count()
+    rows = sorted(union.vectors(docs, terms, size, keep=["y"]).filter("y IS NOT NULL").collect(), key=lambda r: (r["y"], tuple(r["features"].indices), tuple(r["features"].values)))
+    blocks = text_blocks(docs, union, terms, size)
+    packed = [r.asDict() for r in blocks.collect()]
+    blocks.unpersist()
+    got = []
+    for row in packed:
+        b = S._Block(row)
+        ends = np.cumsum(b.sizes)
+        got += [(int(y), tuple(b.idx[e - n : e]), tuple(b.val[e - n : e])) for y, e, n in zip(b.y, ends, b.sizes, strict=True)]
+    assert sorted(got) == [(r["y"], tuple(r["features"].indices), tuple(r["features"].values)) for r in rows]
+    cells = sum(len(r["features"].indices) for r in rows)
+    assert sum(len(r["coded"]) for r in packed) < 12 * cells / 2
+
+
+def test_classes_of_the_hinge_loss_end_by_themselves(blocks, monkeypatch):
+    """A class that is at its minimum is not asked for again, and folds start from the fit of all documents."""
+    asked, evaluate = [], S._evaluate
+    monkeypatch.setattr(S, "_evaluate", lambda b, n, problems: asked.append({i: len(w) for i, (_, _, w, _) in problems.items()}) or evaluate(b, n, problems))
+    problems = [S.Problem("all", S.SQUARED_HINGE, left_out=1), S.Problem("all", S.SQUARED_HINGE)]
+    S.fit_together(blocks, problems, {"all": SIZE}, CLASSES, tol=1e-5)
+    assert asked[0] == {0: CLASSES, 1: CLASSES} and all(asked)
+    rows = [a.get(1, 0) for a in asked]
+    whole = sum(r > 0 for r in rows)
+    assert rows[:whole] == sorted(rows[:whole], reverse=True) and all(a == {1: r} for a, r in zip(asked[1:whole], rows[1:whole]))
+    warm = len(asked) - whole
+    asked.clear()
+    S.fit_together(blocks, problems[:1], {"all": SIZE}, CLASSES, tol=1e-5)
+    assert warm < len(asked)
