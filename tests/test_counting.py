@@ -160,3 +160,16 @@ def test_texts_are_counted_once(spark):
     plan = counts._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("listed(") == 1 and "size(" not in plan
     assert sorted(map(tuple, counts.collect())) == [(1, "a", 2), (1, "b", 1)]
+
+
+def test_rows_of_a_batch_are_never_held_together(monkeypatch):
+    """Cells take many times the space of their text: they leave a few documents at a time, in order, and an empty batch stays one."""
+    texts = [f"abc{i} abd abe" for i in range(600)]
+    vocabulary = pa.table({"term": ["abc", "abd", "abe"], "idf": [1.0, 2.0, 3.0], "x": pa.array([0, None, 1], pa.int32()), "idx": pa.array([0, 1, 2], pa.int32())})
+    rows = list(K.rows_by_text(K.count_characters(3, 3), vocabulary, ["x"])(iter([pa.array(texts), pa.array([], pa.string())])))
+    assert [len(r) for r in rows] == [256, 256, 88, 0]
+    assert pa.concat_arrays(rows).field("x").field("idx").to_pylist() == [[0, 1]] * 600
+    channel = K.Channel(K.count_characters(3, 3), vocabulary)
+    struct = lambda t: pa.StructArray.from_arrays([pa.array(t, pa.string())], names=["c0"])
+    vectors = list(K.vectors_by_text([channel], 3)(iter([struct(texts), struct([])])))
+    assert [len(v) for v in vectors] == [256, 256, 88, 0] and pa.concat_arrays(vectors).field("indices").to_pylist() == [[0, 1, 2]] * 600
